@@ -1,0 +1,88 @@
+"""Raw transactions derived from the order tables.
+
+Every line item becomes one dirty text row: missing values, prefixes, two date
+formats, spelled-out amounts and repeated ids are planted by arithmetic on the
+line's key, so the result grows with the tables and is the same on every run.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Product names the rule below can produce; the last one is not an accepted name.
+DERIVED_PRODUCT_NAMES = tuple(f"Product {letter}" for letter in "ABCDEF")
+
+# Order of the rows, unique by the last column.
+DERIVED_POSITION = (
+    "l_orderkey",
+    "l_linenumber",
+    "l_partkey",
+    "l_suppkey",
+    "l_shipdate",
+    "l_quantity",
+    "l_extendedprice",
+    "l_tax",
+    "row_seq",
+)
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows with their position columns."""
+    lines = read_table(spark, sf_dir, "lineitem").withColumn(
+        "row_seq", F.monotonically_increasing_id()
+    )
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    parts = read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+        parts, F.col("l_partkey") == F.col("p_partkey")
+    )
+
+    k = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+
+    def every(n: int) -> Column:
+        return k % n == 0
+
+    def text(column: Column) -> Column:
+        return column.cast("string")
+
+    def money(name: str) -> Column:
+        return F.col(name).cast("decimal(18,2)")
+
+    # Dates go through DATE, so that no session time zone can shift them.
+    ordered_on = text(F.col("o_orderdate").cast("date"))
+
+    def part_of(start: int, length: int) -> Column:
+        return F.substring(ordered_on, start, length)
+
+    columns = {
+        "transaction_id": F.when(every(41), None)
+        .when(F.col("l_partkey") % 5 == 0, text(k))
+        .otherwise(F.concat(F.lit("T"), text(k))),
+        "customer_id": F.when(~every(29), F.concat(text(F.col("o_custkey")), F.lit(".0"))),
+        "transaction_date": F.when(every(37), None)
+        .when(every(31), F.lit("2023/07/15"))
+        .when(every(3), F.concat_ws("-", part_of(9, 2), part_of(6, 2), part_of(1, 4)))
+        .otherwise(ordered_on),
+        "product_id": F.when(~every(61), F.concat(F.lit("P"), text(F.col("l_partkey")))),
+        "product_name": F.concat(
+            F.lit("Product "),
+            F.substring(F.lit("ABCDEF"), (F.col("l_partkey") % 6 + 1).cast("int"), F.lit(1)),
+        ),
+        "quantity": F.when(every(43), None)
+        .when(every(47), F.lit("2.5"))
+        .when(every(53), F.lit("few"))
+        .otherwise(F.concat(text(F.col("l_quantity").cast("int")), F.lit(".0"))),
+        "price": F.when(every(23), F.lit("Two Hundred"))
+        .when(every(59), F.lit("0"))
+        .otherwise(text(money("p_retailprice"))),
+        "tax": F.when(every(19), F.lit("Fifteen")).otherwise(
+            text((money("l_extendedprice") * money("l_tax")).cast("decimal(18,4)"))
+        ),
+        "loaded_at": F.trunc("l_shipdate", "month").cast("timestamp_ntz"),
+    }
+    return joined.select(*[c.alias(n) for n, c in columns.items()], *DERIVED_POSITION)
