@@ -136,15 +136,16 @@ def dim_customers(staged: DataFrame) -> DataFrame:
     )
 
 
-_FACT_SUMS = {
-    "units": F.col("quantity"),
-    "paid": F.col("total_amount"),
-    "taxes": F.col("tax"),
-}
+def _fact_sums() -> dict[str, Column]:
+    return {
+        "units": F.col("quantity"),
+        "paid": F.col("total_amount"),
+        "taxes": F.col("tax"),
+    }
 
 
 def agg_by_customer(fact: DataFrame) -> DataFrame:
-    grouped = _by_key_with_members(fact, ["customer_id"], "product_id", _FACT_SUMS)
+    grouped = _by_key_with_members(fact, ["customer_id"], "product_id", _fact_sums())
     return grouped.select(
         "customer_id",
         F.col("transactions").alias("total_transactions"),
@@ -160,7 +161,7 @@ def agg_by_customer(fact: DataFrame) -> DataFrame:
 
 def agg_by_product(fact: DataFrame) -> DataFrame:
     keys = ["product_id", "product_name"]
-    grouped = _by_key_with_members(fact, keys, "customer_id", _FACT_SUMS)
+    grouped = _by_key_with_members(fact, keys, "customer_id", _fact_sums())
     return grouped.select(
         *keys,
         F.col("transactions").alias("total_transactions"),

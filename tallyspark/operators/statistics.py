@@ -63,10 +63,15 @@ def describe_numeric(fact: DataFrame, columns: Sequence[str] = FACT_MEASURES) ->
     )
 
 
+def _unit_range(r: Column) -> Column:
+    """Cut off what rounding puts beyond -1 or 1; ``least`` alone would skip NULL."""
+    return F.when(r > 1, F.lit(1.0)).when(r < -1, F.lit(-1.0)).otherwise(r)
+
+
 def _pearson(x: Column, y: Column) -> Column:
     """r over rows where both are present; NULL for a constant column."""
     scale = F.sqrt(F.regr_sxx(y, x) * F.regr_syy(y, x))
-    return F.regr_sxy(y, x) / F.nullif(scale, F.lit(0.0))
+    return _unit_range(F.regr_sxy(y, x) / F.nullif(scale, F.lit(0.0)))
 
 
 def correlation_matrix(fact: DataFrame, columns: Sequence[str] = FACT_MEASURES) -> DataFrame:
@@ -78,7 +83,7 @@ def correlation_matrix(fact: DataFrame, columns: Sequence[str] = FACT_MEASURES)
     )
     cells = []
     for a, b in pairs:
-        for first, second in {(a, b), (b, a)}:
+        for first, second in [(a, b)] if a == b else [(a, b), (b, a)]:
             cells.append(
                 F.struct(
                     F.lit(first).alias("column_a"),
@@ -140,7 +145,7 @@ def linear_fit(fact: DataFrame, x: str, y: str) -> DataFrame:
     return sums.select(
         slope.alias("slope"),
         (F.col("mean_y") - slope * F.col("mean_x")).alias("intercept"),
-        F.when(F.col("sxx") != 0, F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0))).alias("r"),
+        F.when(F.col("sxx") != 0, _unit_range(r)).alias("r"),
         "n",
         "min_x",
         "max_x",

@@ -66,12 +66,15 @@ def read_batch(
     return with_position(with_file_columns(read_transactions(spark, paths, multi_line)))
 
 
-def read_with_rejects(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def read_with_rejects(
+    spark: SparkSession, paths: str | Sequence[str], header: bool = True
+) -> DataFrame:
     """Read every row; malformed ones carry their line in ``corrupt_record``."""
     schema = T.StructType([*RAW_CSV_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
     options = {**CSV_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     # Pruned columns would hide a wrong number of fields.
-    return spark.read.schema(schema).options(**options).option("columnPruning", False).csv(paths)
+    reader = spark.read.schema(schema).options(**options).option("columnPruning", False)
+    return reader.option("header", header).csv(paths)
 
 
 def write_transactions(rows: DataFrame, path: str) -> None:
