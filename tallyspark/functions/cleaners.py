@@ -32,14 +32,14 @@ def _converted(value: Column, must_convert: Column, text: Column, what: str, mod
 
 
 def strip_prefix(text: Column, prefix: str) -> Column:
-    """Drop one leading upper-case ``prefix``; an empty rest is NULL."""
-    rest = F.when(text.startswith(prefix), F.substring(text, len(prefix) + 1, 2**31 - 1))
-    return F.nullif(rest.otherwise(text), F.lit(""))
+    """Drop one leading upper-case ``prefix``."""
+    return F.substr(text, text.startswith(prefix).cast("int") * len(prefix) + 1)
 
 
 def clean_prefixed_id(text: Column, prefix: str, what: str, mode: str = LENIENT) -> Column:
+    """An id that may carry a prefix letter; NULL if nothing is left of it."""
     digits = strip_prefix(text, prefix)
-    return _converted(digits.try_cast("int"), digits.isNotNull(), text, what, mode)
+    return _converted(digits.try_cast("int"), digits != "", text, what, mode)
 
 
 def clean_customer_id(text: Column, mode: str = LENIENT) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.schemas import RAW_LIMITS
@@ -20,13 +20,32 @@ ID = "transaction_id"
 _SLOT = "__slot"
 
 
-def _slot(position: Sequence[str]) -> Column:
-    """Second partitioning key next to the id.
+def _with_slot(batch: DataFrame, position: Sequence[str]) -> DataFrame:
+    """Add the partitioning key that goes before the id.
 
     It follows the id where there is one. Rows without an id get one from their
-    position, so that a large share of them spreads over all tasks.
+    position, so that a large share of them spreads over all tasks. Sorting by
+    a number first is also much cheaper than sorting by text.
     """
-    return F.when(F.col(ID).isNull(), F.xxhash64(*position)).otherwise(F.xxhash64(ID))
+    slot = F.when(F.col(ID).isNull(), F.xxhash64(*position)).otherwise(F.xxhash64(ID))
+    return batch.withColumn(_SLOT, slot)
+
+
+def _winners(slotted: DataFrame, position: Sequence[str]) -> DataFrame:
+    order = [F.when(F.col(ID).isNotNull(), F.col(name)) for name in position]
+    window = Window.partitionBy(_SLOT, ID).orderBy(*order)
+    return slotted.withColumn("__rank", F.rank().over(window)).where("__rank = 1").drop("__rank")
+
+
+def _unseen(slotted: DataFrame, batch: DataFrame, target: DataFrame) -> DataFrame:
+    batch_ids = batch.where(F.col(ID).isNotNull()).select(ID).distinct()
+    present = (
+        target.where(F.col(ID).isNotNull())
+        .select(ID)
+        .join(batch_ids, ID, "left_semi")
+        .select(F.col(ID), F.xxhash64(ID).alias(_SLOT))
+    )
+    return slotted.join(present, [_SLOT, ID], "left_anti")
 
 
 def first_wins(batch: DataFrame, position: Sequence[str]) -> DataFrame:
@@ -35,19 +54,10 @@ def first_wins(batch: DataFrame, position: Sequence[str]) -> DataFrame:
     The rank limit is applied on the map side first, so a hot id sends one row
     per map task. Rows without an id all rank first: they carry no order.
     """
-    order = [F.when(F.col(ID).isNotNull(), F.col(name)) for name in position]
-    window = Window.partitionBy(ID, _SLOT).orderBy(*order)
-    return (
-        batch.withColumn(_SLOT, _slot(position))
-        .withColumn("__rank", F.rank().over(window))
-        .where("__rank = 1")
-        .drop("__rank", _SLOT)
-    )
+    return _winners(_with_slot(batch, position), position).drop(_SLOT)
 
 
-def skip_existing(
-    batch: DataFrame, target: DataFrame, position: Sequence[str]
-) -> DataFrame:
+def skip_existing(batch: DataFrame, target: DataFrame, position: Sequence[str]) -> DataFrame:
     """Drop rows whose id the target holds already; the target never changes.
 
     The target may be far larger than the batch, so its id column is first cut
@@ -55,22 +65,16 @@ def skip_existing(
     its threshold and shuffles otherwise. Rows without an id match nothing; the
     slot spreads them.
     """
-    batch_ids = batch.where(F.col(ID).isNotNull()).select(ID).distinct()
-    present = (
-        target.where(F.col(ID).isNotNull())
-        .select(ID)
-        .join(batch_ids, ID, "left_semi")
-        .select(F.col(ID), F.xxhash64(ID).alias(_SLOT))
-    )
-    return (
-        batch.withColumn(_SLOT, _slot(position)).join(present, [ID, _SLOT], "left_anti").drop(_SLOT)
-    )
+    return _unseen(_with_slot(batch, position), batch, target).drop(_SLOT)
 
 
 def land_batch(batch: DataFrame, target: DataFrame | None, position: Sequence[str]) -> DataFrame:
-    """First wins within the batch, then skip what the target holds."""
-    winners = first_wins(batch, position)
-    return winners if target is None else skip_existing(winners, target, position)
+    """First wins within the batch, then skip what the target holds.
+
+    Both steps share one partitioning of the batch.
+    """
+    winners = _winners(_with_slot(batch, position), position)
+    return (winners if target is None else _unseen(winners, batch, target)).drop(_SLOT)
 
 
 def stamp_load(rows: DataFrame, batch_ts: str) -> DataFrame:
@@ -130,7 +134,3 @@ def length_report(batch: DataFrame) -> DataFrame:
         for n in names
     ]
     return facts.select(F.inline(F.array(*rows)))
-
-
-def empty_raw(spark: SparkSession, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)

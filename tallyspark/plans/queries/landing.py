@@ -11,6 +11,7 @@ from tallyspark.schemas import RAW_COLUMNS, RAW_LIMITS
 from tallyspark.session import materialize, scratch_path
 from tallyspark.sources.csv_source import (
     CORRUPT,
+    CSV_WRITE_OPTIONS,
     read_transactions,
     read_with_rejects,
     write_transactions,
@@ -50,12 +51,13 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_reject_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows written with a field too few or too many are told apart from whole ones."""
     k = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    options = {"nullValue": "", "emptyValue": '""', "escape": '"'}
     whole = [F.col(c) for c in RAW_COLUMNS]
     line = (
-        F.when(k % 97 == 0, F.to_csv(F.struct(*whole[:6]), options))
-        .when(k % 89 == 0, F.to_csv(F.struct(*whole, F.lit("x").alias("extra")), options))
-        .otherwise(F.to_csv(F.struct(*whole), options))
+        F.when(k % 97 == 0, F.to_csv(F.struct(*whole[:6]), CSV_WRITE_OPTIONS))
+        .when(
+            k % 89 == 0, F.to_csv(F.struct(*whole, F.lit("x").alias("extra")), CSV_WRITE_OPTIONS)
+        )
+        .otherwise(F.to_csv(F.struct(*whole), CSV_WRITE_OPTIONS))
     )
     path = scratch_path(spark, "malformed")
     raw(spark, sf_dir).select(line.alias("line")).write.text(path)

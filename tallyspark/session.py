@@ -52,6 +52,8 @@ def local_session(app: str = "tallyspark", cpus: int | str = 8, **conf: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
+        # Recording the Python call site of every column costs more than small queries.
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .config("spark.driver.memory", os.environ.get("TALLYSPARK_DRIVER_MEMORY", "8g"))
     )
     for key, value in conf.items():

@@ -77,11 +77,17 @@ def read_with_rejects(
     return reader.option("header", header).csv(paths)
 
 
+# How to write text that CSV_OPTIONS reads back unchanged.
+CSV_WRITE_OPTIONS = {
+    "escape": '"',
+    "nullValue": "",
+    "emptyValue": '""',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def write_transactions(rows: DataFrame, path: str) -> None:
-    """Write raw rows as CSV that ``read_transactions`` reads back unchanged."""
-    (
-        rows.select(*RAW_COLUMNS)
-        .write.mode("overwrite")
-        .options(header="true", escape='"', nullValue="", emptyValue='""')
-        .csv(path)
-    )
+    """Write raw rows as CSV files with a header."""
+    columns = rows.select(*RAW_COLUMNS)
+    columns.write.mode("overwrite").options(header="true", **CSV_WRITE_OPTIONS).csv(path)

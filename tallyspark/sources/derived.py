@@ -36,8 +36,17 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read_table(spark, sf_dir, "lineitem").withColumn(
         "row_seq", F.monotonically_increasing_id()
     )
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    parts = read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    # Text of an order or part is made once there, not once per line. Dates go
+    # through DATE, so that no session time zone can shift them.
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.concat(F.col("o_custkey").cast("string"), F.lit(".0")).alias("customer_text"),
+        F.col("o_orderdate").cast("date").cast("string").alias("date_text"),
+    )
+    parts = read_table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.col("p_retailprice").cast("decimal(18,2)").cast("string").alias("price_text"),
+    )
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         parts, F.col("l_partkey") == F.col("p_partkey")
     )
@@ -53,21 +62,19 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     def money(name: str) -> Column:
         return F.col(name).cast("decimal(18,2)")
 
-    # Dates go through DATE, so that no session time zone can shift them.
-    ordered_on = text(F.col("o_orderdate").cast("date"))
-
     def part_of(start: int, length: int) -> Column:
-        return F.substring(ordered_on, start, length)
+        return F.substring("date_text", start, length)
 
     columns = {
-        "transaction_id": F.when(every(41), None)
-        .when(F.col("l_partkey") % 5 == 0, text(k))
-        .otherwise(F.concat(F.lit("T"), text(k))),
-        "customer_id": F.when(~every(29), F.concat(text(F.col("o_custkey")), F.lit(".0"))),
+        "transaction_id": F.when(
+            ~every(41),
+            F.concat(F.when(F.col("l_partkey") % 5 == 0, "").otherwise("T"), text(k)),
+        ),
+        "customer_id": F.when(~every(29), F.col("customer_text")),
         "transaction_date": F.when(every(37), None)
         .when(every(31), F.lit("2023/07/15"))
         .when(every(3), F.concat_ws("-", part_of(9, 2), part_of(6, 2), part_of(1, 4)))
-        .otherwise(ordered_on),
+        .otherwise(F.col("date_text")),
         "product_id": F.when(~every(61), F.concat(F.lit("P"), text(F.col("l_partkey")))),
         "product_name": F.concat(
             F.lit("Product "),
@@ -79,7 +86,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(text(F.col("l_quantity").cast("int")), F.lit(".0"))),
         "price": F.when(every(23), F.lit("Two Hundred"))
         .when(every(59), F.lit("0"))
-        .otherwise(text(money("p_retailprice"))),
+        .otherwise(F.col("price_text")),
         "tax": F.when(every(19), F.lit("Fifteen")).otherwise(
             text((money("l_extendedprice") * money("l_tax")).cast("decimal(18,4)"))
         ),
