@@ -1,10 +1,10 @@
 """Exact quantiles with linear interpolation, without one task per group.
 
-A group may hold most of the rows, so its values are never gathered. They are
-first counted per distinct value. Values then fall into order-preserving
-buckets of 0.1 % relative width; the bucket totals, whose number depends on the
-magnitude of the values and not on the number of rows, locate the bucket of
-each wanted rank, and only those buckets are looked at value by value.
+A group may hold most of the rows, so its values are never gathered. Values
+fall into order-preserving buckets of 0.1 % relative width. The number of
+buckets depends on the magnitudes that occur and not on the number of rows, so
+the bucket totals of a group are a small table. They locate the bucket of each
+wanted rank, and only those buckets are looked at value by value.
 """
 
 from __future__ import annotations
@@ -15,82 +15,104 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 QUARTILES = (0.25, 0.5, 0.75)
+QUARTILE_NAMES = ("q25", "q50", "q75")
 
 _BUCKETS_PER_E_FOLD = 1000
 # Above |ln(x)| * 1000 for every double, so that the sign decides first.
 _SIGN_OFFSET = 1_000_000
 
 
-def value_counts(df: DataFrame, group: str, value: str) -> DataFrame:
-    """(group, value, n) of the non-null values, as doubles."""
-    return (
-        df.select(F.col(group), F.col(value).cast("double").alias("value"))
-        .where(F.col("value").isNotNull() & F.col(group).isNotNull())
-        .groupBy(group, "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-
-
-def long_value_counts(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
-    """(column name, value, n) of several columns in one pass."""
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias(name), F.col(c).cast("double").alias("value")) for c in columns]
-    )
-    return value_counts(df.select(F.inline(pairs)), name, "value")
+def bucket_of(value: Column) -> Column:
+    """Bucket number; a larger value never has a smaller number. Never NULL."""
+    step = F.floor(F.ln(F.abs(value)) * _BUCKETS_PER_E_FOLD) + _SIGN_OFFSET
+    signed = F.when(value > 0, step).when(value < 0, -step)
+    return F.coalesce(signed.cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def _bucket(value: Column) -> Column:
-    step = F.floor(F.ln(F.abs(value)) * _BUCKETS_PER_E_FOLD) + _SIGN_OFFSET
-    return F.when(value == 0, F.lit(0)).when(value > 0, step).otherwise(-step).cast("bigint")
+def present(rows: DataFrame, group: str) -> DataFrame:
+    """(group, value, bucket) of the rows that have both."""
+    value = F.col("value")
+    known = F.col(group).isNotNull() & value.isNotNull() & ~F.isnan(value)
+    return rows.where(known).withColumn("bucket", bucket_of(value))
 
 
-def quantiles(
+def value_counts(df: DataFrame, group: str, value: str) -> DataFrame:
+    """(group, value, n, bucket): how often each value occurs in each group."""
+    pairs = df.select(group, F.col(value).cast("double").alias("value"))
+    known = F.col(group).isNotNull() & F.col("value").isNotNull() & ~F.isnan("value")
+    counts = pairs.where(known).groupBy(group, "value").agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("bucket", bucket_of(F.col("value")))
+
+
+def _places(probabilities: Sequence[float]) -> list[tuple[Column, Column, Column]]:
+    """Per probability: p * (rows - 1) and its neighbouring ranks, from zero."""
+    last = F.col("all_rows") - 1
+    result = []
+    for p in probabilities:
+        place = F.lit(float(p)) * last
+        lower = F.floor(place).cast("bigint")
+        result.append((place, lower, F.least(lower + 1, last)))
+    return result
+
+
+def locate(totals: DataFrame, group: str, probabilities: Sequence[float] = QUARTILES) -> DataFrame:
+    """Keep the buckets that hold a wanted rank.
+
+    ``totals`` has one row per group and bucket with the number of its rows in
+    ``in_bucket``. Added are ``before``, the rows in lower buckets, and
+    ``all_rows``. At most two buckets per probability and group remain.
+    """
+    running = Window.partitionBy(group).orderBy("bucket")
+    counted = totals.withColumn(
+        "before", F.sum("in_bucket").over(running) - F.col("in_bucket")
+    ).withColumn("all_rows", F.sum("in_bucket").over(Window.partitionBy(group)))
+    first, end = F.col("before"), F.col("before") + F.col("in_bucket")
+    wanted = F.lit(False)
+    for _, lower, upper in _places(probabilities):
+        for rank in (lower, upper):
+            wanted = wanted | ((rank >= first) & (rank < end))
+    return counted.where(wanted)
+
+
+def interpolate(
     counts: DataFrame,
     group: str,
     probabilities: Sequence[float] = QUARTILES,
-    names: Sequence[str] = ("q25", "q50", "q75"),
+    names: Sequence[str] = QUARTILE_NAMES,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """(group, *names) from the (group, value, n) rows of ``value_counts``."""
-    bucketed = counts.withColumn("bucket", _bucket(F.col("value")))
-    by_bucket = Window.partitionBy(group).orderBy("bucket")
-    totals = (
-        bucketed.groupBy(group, "bucket")
-        .agg(F.sum("n").alias("in_bucket"))
-        .withColumn("before", F.sum("in_bucket").over(by_bucket) - F.col("in_bucket"))
-        .withColumn("all_rows", F.sum("in_bucket").over(Window.partitionBy(group)))
-    )
-
-    # Wanted ranks count from zero: the two neighbours of p * (rows - 1).
-    place = [F.lit(float(p)) * (F.col("all_rows") - 1) for p in probabilities]
-    lower = [F.floor(x).cast("bigint") for x in place]
-    upper = [F.least(x + 1, F.col("all_rows") - 1) for x in lower]
-    wanted = [*lower, *upper]
-
-    holds_wanted = F.lit(False)
-    for rank in wanted:
-        inside = (rank >= F.col("before")) & (rank < F.col("before") + F.col("in_bucket"))
-        holds_wanted = holds_wanted | inside
-    chosen = totals.where(holds_wanted).drop("in_bucket")
-
-    in_bucket = Window.partitionBy(group, "bucket").orderBy("value")
-    ends = F.col("before") + F.sum("n").over(in_bucket)
-    placed = bucketed.join(chosen, [group, "bucket"]).withColumn("ends", ends)
+    """(group, *names, *carry) from the value counts of the located buckets.
+
+    ``counts`` has group, bucket, value and n, and what ``locate`` added.
+    ``carry`` names columns that are the same in all rows of a group.
+    """
+    ordered = Window.partitionBy(group, "bucket").orderBy("value")
+    ranked = counts.withColumn("end", F.col("before") + F.sum("n").over(ordered))
 
     def value_at(rank: Column) -> Column:
-        covers = (rank >= F.col("ends") - F.col("n")) & (rank < F.col("ends"))
+        covers = (rank >= F.col("end") - F.col("n")) & (rank < F.col("end"))
         return F.max(F.when(covers, F.col("value")))
 
-    found = placed.groupBy(group).agg(
-        *[value_at(r).alias(f"{name}__lo") for name, r in zip(names, lower)],
-        *[value_at(r).alias(f"{name}__hi") for name, r in zip(names, upper)],
-        *[F.max(x - r).alias(f"{name}__part") for name, x, r in zip(names, place, lower)],
-    )
-    return found.select(
-        group,
-        *[
-            (
-                F.col(f"{n}__lo") + (F.col(f"{n}__hi") - F.col(f"{n}__lo")) * F.col(f"{n}__part")
-            ).alias(n)
-            for n in names
-        ],
-    )
+    parts, results = [], []
+    for name, (place, lower, upper) in zip(names, _places(probabilities)):
+        parts += [
+            value_at(lower).alias(f"{name}__lo"),
+            value_at(upper).alias(f"{name}__hi"),
+            F.max(place - lower).alias(f"{name}__part"),
+        ]
+        low, high, part = (F.col(f"{name}__{x}") for x in ("lo", "hi", "part"))
+        results.append((low + (high - low) * part).alias(name))
+    found = ranked.groupBy(group).agg(*parts, *[F.max(c).alias(c) for c in carry])
+    return found.select(group, *results, *carry)
+
+
+def quantiles(
+    counts: DataFrame,
+    group: str,
+    probabilities: Sequence[float] = QUARTILES,
+    names: Sequence[str] = QUARTILE_NAMES,
+) -> DataFrame:
+    """(group, *names) for any number of groups, from ``value_counts``."""
+    totals = counts.groupBy(group, "bucket").agg(F.sum("n").alias("in_bucket"))
+    chosen = locate(totals, group, probabilities).select(group, "bucket", "before", "all_rows")
+    return interpolate(counts.join(chosen, [group, "bucket"]), group, probabilities, names)

@@ -5,12 +5,20 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.functions.student_t import correlation_p_value
-from tallyspark.operators.quantiles import long_value_counts, quantiles, value_counts
+from tallyspark.operators.quantiles import (
+    QUARTILE_NAMES,
+    bucket_of,
+    interpolate,
+    locate,
+    present,
+    quantiles,
+    value_counts,
+)
 from tallyspark.schemas import FACT_MEASURES, MONEY
 
 
@@ -31,35 +39,57 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def describe_numeric(fact: DataFrame, columns: Sequence[str] = FACT_MEASURES) -> DataFrame:
     """Per column: count, mean, sample deviation, extremes, exact quartiles.
 
-    Everything derives from the counts per distinct value: one pass over the fact.
+    Reads the fact twice and shuffles only bucket totals: the first pass merges
+    moments per bucket, the second counts single values in the few buckets that
+    hold a quartile. Those are at most two per column and quartile, so they are
+    broadcast whatever the size of the fact.
     """
-    counts = long_value_counts(fact, columns, "column_name")
-    basics = counts.groupBy("column_name").agg(
-        F.sum("n").alias("count"),
-        (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    pairs = F.array(
+        *[
+            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
+            for c in columns
+        ]
     )
-    off = F.col("value") - F.col("mean")
-    spread = (
-        counts.join(basics.select("column_name", "mean"), "column_name")
-        .groupBy("column_name")
-        .agg(F.sum(F.col("n") * off * off).alias("squares"))
-    )
-    return (
-        basics.join(spread, "column_name")
-        .join(quantiles(counts, "column_name"), "column_name")
-        .select(
-            "column_name",
-            "count",
+    values = present(fact.select(F.inline(pairs)), "column_name")
+    whole = Window.partitionBy("column_name")
+    off = F.col("bucket_mean") - F.col("mean")
+    totals = (
+        values.groupBy("column_name", "bucket")
+        .agg(
+            F.count(F.lit(1)).alias("in_bucket"),
+            F.avg("value").alias("bucket_mean"),
+            F.var_pop("value").alias("bucket_variance"),
+            F.min("value").alias("bucket_min"),
+            F.max("value").alias("bucket_max"),
+        )
+        .withColumn(
             "mean",
-            F.sqrt(F.try_divide(F.col("squares"), F.col("count") - 1)).alias("std"),
-            "min",
-            "q25",
-            "q50",
-            "q75",
-            "max",
+            F.sum(F.col("in_bucket") * F.col("bucket_mean")).over(whole)
+            / F.sum("in_bucket").over(whole),
         )
+        .withColumn(
+            "squares",
+            F.sum(F.col("in_bucket") * (F.col("bucket_variance") + off * off)).over(whole),
+        )
+        .withColumn("min", F.min("bucket_min").over(whole))
+        .withColumn("max", F.max("bucket_max").over(whole))
+    )
+    carried = ["all_rows", "mean", "squares", "min", "max"]
+    keys = ["column_name", "bucket"]
+    chosen = locate(totals, "column_name").select(*keys, "before", *carried)
+    counts = (
+        values.join(F.broadcast(chosen), keys)
+        .groupBy(*keys, "before", *carried, "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return interpolate(counts, "column_name", carry=carried).select(
+        "column_name",
+        F.col("all_rows").alias("count"),
+        "mean",
+        F.sqrt(F.try_divide(F.col("squares"), F.col("all_rows") - 1)).alias("std"),
+        "min",
+        *QUARTILE_NAMES,
+        "max",
     )
 
 
@@ -75,52 +105,76 @@ def _pearson(x: Column, y: Column) -> Column:
 
 
 def correlation_matrix(fact: DataFrame, columns: Sequence[str] = FACT_MEASURES) -> DataFrame:
-    """(column_a, column_b, r) for every ordered pair, in one aggregate."""
-    as_double = {c: F.col(c).cast("double") for c in columns}
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    wide = fact.select(*[e.alias(c) for c, e in as_double.items()]).agg(
-        *[_pearson(F.col(a), F.col(b)).alias(f"{a}|{b}") for a, b in pairs]
+    """(column_a, column_b, r) for every ordered pair, in one aggregate.
+
+    One record per column and row keeps the aggregate narrow enough for
+    generated code; a single row of all pairs is not.
+    """
+    as_double = [F.col(c).cast("double").alias(c) for c in columns]
+    records = F.array(
+        *[F.struct(F.lit(c).alias("column_a"), F.col(c).alias("paired_with")) for c in columns]
     )
-    cells = []
-    for a, b in pairs:
-        for first, second in [(a, b)] if a == b else [(a, b), (b, a)]:
-            cells.append(
-                F.struct(
-                    F.lit(first).alias("column_a"),
-                    F.lit(second).alias("column_b"),
-                    F.col(f"`{a}|{b}`").alias("r"),
-                )
-            )
-    return wide.select(F.inline(F.array(*cells)))
+    matrix = (
+        fact.select(*as_double)
+        .select(F.inline(records), *columns)
+        .groupBy("column_a")
+        .agg(*[_pearson(F.col("paired_with"), F.col(c)).alias(c) for c in columns])
+    )
+    return matrix.unpivot("column_a", list(columns), "column_b", "r")
 
 
 def boxplot_stats(fact: DataFrame, value: str = "unit_price") -> DataFrame:
-    """Per product name: quartiles, whiskers at the last value within 1.5 IQR, outliers."""
-    counts = value_counts(fact, "product_name", value)
-    quartiles = quantiles(counts, "product_name").withColumn(
-        "reach", (F.col("q75") - F.col("q25")) * 1.5
+    """Per product name: quartiles, whiskers at the last value within 1.5 IQR, outliers.
+
+    Nothing but the quartiles is keyed by product alone. The reach of the
+    whiskers is looked up among the bucket totals, and value by value only in
+    the two buckets where it ends.
+    """
+    group = "product_name"
+    counts = value_counts(fact, group, value)
+    reach = (F.col("q75") - F.col("q25")) * 1.5
+    limits = (
+        quantiles(counts, group)
+        .withColumn("low", F.col("q25") - reach)
+        .withColumn("high", F.col("q75") + reach)
+        .withColumn("low_bucket", bucket_of(F.col("low")))
+        .withColumn("high_bucket", bucket_of(F.col("high")))
+    )
+    keys = [group, *QUARTILE_NAMES]
+    between = (F.col("bucket") > F.col("low_bucket")) & (F.col("bucket") < F.col("high_bucket"))
+    totals = counts.groupBy(group, "bucket").agg(
+        F.sum("n").alias("n"), F.min("value").alias("lowest"), F.max("value").alias("highest")
+    )
+    inner = totals.join(limits, group).select(
+        *keys,
+        F.col("n").alias("rows"),
+        F.when(between, F.col("n")).otherwise(0).alias("inside"),
+        F.when(between, F.col("lowest")).alias("lowest"),
+        F.when(between, F.col("highest")).alias("highest"),
+    )
+    end_buckets = F.array_distinct(F.array("low_bucket", "high_bucket"))
+    ends = limits.select(*keys, "low", "high", F.explode(end_buckets).alias("bucket"))
+    edge = (
+        counts.join(ends, [group, "bucket"])
+        .where(F.col("value").between(F.col("low"), F.col("high")))
+        .select(
+            *keys,
+            F.lit(0).cast("bigint").alias("rows"),
+            F.col("n").alias("inside"),
+            F.col("value").alias("lowest"),
+            F.col("value").alias("highest"),
+        )
     )
-    low, high = F.col("q25") - F.col("reach"), F.col("q75") + F.col("reach")
-    v, n = F.col("value"), F.col("n")
     return (
-        counts.join(quartiles, "product_name")
-        .groupBy("product_name", "q25", "q50", "q75")
+        inner.unionAll(edge)
+        .groupBy(*keys)
         .agg(
-            F.sum("n").alias("count"),
-            F.min(F.when(v >= low, v)).alias("lowest_inside"),
-            F.max(F.when(v <= high, v)).alias("highest_inside"),
-            F.sum(F.when((v < low) | (v > high), n).otherwise(0)).alias("outliers"),
-        )
-        .select(
-            "product_name",
-            "count",
-            "q25",
-            "q50",
-            "q75",
-            F.least("lowest_inside", "q25").alias("whisker_low"),
-            F.greatest("highest_inside", "q75").alias("whisker_high"),
-            "outliers",
+            F.sum("rows").alias("count"),
+            F.least(F.min("lowest"), F.col("q25")).alias("whisker_low"),
+            F.greatest(F.max("highest"), F.col("q75")).alias("whisker_high"),
+            (F.sum("rows") - F.sum("inside")).alias("outliers"),
         )
+        .select(group, "count", *QUARTILE_NAMES, "whisker_low", "whisker_high", "outliers")
     )
 
 
@@ -227,9 +281,12 @@ def customer_product_pivot(
         ).otherwise(cells)
     elif on_repeat != "sum":
         raise ValueError(f"unknown on_repeat {on_repeat!r}")
-    pairs = agg_cp.groupBy("customer_id", listed.alias("product_name")).agg(cells.alias("cell"))
     return (
-        pairs.groupBy("customer_id").pivot("product_name", list(names)).agg(F.sum("cell")).fillna(0)
+        agg_cp.select("customer_id", listed.alias("product_name"), "total_transactions")
+        .groupBy("customer_id")
+        .pivot("product_name", list(names))
+        .agg(cells)
+        .fillna(0)
     )
 
 
