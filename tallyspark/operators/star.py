@@ -9,12 +9,25 @@ from tallyspark.schemas import MONEY
 
 
 def dim_products(fact: DataFrame) -> DataFrame:
-    """One row per product id with the name of its latest transaction."""
-    latest = F.max(F.struct("transaction_date", "transaction_id", "product_name"))
-    return (
+    """One row per product id with the name of its latest transaction.
+
+    Names are compared per (id, name) first, by one packed number that a hash
+    aggregate can hold, so the fact is not sorted; the second step sees one row
+    per name.
+    """
+    # Days since 1970 above 32 bits of transaction id, shifted to be positive.
+    recency = F.unix_date("transaction_date").cast("bigint") * 2**32 + (
+        F.col("transaction_id").cast("bigint") + 2**31
+    )
+    names = (
         fact.where("product_id IS NOT NULL")
-        .groupBy("product_id")
-        .agg(latest.alias("latest"))
+        .groupBy("product_id", "product_name")
+        .agg(F.max(recency).alias("recency"))
+    )
+    latest = F.max(F.struct("recency", "product_name")).alias("latest")
+    return (
+        names.groupBy("product_id")
+        .agg(latest)
         .select("product_id", F.col("latest.product_name").alias("product_name"))
     )
 
@@ -60,29 +73,32 @@ def star_slice(
 ) -> DataFrame:
     """Revenue of one calendar month by customer cohort, product and day type.
 
-    The date filter comes first and the fact is added up per customer, product
-    and day type before it meets the large dimensions: a hot customer or
-    product then joins with few rows. Spark broadcasts a dimension that is
-    below its threshold.
+    The fact is added up before each join with a large dimension: per customer
+    and product before it meets the customers, per product and cohort before it
+    meets the products. A hot customer then joins with one row per product, a
+    hot product with one per cohort. Spark broadcasts a dimension that is below
+    its threshold and splits what is still uneven.
     """
-    days = dates.where(F.col("month") == month).select("date_id", "month_name", "is_weekend")
-    summed = (
+    measures = ["transactions", "units", "revenue"]
+    day_type = ["month_name", "is_weekend"]
+    sums = [F.sum(name).alias(name) for name in measures]
+    days = dates.where(F.col("month") == month).select("date_id", *day_type)
+    cohorts = customers.select("customer_id", F.year("first_transaction_date").alias("cohort"))
+    per_pair = (
         star.join(days, "date_id")
-        .groupBy("customer_id", "product_id", "month_name", "is_weekend")
+        .groupBy("customer_id", "product_id", *day_type)
         .agg(
             F.count(F.lit(1)).alias("transactions"),
             F.sum("quantity").alias("units"),
             F.sum("total_amount").alias("revenue"),
         )
     )
-    cohorts = customers.select("customer_id", F.year("first_transaction_date").alias("cohort"))
+    per_cohort = (
+        per_pair.join(cohorts, "customer_id").groupBy("product_id", "cohort", *day_type).agg(*sums)
+    )
     return (
-        summed.join(products, "product_id")
-        .join(cohorts, "customer_id")
-        .groupBy("month_name", "is_weekend", "product_name", "cohort")
-        .agg(
-            F.sum("transactions").alias("transactions"),
-            F.sum("units").alias("units"),
-            F.sum("revenue").cast(MONEY).alias("revenue"),
-        )
+        per_cohort.join(products, "product_id")
+        .groupBy("product_name", "cohort", *day_type)
+        .agg(*sums)
+        .withColumn("revenue", F.col("revenue").cast(MONEY))
     )

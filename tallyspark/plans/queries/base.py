@@ -93,6 +93,11 @@ def _measures(units: str) -> str:
         CAST(round(sum(tax), 2) AS DECIMAL(38,2)) AS total_taxes"""
 
 
+# Tax per gross in percent, rounded half up to four digits, in whole numbers.
+_GROSS = "nullif(CAST(price * 1000000 AS HUGEINT) * quantity, 0)"
+_RATE = f"""CAST(CAST((2 * CAST(tax * 1000000 AS HUGEINT) * 1000000 + {_GROSS}) // (2 * {_GROSS})
+        AS DECIMAL(22,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(29,4))"""
+
 _ANY_ERROR = """transaction_id IS NULL OR customer_id IS NULL OR transaction_date IS NULL
         OR quantity IS NULL OR price IS NULL OR tax IS NULL"""
 
@@ -158,12 +163,11 @@ _LAYERS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "fact": (
         ("staged",),
-        """SELECT transaction_id, customer_id, product_id, product_name, transaction_date, quantity,
+        f"""SELECT transaction_id, customer_id, product_id, product_name, transaction_date, quantity,
         price AS unit_price, tax,
         CAST(round(price * quantity, 2) AS DECIMAL(38,2)) AS gross_amount,
         CAST(round(price * quantity + tax, 2) AS DECIMAL(38,2)) AS total_amount,
-        CAST(round(CAST(tax AS DOUBLE) / CAST(nullif(price * quantity, 0) AS DOUBLE) * 100, 4)
-             AS DECIMAL(29,4)) AS tax_rate_pct,
+        {_RATE} AS tax_rate_pct,
         loaded_at
         FROM staged
         WHERE is_valid AND price IS NOT NULL AND quantity IS NOT NULL AND tax IS NOT NULL""",

@@ -182,14 +182,29 @@ def sort_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.sorted_mart("agg_by_customer_product", by_customer_product(spark, sf_dir))
 
 
+@query("sort_agg_by_customer", "SELECT * FROM {agg_by_customer} ORDER BY customer_id")
+def sort_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.sorted_mart("agg_by_customer", agg_by_customer(spark, sf_dir))
+
+
+@query("sort_agg_by_product", "SELECT * FROM {agg_by_product} ORDER BY product_id NULLS LAST")
+def sort_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.sorted_mart("agg_by_product", agg_by_product(spark, sf_dir))
+
+
 @query(
     "sort_audit_by_customer",
     "SELECT * FROM {errors_by_customer} ORDER BY total_rows_with_errors DESC, customer_id",
 )
-def sort_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sort_audit_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.sorted_mart("audit_errors_by_customer", errors_by_customer(spark, sf_dir))
 
 
+@query("sort_audit_by_load_date", "SELECT * FROM {errors_by_load_date} ORDER BY load_date")
+def sort_audit_by_load_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.sorted_mart("audit_errors_by_load_date", errors_by_load_date(spark, sf_dir))
+
+
 @query("rank_customers_by_revenue", "SELECT customer_id, total_paid FROM {agg_by_customer}")
 def customers_by_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.ranked(by_customer(spark, sf_dir), "total_paid", ["customer_id"])
