@@ -20,6 +20,7 @@ STRICT = "strict"
 UNSIGNED_NUMBER = r"^\d+(\.\d+)?\z"
 DAY_FIRST_DATE = r"^\d{2}-\d{2}-\d{4}\z"
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}\z"
+EITHER_DATE = r"^(\d{2}-\d{2}-\d{4}|\d{4}-\d{2}-\d{2})\z"
 
 
 def _converted(value: Column, must_convert: Column, text: Column, what: str, mode: str) -> Column:
@@ -50,11 +51,14 @@ def clean_customer_id(text: Column, mode: str = LENIENT) -> Column:
 
 def clean_date(text: Column, mode: str = LENIENT) -> Column:
     """Day-first or ISO date; any other shape is NULL in both modes."""
-    day_first = text.rlike(DAY_FIRST_DATE)
+    reordered = F.concat_ws(
+        "-", F.substring(text, 7, 4), F.substring(text, 4, 2), F.substring(text, 1, 2)
+    )
+    # One pattern match; the third character then tells the two shapes apart.
     iso_text = F.when(
-        day_first,
-        F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 4, 2), F.substring(text, 1, 2)),
-    ).when(text.rlike(ISO_DATE), text)
+        text.rlike(EITHER_DATE),
+        F.when(F.substring(text, 3, 1) == "-", reordered).otherwise(text),
+    )
     return _converted(
         iso_text.try_cast("date"), iso_text.isNotNull(), text, "transaction_date", mode
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,113 +63,69 @@ def _money(column: Column) -> Column:
     return F.round(column, 2).cast(MONEY)
 
 
-def _by_key_with_members(
-    rows: DataFrame,
-    keys: Sequence[str],
-    member: str,
-    sums: Mapping[str, Column],
-) -> DataFrame:
-    """Per key: two exact distinct counts, the distinct members, and sums.
+def _activity(member: str) -> list[Column]:
+    """Distinct transactions, first and last day, and the distinct members.
 
-    A row becomes two narrow records: (transaction id) and (member, measures).
-    Grouping by key, kind and value spreads a hot key over all tasks and makes
-    both value sets distinct, so that the second grouping, by key alone, only
-    counts them. One pass over the input, and every step combines map-side.
+    Spark plans all distinct aggregates together: rows are first grouped by key
+    and distinct value, which spreads a hot key over all tasks and combines
+    map-side, and only then by key alone. The array is part of that, so that no
+    task ever gathers repeated members.
     """
-    none = {name: F.lit(None) for name in ("date", *sums)}
-
-    def record(kind: int, value: str, measures: Mapping[str, Column]) -> Column:
-        return F.struct(
-            F.lit(kind).alias("kind"),
-            F.col(value).alias("value"),
-            *[c.alias(name) for name, c in measures.items()],
-        )
-
-    carried = {"date": F.col("transaction_date"), **sums}
-    # The full record comes first: it gives the array its element types.
-    records = F.array(record(1, member, carried), record(0, "transaction_id", none))
-    distinct = (
-        rows.select(*keys, F.inline(records))
-        .groupBy(*keys, "kind", "value")
-        .agg(
-            F.min("date").alias("first"),
-            F.max("date").alias("last"),
-            *[F.sum(name).alias(name) for name in sums],
-        )
-    )
-    is_member = F.col("kind") == 1
-    return distinct.groupBy(*keys).agg(
-        F.count(F.when(~is_member, F.col("value"))).alias("transactions"),
-        F.min("first").alias("first_transaction_date"),
-        F.max("last").alias("last_transaction_date"),
-        F.count(F.when(is_member, F.col("value"))).alias("members"),
+    return [
+        F.count_distinct("transaction_id").alias("total_transactions"),
+        F.min("transaction_date").alias("first_transaction_date"),
+        F.max("transaction_date").alias("last_transaction_date"),
+        F.count_distinct(member).alias("members"),
         sorted_with_null_last(
-            F.collect_list(F.when(is_member, F.col("value"))),
-            F.count_if(is_member & F.col("value").isNull()) > 0,
+            F.expr(f"array_agg(DISTINCT {member})"), F.count_if(F.col(member).isNull()) > 0
         ).alias("member_list"),
-        *[F.sum(name).alias(name) for name in sums],
-    )
+    ]
 
 
 def dim_customers(staged: DataFrame) -> DataFrame:
     """One row per customer; sums are rounded once, after adding up."""
-    sums = {
-        "gross": gross(),
-        "tax_paid": F.col("tax"),
-        "with_tax": gross() + F.col("tax"),
-        "price_sum": F.col("price"),
-        "price_count": F.lit(1).cast("bigint"),
-    }
-    grouped = _by_key_with_members(priced_rows(staged), ["customer_id"], "product_id", sums)
-    return grouped.select(
-        "customer_id",
-        "first_transaction_date",
-        "last_transaction_date",
-        F.col("transactions").alias("total_transactions"),
-        F.col("members").alias("distinct_products_purchased"),
-        _money(F.col("gross")).alias("total_gross_amount"),
-        _money(F.col("tax_paid")).alias("total_tax_paid"),
-        _money(F.col("with_tax")).alias("total_amount_incl_tax"),
-        _money(F.col("price_sum") / F.col("price_count")).alias("avg_unit_price"),
+    mean_price = F.sum("price") / F.count("price")
+    return (
+        priced_rows(staged)
+        .groupBy("customer_id")
+        .agg(
+            F.min("transaction_date").alias("first_transaction_date"),
+            F.max("transaction_date").alias("last_transaction_date"),
+            F.count_distinct("transaction_id").alias("total_transactions"),
+            F.count_distinct("product_id").alias("distinct_products_purchased"),
+            _money(F.sum(gross())).alias("total_gross_amount"),
+            _money(F.sum("tax")).alias("total_tax_paid"),
+            _money(F.sum(gross() + F.col("tax"))).alias("total_amount_incl_tax"),
+            _money(mean_price).alias("avg_unit_price"),
+        )
     )
 
 
-def _fact_sums() -> dict[str, Column]:
-    return {
-        "units": F.col("quantity"),
-        "paid": F.col("total_amount"),
-        "taxes": F.col("tax"),
-    }
+def _sums(units: str) -> list[Column]:
+    return [
+        F.sum("quantity").alias(units),
+        _money(F.sum("total_amount")).alias("total_paid"),
+        _money(F.sum("tax")).alias("total_taxes"),
+    ]
 
 
 def agg_by_customer(fact: DataFrame) -> DataFrame:
-    grouped = _by_key_with_members(fact, ["customer_id"], "product_id", _fact_sums())
-    return grouped.select(
-        "customer_id",
-        F.col("transactions").alias("total_transactions"),
-        "first_transaction_date",
-        "last_transaction_date",
-        F.col("member_list").alias("product_ids"),
-        F.col("members").alias("count_different_products"),
-        F.col("units").alias("total_products"),
-        _money(F.col("paid")).alias("total_paid"),
-        _money(F.col("taxes")).alias("total_taxes"),
+    return (
+        fact.groupBy("customer_id")
+        .agg(*_activity("product_id"), *_sums("total_products"))
+        .withColumnsRenamed(
+            {"member_list": "product_ids", "members": "count_different_products"}
+        )
     )
 
 
 def agg_by_product(fact: DataFrame) -> DataFrame:
-    keys = ["product_id", "product_name"]
-    grouped = _by_key_with_members(fact, keys, "customer_id", _fact_sums())
-    return grouped.select(
-        *keys,
-        F.col("transactions").alias("total_transactions"),
-        "first_transaction_date",
-        "last_transaction_date",
-        F.col("member_list").alias("customer_ids"),
-        F.col("members").alias("count_different_customers"),
-        F.col("units").alias("total_products"),
-        _money(F.col("paid")).alias("total_paid"),
-        _money(F.col("taxes")).alias("total_taxes"),
+    return (
+        fact.groupBy("product_id", "product_name")
+        .agg(*_activity("customer_id"), *_sums("total_products"))
+        .withColumnsRenamed(
+            {"member_list": "customer_ids", "members": "count_different_customers"}
+        )
     )
 
 
@@ -180,7 +134,5 @@ def agg_by_customer_product(fact: DataFrame) -> DataFrame:
         F.count_distinct("transaction_id").alias("total_transactions"),
         F.min("transaction_date").alias("first_transaction_date"),
         F.max("transaction_date").alias("last_transaction_date"),
-        F.sum("quantity").alias("total_quantity"),
-        _money(F.sum("total_amount")).alias("total_paid"),
-        _money(F.sum("tax")).alias("total_taxes"),
+        *_sums("total_quantity"),
     )

@@ -13,7 +13,7 @@ from tallyspark.sources.derived import DERIVED_POSITION, raw_transactions
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
-_ORACLES: dict[str, str] = {}
+_SQL: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -24,7 +24,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
             raise ValueError(f"query {name!r} is registered twice")
         _QUERIES[name] = function
         if sql is not None:
-            _ORACLES[name] = with_layers(sql)
+            _SQL[name] = sql
         return function
 
     return register
@@ -35,7 +35,15 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return {name: with_layers(sql) for name, sql in _SQL.items()}
+
+
+def sql_over_views(name: str) -> str:
+    """The SQL side of a query or layer, its layers being views of their names."""
+    sql = _LAYERS[name][1] if name in _LAYERS else _SQL[name]
+    for layer in _LAYERS:
+        sql = sql.replace("{" + layer + "}", layer)
+    return sql
 
 
 # --- layers -------------------------------------------------------------------

@@ -31,10 +31,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Give every core work where a small table is read by too few tasks.
+
+    A file with a single row group is one task, whatever its size. A table with
+    at least one scan task per core is left as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(cores, "row_seq")
+
+
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows with their position columns."""
-    lines = read_table(spark, sf_dir, "lineitem").withColumn(
-        "row_seq", F.monotonically_increasing_id()
+    lines = _spread(
+        read_table(spark, sf_dir, "lineitem").withColumn(
+            "row_seq", F.monotonically_increasing_id()
+        )
     )
     # Text of an order or part is made once there, not once per line. Dates go
     # through DATE, so that no session time zone can shift them.
