@@ -83,14 +83,14 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child keys without parent and how many rows hold each.
 
-    The child is counted per key first, so a hot key joins as one row.
+    Both sides have one row per key before they join, so a hot key stays small.
     """
     keys = (
         child.where(F.col(column).isNotNull())
         .groupBy(column)
         .agg(F.count(F.lit(1)).alias("child_rows"))
     )
-    known = parent.select(F.col(parent_column).alias(column))
+    known = parent.select(F.col(parent_column).alias(column)).distinct()
     return keys.join(known, column, "left_anti")
 
 

@@ -36,6 +36,11 @@ def sql_side():
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, sql_side, name):
     df = entry.queries()[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert operator not in plan
+    if name != "linreg_p_values":
+        assert "InPandas" not in plan and "ArrowEval" not in plan
     columns, rows = compare.spark_rows(df)
     assert rows
     if SF_DIR.endswith("sf0.001") and name in EXPECTED:

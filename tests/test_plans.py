@@ -25,15 +25,6 @@ def stored(spark, tmp_path_factory):
     return spark.read.parquet(path)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_no_cross_joins_and_no_python_rows(spark, name):
-    text = plan(entry.queries()[name](spark, SF_DIR))
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
-        assert operator not in text
-    if name != "linreg_p_values":
-        assert "InPandas" not in text and "ArrowEval" not in text
-
-
 def test_first_wins_limits_before_the_shuffle(spark):
     text = plan(landing.first_wins(base.raw(spark, SF_DIR), ["row_seq"]))
     assert "1, Partial" in text and "1, Final" in text
