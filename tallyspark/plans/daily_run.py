@@ -100,6 +100,7 @@ def run(
     with_star: bool = False,
     check_first: bool = False,
     stop_on_failure: bool = True,
+    multi_line: bool = False,
 ) -> RunResult:
     """Land, build, check.
 
@@ -107,7 +108,7 @@ def run(
     tables are built in a scratch folder and only published once all checks pass.
     """
     spark = warehouse.spark
-    metrics = land(warehouse, read_batch(spark, paths), load_id, batch_ts)
+    metrics = land(warehouse, read_batch(spark, paths, multi_line), load_id, batch_ts)
     if not check_first:
         tables = build_tables(warehouse, mode, with_star)
         checks = materialize(quality.run_suite(tables), "checks")
