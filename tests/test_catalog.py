@@ -6,6 +6,7 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from tallyspark.plans import queries as catalog
 from tallyspark.plans.queries import base
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -33,9 +34,9 @@ def sql_side():
     return compare.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query(spark, sql_side, name):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = catalog.queries()[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
         assert operator not in plan
@@ -50,7 +51,7 @@ def test_query(spark, sql_side, name):
 
 
 def test_only_the_p_values_have_no_sql_side():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"linreg_p_values"}
+    assert set(catalog.queries()) - set(catalog.oracle_sql()) == {"linreg_p_values"}
 
 
 def test_known_counts(spark):
@@ -69,7 +70,7 @@ def test_session_time_zone_does_not_matter(spark):
     try:
         con = compare.connect(SF_DIR)
         for name in ("audit_errors_by_load_date", "daily_activity", "dim_date", "load_timestamp"):
-            df = entry.queries()[name](spark, SF_DIR)
+            df = catalog.queries()[name](spark, SF_DIR)
             assert compare.spark_rows(df) == compare.sql_rows(con, entry.oracle_sql()[name])
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
