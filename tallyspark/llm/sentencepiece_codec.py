@@ -8,7 +8,7 @@ table backwards recovers the ids. This takes linear time however long a text is.
 
 No vocabulary entry goes on with a space mark after another character, and characters
 outside the vocabulary never merge. Texts are therefore cut there, and the encoding of a
-piece is remembered (``CACHE`` pieces a process) since words repeat.
+piece is remembered (at most twice ``CACHE`` pieces a process) since words repeat.
 
 Defined results: null text counts as empty; an empty text has only the end id and decodes
 to an empty text. Repeated rows are each answered.
@@ -29,23 +29,27 @@ from tallyspark.llm.common import small_batches
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-CACHE = 250_000
+CACHE = 300_000
 CACHED_CHARS = 48
 
 
 class _Memo(dict):
-    """Values made on first use; forgotten all at once when there are too many."""
+    """Values made on first use. When there are ``limit``, only those used again stay."""
 
     def __init__(self, make, limit: int):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.former = make, limit, {}
 
     def __missing__(self, key):
-        value = self.make(key)
-        if len(key) <= CACHED_CHARS:
-            if len(self) >= self.limit:
-                self.clear()
-            self[key] = value
+        value = self.former.get(key)
+        if value is None:
+            value = self.make(key)
+            if len(key) > CACHED_CHARS:
+                return value
+        if len(self) >= self.limit:
+            self.former = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
@@ -141,6 +145,8 @@ class Codec:
 
     def piece_ids(self, text: str) -> list[int]:
         """Ids of a piece; characters outside the vocabulary become their UTF-8 bytes."""
+        if not self.parts.search(text):
+            return self._known(text)
         out: list[int] = []
         for k, part in enumerate(self.parts.split(text)):
             if k % 2:
