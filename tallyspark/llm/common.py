@@ -11,6 +11,9 @@ from tallyspark.session import materialize
 FOLDS = 5
 HELD_OUT_FOLD = 0
 
+# Longer keys are not remembered.
+CACHED_CHARS = 48
+
 # Rows of one Arrow batch: with texts of 100 kB a batch stays near 50 MB.
 BATCH_ROWS = 500
 
@@ -19,6 +22,29 @@ _MIX_2 = np.uint64(0x94D049BB133111EB)
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
+class Memo(dict):
+    """Values made on first use. When there are ``limit``, only those used again stay."""
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit, self.former = make, limit, {}
+
+    def __missing__(self, key):
+        value = self.former.get(key)
+        if value is None:
+            value = self.make(key)
+            if len(key) > CACHED_CHARS:
+                return value
+        self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self) >= self.limit:
+            self.former = dict(self)
+            self.clear()
+        self[key] = value
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import fingerprints, pii, sentencepiece_codec, warc
+from tallyspark.llm import fingerprints, packing, pii, sentencepiece_codec, warc
 from tallyspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digests(table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,7 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op3_warc": op3_warc,
+    "op5_packing": op5_packing,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_fingerprints": op7_fingerprints,
 }

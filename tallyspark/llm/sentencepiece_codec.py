@@ -25,32 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import small_batches
+from tallyspark.llm.common import Memo, small_batches
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 CACHE = 300_000
-CACHED_CHARS = 48
-
-
-class _Memo(dict):
-    """Values made on first use. When there are ``limit``, only those used again stay."""
-
-    def __init__(self, make, limit: int):
-        super().__init__()
-        self.make, self.limit, self.former = make, limit, {}
-
-    def __missing__(self, key):
-        value = self.former.get(key)
-        if value is None:
-            value = self.make(key)
-            if len(key) > CACHED_CHARS:
-                return value
-        if len(self) >= self.limit:
-            self.former = dict(self)
-            self.clear()
-        self[key] = value
-        return value
 
 
 class Codec:
@@ -83,8 +62,8 @@ class Codec:
         self.parts = re.compile(f"({outside})")
         self.words = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
         self.raw = self._raw_bytes()
-        self.after_space = _Memo(lambda word: self._entry(SPACE + word), CACHE)
-        self.as_is = _Memo(self._entry, CACHE)
+        self.after_space = Memo(lambda word: self._entry(SPACE + word), CACHE)
+        self.as_is = Memo(self._entry, CACHE)
 
     def _raw_bytes(self) -> list[bytes]:
         special = {i: bytes([b]) for b, i in self.byte_ids.items()}
