@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import fingerprints, packing, pii, sentencepiece_codec, warc
+from tallyspark.llm import fingerprints, language_id, packing, pii, quality, sentencepiece_codec, toxicity, warc
 from tallyspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,10 +16,22 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and every page, one row each (doc_id or page_id is set)."""
+    docs = table(spark, sf_dir, "documents")
+    rows = language_id.of_documents(docs).unionByName(language_id.of_pages(table(spark, sf_dir, "pages")))
+    return language_id.identify(rows, language_id.fit(docs))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -32,12 +44,23 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.against_next(table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs.select(docs.doc_id.cast("long").alias("doc_id"), "text"), model).select(
+        "doc_id", "held_out", "score", "predicted"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
+    "op2_language_id": op2_language_id,
     "op3_warc": op3_warc,
+    "op4_toxicity": op4_toxicity,
     "op5_packing": op5_packing,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_fingerprints": op7_fingerprints,
+    "op9_quality": op9_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}
