@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import fingerprints, language_id, packing, pii, quality, sentencepiece_codec, toxicity, warc
+from tallyspark.llm import (
+    embedding_dedup,
+    fingerprints,
+    language_id,
+    packing,
+    pii,
+    quality,
+    sentencepiece_codec,
+    toxicity,
+    warc,
+)
 from tallyspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +54,10 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.against_next(table(spark, sf_dir, "documents"))
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.deduplicate(table(spark, sf_dir, "embeddings"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -60,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op5_packing": op5_packing,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_fingerprints": op7_fingerprints,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op9_quality": op9_quality,
 }
 
