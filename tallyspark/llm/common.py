@@ -135,9 +135,10 @@ def shingles(text: str, width: int) -> np.ndarray:
     if not count:
         return words
     size = min(count, width)
-    total = np.full(count - size + 1, size, np.uint64) * _GOLDEN
+    places = np.arange(size + 1, dtype=np.uint64) * _GOLDEN
+    total = np.full(count - size + 1, places[size], np.uint64)
     for j in range(size):
-        total = total + mix(words[j : count - size + 1 + j] + np.uint64(j + 1) * _GOLDEN)
+        total = total + mix(words[j : count - size + 1 + j] + places[j])
     return np.unique(mix(total))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyspark.llm import (
     embedding_dedup,
     fingerprints,
+    jaccard_join,
     language_id,
     packing,
     pii,
@@ -66,6 +67,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_language_id": op2_language_id,
@@ -76,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op7_fingerprints": op7_fingerprints,
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_quality": op9_quality,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}
