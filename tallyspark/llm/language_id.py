@@ -104,12 +104,13 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> TextModel:
         .collect()
     )
     languages = sorted({row.lang for row in counted})
-    table = np.full((len(languages) + 1, _BUCKETS), SMOOTHING)
+    table = np.zeros((len(languages), _BUCKETS))
     for row in counted:
-        table[languages.index(row.lang), row.bucket] += row.n
-    weights = np.log(table / table.sum(axis=1, keepdims=True))
-    used = max(int((table[:-1] > SMOOTHING).any(axis=0).sum()), 1) if languages else 1
-    weights[-1] = -np.log(used) if languages else 0.0
+        table[languages.index(row.lang), row.bucket] = row.n
+    # The buckets any language uses, and one for all others.
+    used = int(table.any(axis=0).sum()) + 1
+    weights = np.full((len(languages) + 1, _BUCKETS), -np.log(used))
+    weights[:-1] = np.log((table + SMOOTHING) / (table.sum(axis=1, keepdims=True) + SMOOTHING * used))
     return TextModel([*languages, UNKNOWN], weights)
 
 
@@ -237,9 +238,9 @@ def keep_identified(docs: DataFrame, model: TextModel) -> DataFrame:
     text_hash = F.xxhash64("text")
     rows = of_documents(docs).withColumn("text_hash", text_hash)
     verdicts = identify(rows, model).where("accepted").select(
-        F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash")
+        F.col("doc_id").alias("__kept_id"), F.col("text_hash").alias("__kept_hash")
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (text_hash == F.col("_text_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("__kept_id")) & (text_hash == F.col("__kept_hash"))
     return docs.join(verdicts, same, "left_semi")
 
 

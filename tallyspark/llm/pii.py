@@ -23,9 +23,9 @@ IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IBAN = (
-    r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+    r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9_])"
 )
-SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+SSN = r"(?<![A-Za-z0-9_])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9_])"
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("iban", "ssn")
@@ -134,8 +134,8 @@ def _valid(kind: str, found: Column) -> Column:
 def _score(kind: str, text: Column, start: Column) -> Column:
     begin = F.greatest(start - CONTEXT_CHARS, F.lit(0))
     before = F.lower(F.substring(text, (begin + 1).cast("int"), (start - begin).cast("int")))
-    raised = F.when(before.rlike(rf"\b(?:{RAISING[kind]})"), CONTEXT_WEIGHT).otherwise(0.0)
-    lowered = F.when(before.rlike(rf"\b(?:{LOWERING})\b"), CONTEXT_WEIGHT).otherwise(0.0)
+    raised = F.when(before.rlike(rf"(?<![a-z0-9_])(?:{RAISING[kind]})"), CONTEXT_WEIGHT).otherwise(0.0)
+    lowered = F.when(before.rlike(rf"(?<![a-z0-9_])(?:{LOWERING})(?![a-z0-9_])"), CONTEXT_WEIGHT).otherwise(0.0)
     return F.least(F.lit(1.0), F.lit(SCORES[kind]) + raised - lowered)
 
 

@@ -19,6 +19,9 @@ from tallyspark.llm import (
     warc,
 )
 from tallyspark.llm.common import table
+from tallyspark.llm.oracle import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,5 +87,3 @@ QUERIES: dict[str, Query] = {
     "op9_quality": op9_quality,
     "op10_jaccard_join": op10_jaccard_join,
 }
-
-ORACLE_SQL: dict[str, str] = {}
