@@ -26,7 +26,7 @@ from tallyspark.plans import queries as catalog
 from tallyspark.plans.daily_run import build_tables, land
 from tallyspark.session import local_session
 from tallyspark.sources.csv_source import FILE_POSITION, read_batch, write_transactions
-from tallyspark.sources.derived import DERIVED_PRODUCT_NAMES, raw_transactions
+from tallyspark.sources.derived import raw_transactions
 from tallyspark.sources.tables import Warehouse
 
 END_TO_END = (
@@ -99,7 +99,7 @@ def timed_steps(spark, warehouse: Warehouse, files: str, sf_dir: str, folder: st
         "correlation_matrix": lambda: drain(explore.correlation_matrix(fact)),
         "boxplot_stats": lambda: drain(explore.boxplot_stats(fact)),
         "linreg": lambda: drain(explore.linear_fit(fact, "quantity", "gross_amount")),
-        "pivot": lambda: drain(explore.customer_product_pivot(pairs, DERIVED_PRODUCT_NAMES)),
+        "pivot": lambda: drain(explore.customer_product_pivot(pairs)),
         "daily_activity": lambda: drain(explore.daily_activity(fact)),
         "rank_customers": lambda: drain(ranking.ranked(customers, "total_paid", ["customer_id"])),
     }
@@ -112,8 +112,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = local_session("bench", cpus)
     folder = tempfile.mkdtemp(prefix="bench-")
+    spark = local_session("bench", cpus, **{"spark.checkpoint.dir": f"{folder}/shared"})
     warehouse, files = prepare(spark, sf_dir, cpus, folder)
     raw_rows = raw_transactions(spark, sf_dir).count()
 

@@ -66,7 +66,7 @@ def main() -> None:
 
     for name in END_TO_END:
         clock(f"e2e_{name}", oracle_sql()[name])
-    for layer, file in (("landed", "landed"), ("fact", "fact")):
+    for layer, file in (("landed", "landed"), ("fact", "fact"), ("typical_fact", "typical_fact")):
         target = f"{folder}/{file}.parquet"
         con.execute(f"COPY ({base.with_layers(f'SELECT * FROM {{{layer}}}')}) TO '{target}'")
         con.execute(f"CREATE VIEW {layer} AS SELECT * FROM read_parquet('{target}')")

@@ -19,6 +19,10 @@ from tallyspark.schemas import RAW_LIMITS
 ID = "transaction_id"
 _SLOT = "__slot"
 
+# A bitmap aggregate holds 32,768 bits; the map has 4,096 of them.
+_BLOCK_BITS = 32_768
+_MAP_BITS = 4_096 * _BLOCK_BITS
+
 
 def _with_slot(batch: DataFrame, position: Sequence[str]) -> DataFrame:
     """Add the partitioning key that goes before the id.
@@ -37,14 +41,33 @@ def _winners(slotted: DataFrame, position: Sequence[str]) -> DataFrame:
     return slotted.withColumn("__rank", F.rank().over(window)).where("__rank = 1").drop("__rank")
 
 
+def _place(bits: Column) -> tuple[Column, Column]:
+    """Block and place of an id's bit in a map of ``_MAP_BITS`` bits."""
+    return F.shiftright(bits, _BLOCK_BITS.bit_length() - 1), bits.bitwiseAND(F.lit(_BLOCK_BITS - 1))
+
+
+def _id_map(batch: DataFrame) -> DataFrame:
+    """A bit for each id of a batch, in blocks: at most 4,096 rows of 4 kB."""
+    block, place = _place(F.pmod(F.xxhash64(ID), F.lit(_MAP_BITS)))
+    ids = batch.where(F.col(ID).isNotNull())
+    return ids.groupBy(block.alias("__block")).agg(F.bitmap_construct_agg(place).alias("__map"))
+
+
+def _perhaps_in(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """The target's ids whose bit the batch has set: all it shares, and few others.
+
+    The map is broadcast; its size is fixed, whatever the size of batch and target. The
+    target is thereby cut where it is read and only what is left of it is shuffled.
+    """
+    block, place = _place(F.pmod(F.xxhash64(ID), F.lit(_MAP_BITS)))
+    ids = target.where(F.col(ID).isNotNull()).select(ID, block.alias("__block"), place.alias("__place"))
+    byte = F.substring("__map", (F.shiftright("__place", 3) + 1).cast("int"), F.lit(1))
+    bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod("__place", F.lit(8)).cast("int"))
+    return ids.join(F.broadcast(_id_map(batch)), "__block").where(bit == 1).select(ID)
+
+
 def _unseen(slotted: DataFrame, batch: DataFrame, target: DataFrame) -> DataFrame:
-    batch_ids = batch.where(F.col(ID).isNotNull()).select(ID).distinct()
-    present = (
-        target.where(F.col(ID).isNotNull())
-        .select(ID)
-        .join(batch_ids, ID, "left_semi")
-        .select(F.col(ID), F.xxhash64(ID).alias(_SLOT))
-    )
+    present = _perhaps_in(target, batch).select(F.col(ID), F.xxhash64(ID).alias(_SLOT))
     return slotted.join(present, [_SLOT, ID], "left_anti")
 
 
@@ -61,9 +84,8 @@ def skip_existing(batch: DataFrame, target: DataFrame, position: Sequence[str])
     """Drop rows whose id the target holds already; the target never changes.
 
     The target may be far larger than the batch, so its id column is first cut
-    down to the batch's ids. Spark broadcasts the batch ids when they are below
-    its threshold and shuffles otherwise. Rows without an id match nothing; the
-    slot spreads them.
+    down by a map of the batch's ids, where it is read. Rows without an id match
+    nothing; the slot spreads them.
     """
     return _unseen(_with_slot(batch, position), batch, target).drop(_SLOT)
 

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.arrays import sorted_with_null_last
-from tallyspark.schemas import MONEY, RATE
+from tallyspark.functions.decimals import rounded_quotient
+from tallyspark.schemas import AMOUNT_SCALE, MONEY, RATE
 
 
 def valid_rows(staged: DataFrame) -> DataFrame:
@@ -38,8 +39,7 @@ def total_amount() -> Column:
 
 def tax_rate_pct() -> Column:
     """NULL where the gross is zero."""
-    rate = F.col("tax") / F.nullif(gross(), F.lit(0).cast("decimal(31,6)")) * F.lit(100)
-    return F.round(rate, 4).cast(RATE)
+    return rounded_quotient(F.col("tax") * F.lit(100), gross(), 4).cast(RATE)
 
 
 def fact_transactions(staged: DataFrame) -> DataFrame:
@@ -59,6 +59,12 @@ def fact_transactions(staged: DataFrame) -> DataFrame:
     )
 
 
+def mean_amount(column: str) -> Column:
+    """Mean of an amount, rounded once; ``avg`` of a decimal would round twice."""
+    total = F.sum(column).cast(f"decimal(34,{AMOUNT_SCALE})")
+    return rounded_quotient(total, F.count(column).cast("decimal(20,0)"), 2).cast(MONEY)
+
+
 def _money(column: Column) -> Column:
     return F.round(column, 2).cast(MONEY)
 
@@ -84,7 +90,6 @@ def _activity(member: str) -> list[Column]:
 
 def dim_customers(staged: DataFrame) -> DataFrame:
     """One row per customer; sums are rounded once, after adding up."""
-    mean_price = F.sum("price") / F.count("price")
     return (
         priced_rows(staged)
         .groupBy("customer_id")
@@ -96,7 +101,7 @@ def dim_customers(staged: DataFrame) -> DataFrame:
             _money(F.sum(gross())).alias("total_gross_amount"),
             _money(F.sum("tax")).alias("total_tax_paid"),
             _money(F.sum(gross() + F.col("tax"))).alias("total_amount_incl_tax"),
-            _money(mean_price).alias("avg_unit_price"),
+            mean_amount("price").alias("avg_unit_price"),
         )
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -36,6 +36,18 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return result
 
 
+def mart_row_counts(fact: DataFrame) -> DataFrame:
+    """Rows of the fact and of the marts it gives, in one pass; a NULL key is a row too."""
+    customer, product = F.struct("customer_id"), F.struct("product_id", "product_name")
+    counts = {
+        "fact_transactions": F.count(F.lit(1)),
+        "agg_by_customer": F.count_distinct(customer),
+        "agg_by_product": F.count_distinct(product),
+    }
+    totals = fact.agg(*[count.alias(name) for name, count in counts.items()])
+    return totals.unpivot([], list(counts), "table_name", "row_count")
+
+
 def describe_numeric(fact: DataFrame, columns: Sequence[str] = FACT_MEASURES) -> DataFrame:
     """Per column: count, mean, sample deviation, extremes, exact quartiles.
 
@@ -178,34 +190,53 @@ def boxplot_stats(fact: DataFrame, value: str = "unit_price") -> DataFrame:
     )
 
 
-def linear_fit(fact: DataFrame, x: str, y: str) -> DataFrame:
-    """One row: least squares of y on x, Pearson r, rows used, range of x."""
-    cx, cy = F.col(x).cast("double"), F.col(y).cast("double")
-    both = F.when(cy.isNotNull(), cx)
-    sums = fact.agg(
-        F.regr_sxx(cy, cx).alias("sxx"),
-        F.regr_syy(cy, cx).alias("syy"),
-        F.regr_sxy(cy, cx).alias("sxy"),
-        F.regr_avgx(cy, cx).alias("mean_x"),
-        F.regr_avgy(cy, cx).alias("mean_y"),
-        F.regr_count(cy, cx).alias("n"),
-        F.min(both).alias("min_x"),
-        F.max(both).alias("max_x"),
-    )
+def linear_fits(fact: DataFrame, fits: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """One row for each named fit (x, y), all from one pass over the fact.
+
+    Least squares of y on x, Pearson r, rows used, range of x.
+    """
+    sums, rows = [], []
+    for k, (name, (x, y)) in enumerate(fits.items()):
+        cx, cy = F.col(x).cast("double"), F.col(y).cast("double")
+        both = F.when(cy.isNotNull(), cx)
+        parts = {
+            "sxx": F.regr_sxx(cy, cx),
+            "syy": F.regr_syy(cy, cx),
+            "sxy": F.regr_sxy(cy, cx),
+            "mean_x": F.regr_avgx(cy, cx),
+            "mean_y": F.regr_avgy(cy, cx),
+            "n": F.regr_count(cy, cx),
+            "min_x": F.min(both),
+            "max_x": F.max(both),
+        }
+        sums += [part.alias(f"{part_name}_{k}") for part_name, part in parts.items()]
+        rows.append(
+            F.struct(F.lit(name).alias("fit"), *[F.col(f"{p}_{k}").alias(p) for p in parts])
+        )
     slope = F.col("sxy") / F.nullif(F.col("sxx"), F.lit(0.0))
     r = F.when(F.col("syy") == 0, F.lit(0.0)).otherwise(
         F.col("sxy") / F.nullif(F.sqrt(F.col("sxx") * F.col("syy")), F.lit(0.0))
     )
-    return sums.select(
-        slope.alias("slope"),
-        (F.col("mean_y") - slope * F.col("mean_x")).alias("intercept"),
-        F.when(F.col("sxx") != 0, _unit_range(r)).alias("r"),
-        "n",
-        "min_x",
-        "max_x",
+    return (
+        fact.agg(*sums)
+        .select(F.inline(F.array(*rows)))
+        .select(
+            "fit",
+            slope.alias("slope"),
+            (F.col("mean_y") - slope * F.col("mean_x")).alias("intercept"),
+            F.when(F.col("sxx") != 0, _unit_range(r)).alias("r"),
+            "n",
+            "min_x",
+            "max_x",
+        )
     )
 
 
+def linear_fit(fact: DataFrame, x: str, y: str) -> DataFrame:
+    """One row: the fit of y on x."""
+    return linear_fits(fact, {"": (x, y)}).drop("fit")
+
+
 def with_p_value(fit: DataFrame) -> DataFrame:
     """Add the two-sided p-value to one-row fits; Spark has no t distribution."""
 
@@ -225,53 +256,93 @@ _STEP = 4096
 
 
 def fit_line(fit: DataFrame, first: Column, last: Column) -> DataFrame:
-    """Points (x, y) of a fit at every whole x from first to last, both included.
+    """Points (fit, x, y) at every whole x from first to last, both included.
 
     Empty if last < first. Long ranges are cut into steps, so no array grows
     with the range of the data beyond one entry per step.
     """
-    bounds = fit.select("slope", "intercept", first.alias("lo"), last.alias("hi"))
+    name = ["fit"] if "fit" in fit.columns else []
+    bounds = fit.select(*name, "slope", "intercept", first.alias("lo"), last.alias("hi"))
     starts = bounds.where("hi >= lo").withColumn(
         "start", F.explode(F.sequence("lo", "hi", F.lit(_STEP).cast("bigint")))
     )
     points = starts.withColumn(
         "x", F.explode(F.sequence("start", F.least(F.col("start") + _STEP - 1, F.col("hi"))))
     )
-    return points.select("x", (F.col("slope") * F.col("x") + F.col("intercept")).alias("y"))
+    return points.select(*name, "x", (F.col("slope") * F.col("x") + F.col("intercept")).alias("y"))
+
+
+# First and last x: 1 to 5, and whole prices from the smallest up to below the largest.
+def quantity_range() -> tuple[Column, Column]:
+    return F.lit(1).cast("bigint"), F.lit(5).cast("bigint")
+
+
+def price_range() -> tuple[Column, Column]:
+    return F.col("min_x").cast("bigint"), F.col("max_x").cast("bigint") - 1
 
 
 def quantity_line(fit: DataFrame) -> DataFrame:
-    """The line over x = 1..5."""
-    return fit_line(fit, F.lit(1).cast("bigint"), F.lit(5).cast("bigint"))
+    return fit_line(fit, *quantity_range())
 
 
 def price_line(fit: DataFrame) -> DataFrame:
-    """The line over whole prices from the smallest up to below the largest."""
-    return fit_line(fit, F.col("min_x").cast("bigint"), F.col("max_x").cast("bigint") - 1)
+    return fit_line(fit, *price_range())
 
 
-def scatter_bins(fact: DataFrame, x: str, y: str, x_width: int, y_width: int) -> DataFrame:
-    """Points per product and cell of a grid: every row counts, few rows come out."""
+def scatter_grids(fact: DataFrame, grids: Mapping[str, tuple[str, str, int, int]]) -> DataFrame:
+    """Points per named grid (x, y, width, height), product and cell, from one pass.
+
+    Every row counts, few rows come out.
+    """
 
     def cell(column: str, width: int) -> Column:
         return (F.floor(F.col(column) / F.lit(width)) * width).cast("bigint")
 
-    return fact.groupBy(
-        "product_name", cell(x, x_width).alias("x_bin"), cell(y, y_width).alias("y_bin")
-    ).agg(F.count(F.lit(1)).alias("points"))
+    cells = [
+        F.struct(
+            F.lit(name).alias("fit"), cell(x, x_width).alias("x_bin"), cell(y, y_width).alias("y_bin")
+        )
+        for name, (x, y, x_width, y_width) in grids.items()
+    ]
+    keys = ["fit", "product_name", "x_bin", "y_bin"]
+    return (
+        fact.select("product_name", F.inline(F.array(*cells)))
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("points"))
+    )
+
+
+def scatter_bins(fact: DataFrame, x: str, y: str, x_width: int, y_width: int) -> DataFrame:
+    """One grid of ``scatter_grids``."""
+    return scatter_grids(fact, {"": (x, y, x_width, y_width)}).drop("fit")
+
+
+# Fixed value: the most columns a pivot may have.
+MAX_PIVOT_COLUMNS = 10_000
+
+
+def product_names(agg_cp: DataFrame) -> list[str]:
+    """The names that occur, sorted; NULL as the word. One distinct pass over the mart."""
+    found = agg_cp.select(F.coalesce("product_name", F.lit("NULL")).alias("name")).distinct()
+    names = sorted(row.name for row in found.limit(MAX_PIVOT_COLUMNS + 1).collect())
+    if len(names) > MAX_PIVOT_COLUMNS:
+        raise ValueError(f"more than {MAX_PIVOT_COLUMNS} product names do not make columns")
+    return names
 
 
 def customer_product_pivot(
-    agg_cp: DataFrame, names: Sequence[str], on_repeat: str = "sum"
+    agg_cp: DataFrame, names: Sequence[str] | None = None, on_repeat: str = "sum"
 ) -> DataFrame:
     """Customers by product names: number of transactions, 0 where there are none.
 
-    ``names`` lists the columns; a name outside the list stops the query instead
-    of vanishing. Several products may share a name: their counts are added up,
+    The columns are the names that occur, rows without name under ``NULL``. With
+    ``names`` the columns are those; a name outside the list then stops the query
+    instead of vanishing. Several products may share a name: their counts are added up,
     or refused with ``on_repeat="raise"``.
     """
+    columns = product_names(agg_cp) if names is None else list(names)
     name = F.coalesce("product_name", F.lit("NULL"))
-    listed = F.when(name.isin(*names), name).otherwise(
+    listed = F.when(name.isin(*columns), name).otherwise(
         F.raise_error(F.concat(F.lit("unlisted product name: "), name))
     )
     cells = F.sum("total_transactions")
@@ -284,7 +355,7 @@ def customer_product_pivot(
     return (
         agg_cp.select("customer_id", listed.alias("product_name"), "total_transactions")
         .groupBy("customer_id")
-        .pivot("product_name", list(names))
+        .pivot("product_name", columns)
         .agg(cells)
         .fillna(0)
     )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from tallyspark.functions.cleaners import LENIENT
 from tallyspark.operators import audit, landing, marts, quality, star
 from tallyspark.operators.staging import stage_transactions
-from tallyspark.session import materialize, scratch_path
+from tallyspark.session import Scratch
 from tallyspark.sources.csv_source import FILE_POSITION, read_batch
 from tallyspark.sources.tables import Warehouse
 
@@ -51,44 +51,64 @@ def land(
 ) -> DataFrame:
     """Append the new rows of a batch to the raw layer and return the load metrics.
 
-    The batch is written to the shared folder first. Malformed or overlong rows
-    stop the load there, before the raw layer is touched; the counts come from
-    files, not from accumulators that a lost executor would count twice.
-    Repeating a load with the same ``load_id`` replaces it.
+    The batch is written to the shared folder first, so that its CSV is parsed once.
+    Malformed or overlong rows stop the load there, before the raw layer is touched; the
+    counts come from files, not from accumulators that a lost executor would count twice.
+    Repeating a load with the same ``load_id`` replaces it, also by nothing.
     """
-    staged = materialize(landing.enforce_lengths(batch), "batch")
-    target = warehouse.raw_except(load_id)
-    rows = landing.land_batch(staged, target, position)
-    warehouse.append_raw(landing.stamp_load(rows, batch_ts), load_id)
-    return landing.load_metrics(staged, warehouse.raw_load(load_id))
+    with Scratch(warehouse.spark) as scratch:
+        staged = scratch.materialize(landing.enforce_lengths(batch), "batch")
+        target = warehouse.raw_except(load_id)
+        rows = landing.land_batch(staged, target, position)
+        warehouse.append_raw(landing.stamp_load(rows, batch_ts), load_id)
+        return _local(landing.load_metrics(staged, warehouse.raw_load(load_id)))
+
+
+def _local(report: DataFrame) -> DataFrame:
+    """A report of a few rows, kept without the tables it was made from."""
+    return report.sparkSession.createDataFrame(report.collect(), report.schema)
 
 
 def _rebuild(
     warehouse: Warehouse,
     queries: Mapping[str, Callable[[DataFrame], DataFrame]],
     source: DataFrame,
-) -> dict[str, DataFrame]:
-    """Rebuild tables side by side, so that one job's tail does not idle the cluster."""
+) -> dict[str, str]:
+    """Write tables side by side, so that one job's tail does not idle the cluster."""
     with ThreadPoolExecutor(PARALLEL_TABLES) as pool:
         jobs = {
-            name: pool.submit(warehouse.overwrite, name, query(source))
+            name: pool.submit(warehouse.write_version, name, query(source))
             for name, query in queries.items()
         }
         return {name: job.result() for name, job in jobs.items()}
 
 
+def write_tables(
+    warehouse: Warehouse, staged: DataFrame, with_star: bool = False
+) -> dict[str, str]:
+    """Write a new version of every table from written staging; readers do not see them yet."""
+    versions = _rebuild(warehouse, FROM_STAGING, staged)
+    # The aggregates read the written fact, not the staging behind it.
+    fact = warehouse.version("fact_transactions", versions["fact_transactions"])
+    from_fact = {**FROM_FACT, **(STAR_EXTENSION if with_star else {})}
+    return versions | _rebuild(warehouse, from_fact, fact)
+
+
 def build_tables(
     warehouse: Warehouse, mode: str = LENIENT, with_star: bool = False
 ) -> dict[str, DataFrame]:
-    """Rebuild every table from the raw layer. Staging stays a view."""
+    """Rebuild and publish every table; the raw layer is scanned and cleaned once."""
+    with Scratch(warehouse.spark) as scratch:
+        versions = write_tables(warehouse, _stage(warehouse, scratch, mode), with_star)
+    warehouse.publish(versions)
+    return {name: warehouse.version(name, version) for name, version in versions.items()}
+
+
+def _stage(warehouse: Warehouse, scratch: Scratch, mode: str) -> DataFrame:
+    """Clean the raw layer once, into a table of the run; for users staging is a view."""
     staged = stage_transactions(warehouse.raw(), mode)
     staged.createOrReplaceTempView("stg_customer_transactions")
-    tables = {"stg_customer_transactions": staged}
-    tables |= _rebuild(warehouse, FROM_STAGING, staged)
-    # The aggregates read the written fact, not the cleaning behind it.
-    from_fact = {**FROM_FACT, **(STAR_EXTENSION if with_star else {})}
-    tables |= _rebuild(warehouse, from_fact, tables["fact_transactions"])
-    return tables
+    return scratch.materialize(staged, "staging")
 
 
 def run(
@@ -104,34 +124,24 @@ def run(
 ) -> RunResult:
     """Land, build, check.
 
-    By default the checks run on the published tables. With ``check_first`` the
-    tables are built in a scratch folder and only published once all checks pass.
+    By default the tables are published and then checked. With ``check_first`` they are
+    checked before readers see them; if a check fails, the former versions stay, and the
+    run stops or, without ``stop_on_failure``, returns the failed checks.
     """
     spark = warehouse.spark
     metrics = land(warehouse, read_batch(spark, paths, multi_line), load_id, batch_ts)
-    if not check_first:
-        tables = build_tables(warehouse, mode, with_star)
-        checks = materialize(quality.run_suite(tables), "checks")
-        if stop_on_failure:
-            quality.gate(checks)
-        return RunResult(metrics, checks)
-
-    candidate = _Candidate(spark, scratch_path(spark, "candidate"), warehouse)
-    tables = build_tables(candidate, mode, with_star)
-    checks = materialize(quality.run_suite(tables), "checks")
-    quality.gate(checks)
-    for name, table in tables.items():
-        if name != "stg_customer_transactions":
-            warehouse.overwrite(name, table)
+    with Scratch(spark) as scratch:
+        staging = _stage(warehouse, scratch, mode)
+        versions = write_tables(warehouse, staging, with_star)
+        if not check_first:
+            warehouse.publish(versions)
+        tables = {name: warehouse.version(name, version) for name, version in versions.items()}
+        checks = _local(quality.run_suite(tables | {"stg_customer_transactions": staging}))
+    if check_first:
+        if checks.where("NOT passed").isEmpty():
+            warehouse.publish(versions)
+        else:
+            warehouse.discard(versions)
+    if stop_on_failure:
+        quality.gate(checks)
     return RunResult(metrics, checks)
-
-
-@dataclass(frozen=True)
-class _Candidate(Warehouse):
-    """Tables in a scratch folder over the raw layer of the real warehouse."""
-
-    published: Warehouse | None = None
-
-    @property
-    def raw_path(self) -> str:
-        return self.published.raw_path

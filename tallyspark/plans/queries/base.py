@@ -49,12 +49,13 @@ def sql_over_views(name: str) -> str:
 # --- layers -------------------------------------------------------------------
 
 
-def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_transactions(spark, sf_dir)
+def raw(spark: SparkSession, sf_dir: str, long_amounts: bool = True) -> DataFrame:
+    return raw_transactions(spark, sf_dir, long_amounts)
 
 
-def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return landing.first_wins(raw(spark, sf_dir), DERIVED_POSITION).drop(*DERIVED_POSITION)
+def landed(spark: SparkSession, sf_dir: str, long_amounts: bool = True) -> DataFrame:
+    rows = raw(spark, sf_dir, long_amounts)
+    return landing.first_wins(rows, DERIVED_POSITION).drop(*DERIVED_POSITION)
 
 
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +66,11 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.fact_transactions(staged(spark, sf_dir))
 
 
+def typical_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows with their ordinary prices, for statistics in floating point."""
+    return marts.fact_transactions(stage_transactions(landed(spark, sf_dir, long_amounts=False)))
+
+
 # --- the same layers in SQL ---------------------------------------------------
 
 _POSITION = (
@@ -82,14 +88,22 @@ def _members(column: str) -> str:
     )
 
 
+def whole_number(column: str) -> str:
+    """A decimal of 12 digits behind the point as the whole number of its digits.
+
+    The type is wider than the engine's, so that digits the engine lost would show.
+    """
+    return f"CAST(replace(CAST({column} AS VARCHAR), '.', '') AS HUGEINT)"
+
+
 def mean_cents(column: str) -> str:
-    """Exact mean of a six-digit decimal, rounded half up to two digits.
+    """Exact mean of an amount, rounded half up to two digits.
 
     Whole-number arithmetic: a floating-point quotient misses exact halves.
     """
-    millionths, n = f"CAST(sum({column}) * 1000000 AS HUGEINT)", f"count({column})"
-    cents = f"(2 * {millionths} + {n} * 10000) // (2 * {n} * 10000)"
-    return f"CAST(CAST({cents} AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(38,2))"
+    total, n = f"sum({whole_number(column)})", f"count({column})"
+    cents = f"(2 * CAST({total} AS HUGEINT) + {n} * 10000000000) // (2 * {n} * 10000000000)"
+    return f"CAST(CAST({cents} AS DECIMAL(30,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(38,2))"
 
 
 def _measures(units: str) -> str:
@@ -102,31 +116,38 @@ def _measures(units: str) -> str:
 
 
 # Tax per gross in percent, rounded half up to four digits, in whole numbers.
-_GROSS = "nullif(CAST(price * 1000000 AS HUGEINT) * quantity, 0)"
-_RATE = f"""CAST(CAST((2 * CAST(tax * 1000000 AS HUGEINT) * 1000000 + {_GROSS}) // (2 * {_GROSS})
-        AS DECIMAL(22,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(29,4))"""
+_GROSS = f"nullif({whole_number('price')} * quantity, 0)"
+_RATE = f"""CAST(CAST((2 * {whole_number('tax')} * 1000000 + {_GROSS}) // (2 * {_GROSS})
+        AS DECIMAL(25,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(29,4))"""
 
 _ANY_ERROR = """transaction_id IS NULL OR customer_id IS NULL OR transaction_date IS NULL
         OR quantity IS NULL OR price IS NULL OR tax IS NULL"""
 
 # name -> (layers it reads, query)
-_LAYERS: dict[str, tuple[tuple[str, ...], str]] = {
-    "raw": (
-        (),
-        r"""SELECT
-        CASE WHEN k % 41 = 0 THEN NULL WHEN l_partkey % 5 = 0 THEN CAST(k AS VARCHAR)
-             ELSE 'T' || k END AS transaction_id,
+# Amounts are 12-digit decimals on this side, wider than the engine's.
+_AMOUNT = "DECIMAL(28,12)"
+
+
+def _raw_sql(long_amounts: bool) -> str:
+    long_price = "WHEN k % 211 = 0 THEN '123456789012345.25'" if long_amounts else ""
+    return (
+        rf"""SELECT
+        CASE WHEN k % 41 = 0 THEN NULL WHEN k % 197 = 0 THEN '' WHEN k % 199 = 0 THEN 't' || k
+             WHEN l_partkey % 5 = 0 THEN CAST(k AS VARCHAR) ELSE 'T' || k END AS transaction_id,
         CASE WHEN k % 29 <> 0 THEN o_custkey || '.0' END AS customer_id,
         CASE WHEN k % 37 = 0 THEN NULL WHEN k % 31 = 0 THEN '2023/07/15'
+             WHEN k % 179 = 0 THEN '31-02-2023'
+             WHEN k % 181 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') || chr(8232)
              WHEN k % 3 = 0 THEN strftime(o_orderdate, '%d-%m-%Y')
              ELSE strftime(o_orderdate, '%Y-%m-%d') END AS transaction_date,
         CASE WHEN k % 61 <> 0 THEN 'P' || l_partkey END AS product_id,
         'Product ' || substr('ABCDEF', CAST(l_partkey % 6 + 1 AS INTEGER), 1) AS product_name,
         CASE WHEN k % 43 = 0 THEN NULL WHEN k % 47 = 0 THEN '2.5' WHEN k % 53 = 0 THEN 'few'
              ELSE CAST(l_quantity AS INTEGER) || '.0' END AS quantity,
-        CASE WHEN k % 23 = 0 THEN 'Two Hundred' WHEN k % 59 = 0 THEN '0'
+        CASE WHEN k % 23 = 0 THEN 'Two Hundred' WHEN k % 59 = 0 THEN '0' {long_price}
+             WHEN k % 223 = 0 THEN '1.0000004' WHEN k % 227 = 0 THEN '33.1234567891'
              ELSE CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) END AS price,
-        CASE WHEN k % 19 = 0 THEN 'Fifteen'
+        CASE WHEN k % 19 = 0 THEN 'Fifteen' WHEN k % 229 = 0 THEN '1.0050000049'
              ELSE CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2))
                   * CAST(l_tax AS DECIMAL(18,2)) AS DECIMAL(18,4)) AS VARCHAR) END AS tax,
         CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS loaded_at,
@@ -135,8 +156,32 @@ _LAYERS: dict[str, tuple[tuple[str, ...], str]] = {
         + """
         FROM (SELECT *, l_orderkey * 10 + l_linenumber AS k FROM lineitem)
         JOIN orders ON l_orderkey = o_orderkey
-        JOIN part ON l_partkey = p_partkey""",
-    ),
+        JOIN part ON l_partkey = p_partkey"""
+    )
+
+
+_PLAIN_NUMBER = r"regexp_full_match({c}, '\d+(\.\d+)?')"
+
+# The cleaners, by column of the raw layer.
+CLEANER_SQL = {
+    "transaction_id": "TRY_CAST(nullif(regexp_replace(transaction_id, '^T', ''), '') AS INTEGER)",
+    "customer_id": "TRY_CAST(split_part(customer_id, '.', 1) AS INTEGER)",
+    "transaction_date": r"""CASE
+        WHEN regexp_full_match(transaction_date, '\d{2}-\d{2}-\d{4}')
+        THEN CAST(try_strptime(transaction_date, '%d-%m-%Y') AS DATE)
+        WHEN regexp_full_match(transaction_date, '\d{4}-\d{2}-\d{2}')
+        THEN CAST(try_strptime(transaction_date, '%Y-%m-%d') AS DATE) END""",
+    "product_id": "TRY_CAST(nullif(regexp_replace(product_id, '^P', ''), '') AS INTEGER)",
+    "product_name": "product_name",
+    "quantity": f"CASE WHEN {_PLAIN_NUMBER.replace('{c}', 'quantity')}"
+    " THEN TRY_CAST(round(CAST(quantity AS DECIMAL(20,6)), 0) AS INTEGER) END",
+    "price": f"CASE WHEN {_PLAIN_NUMBER.replace('{c}', 'price')} THEN CAST(price AS {_AMOUNT}) END",
+    "tax": f"CASE WHEN {_PLAIN_NUMBER.replace('{c}', 'tax')} THEN CAST(tax AS {_AMOUNT}) END",
+}
+
+# name -> (layers it reads, query)
+_LAYERS: dict[str, tuple[tuple[str, ...], str]] = {
+    "raw": ((), _raw_sql(long_amounts=True)),
     "landed": (
         ("raw",),
         f"""SELECT transaction_id, customer_id, transaction_date, product_id, product_name,
@@ -147,27 +192,10 @@ _LAYERS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "staged": (
         ("landed",),
-        r"""SELECT *, transaction_id IS NOT NULL AND customer_id IS NOT NULL
-               AND transaction_date IS NOT NULL AS is_valid
-        FROM (SELECT
-        TRY_CAST(nullif(regexp_replace(transaction_id, '^T', ''), '') AS INTEGER)
-            AS transaction_id,
-        TRY_CAST(split_part(customer_id, '.', 1) AS INTEGER) AS customer_id,
-        CASE WHEN regexp_full_match(transaction_date, '\d{2}-\d{2}-\d{4}')
-             THEN CAST(try_strptime(transaction_date, '%d-%m-%Y') AS DATE)
-             WHEN regexp_full_match(transaction_date, '\d{4}-\d{2}-\d{2}')
-             THEN CAST(try_strptime(transaction_date, '%Y-%m-%d') AS DATE) END
-            AS transaction_date,
-        TRY_CAST(nullif(regexp_replace(product_id, '^P', ''), '') AS INTEGER) AS product_id,
-        product_name,
-        CASE WHEN regexp_full_match(quantity, '\d+(\.\d+)?')
-             THEN TRY_CAST(round(CAST(quantity AS DECIMAL(20,6)), 0) AS INTEGER) END AS quantity,
-        CASE WHEN regexp_full_match(price, '\d+(\.\d+)?')
-             THEN TRY_CAST(price AS DECIMAL(20,6)) END AS price,
-        CASE WHEN regexp_full_match(tax, '\d+(\.\d+)?')
-             THEN TRY_CAST(tax AS DECIMAL(20,6)) END AS tax,
-        loaded_at
-        FROM landed)""",
+        "SELECT *, transaction_id IS NOT NULL AND customer_id IS NOT NULL"
+        " AND transaction_date IS NOT NULL AS is_valid FROM (SELECT "
+        + ", ".join(f"{sql} AS {column}" for column, sql in CLEANER_SQL.items())
+        + ", loaded_at FROM landed)",
     ),
     "fact": (
         ("staged",),
@@ -259,6 +287,18 @@ _LAYERS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
+# The same without the long prices.
+_TYPICAL = ("raw", "landed", "staged", "fact")
+for _name in _TYPICAL:
+    _reads, _sql = _LAYERS[_name]
+    for _other in _TYPICAL:
+        _sql = _sql.replace(f"FROM {_other}", f"FROM typical_{_other}")
+    _LAYERS[f"typical_{_name}"] = (
+        tuple(f"typical_{other}" for other in _reads),
+        _raw_sql(long_amounts=False) if _name == "raw" else _sql,
+    )
+
+
 def with_layers(sql: str) -> str:
     """Prepend the layers that ``sql`` names in braces, in dependency order."""
     needed: list[str] = []

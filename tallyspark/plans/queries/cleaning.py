@@ -9,32 +9,11 @@ from tallyspark.functions import cleaners
 from tallyspark.operators import marts
 from tallyspark.operators.staging import clean_rows, cleaned_columns, digit_loss, flag_valid
 from tallyspark.plans.queries import base
-from tallyspark.plans.queries.base import landed, query, staged
+from tallyspark.plans.queries.base import CLEANER_SQL, landed, query, staged
 from tallyspark.schemas import MONEY
 
 # --- one cleaner each: raw text, result, rows ---------------------------------
 
-_PLAIN_NUMBER = r"regexp_full_match({c}, '\d+(\.\d+)?')"
-
-_CLEANER_SQL = {
-    "transaction_id": "TRY_CAST(nullif(regexp_replace(transaction_id, '^T', ''), '') AS INTEGER)",
-    "customer_id": "TRY_CAST(split_part(customer_id, '.', 1) AS INTEGER)",
-    "transaction_date": r"""CASE
-        WHEN regexp_full_match(transaction_date, '\d{2}-\d{2}-\d{4}')
-        THEN CAST(try_strptime(transaction_date, '%d-%m-%Y') AS DATE)
-        WHEN regexp_full_match(transaction_date, '\d{4}-\d{2}-\d{2}')
-        THEN CAST(try_strptime(transaction_date, '%Y-%m-%d') AS DATE) END""",
-    "product_id": "TRY_CAST(nullif(regexp_replace(product_id, '^P', ''), '') AS INTEGER)",
-    "product_name": "product_name",
-    "quantity": f"CASE WHEN {_PLAIN_NUMBER.replace('{c}', 'quantity')}"
-    " THEN TRY_CAST(round(CAST(quantity AS DECIMAL(20,6)), 0) AS INTEGER) END",
-    "price": f"CASE WHEN {_PLAIN_NUMBER.replace('{c}', 'price')}"
-    " THEN TRY_CAST(price AS DECIMAL(20,6)) END",
-    "tax": f"CASE WHEN {_PLAIN_NUMBER.replace('{c}', 'tax')}"
-    " THEN TRY_CAST(tax AS DECIMAL(20,6)) END",
-}
-
-
 def _per_text(column: str) -> base.Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return (
@@ -58,9 +37,9 @@ def _per_text_sql(column: str, cleaned: str) -> str:
     )
 
 
-for _column in _CLEANER_SQL:
+for _column in CLEANER_SQL:
     _name = "pass_product_name" if _column == "product_name" else f"clean_{_column}"
-    query(_name, _per_text_sql(_column, _CLEANER_SQL[_column]))(_per_text(_column))
+    query(_name, _per_text_sql(_column, CLEANER_SQL[_column]))(_per_text(_column))
 
 
 # --- whole projection and predicates ------------------------------------------
@@ -147,8 +126,9 @@ def case_when(spark: SparkSession, sf_dir: str) -> DataFrame:
     date = F.col("transaction_date")
     shape = (
         F.when(date.isNull(), "missing")
-        .when(date.rlike(cleaners.DAY_FIRST_DATE), "day first")
-        .when(date.rlike(cleaners.ISO_DATE), "iso")
+        .when(cleaners.iso_date_text(date).isNull(), F.lit(None))
+        .when(cleaners.is_day_first(date), "day first")
+        .otherwise("iso")
     )
     return (
         landed(spark, sf_dir)
@@ -179,8 +159,8 @@ def is_null_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "numeric_digit_loss",
     r"""SELECT column_name, count(*) FILTER (regexp_full_match(v, '\d+(\.\d+)?')
-        AND (length(rtrim(split_part(v, '.', 2), '0')) > 6
-             OR length(ltrim(split_part(v, '.', 1), '0')) > 14)) AS values_losing_digits
+        AND (length(rtrim(split_part(v, '.', 2), '0')) > 10
+             OR length(ltrim(split_part(v, '.', 1), '0')) > 16)) AS values_losing_digits
         FROM (SELECT 'price' AS column_name, price AS v FROM {landed}
               UNION ALL SELECT 'tax', tax FROM {landed}) GROUP BY column_name""",
 )
@@ -206,15 +186,26 @@ def _distinct_sql(column: str, results: str) -> str:
 def fn_regexp_strip_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _distinct_texts(spark, sf_dir, "transaction_id").select(
         F.col("transaction_id").alias("source_text"),
-        F.regexp_replace("transaction_id", "^T", "").alias("stripped"),
+        cleaners.strip_prefix(F.col("transaction_id"), "T").alias("stripped"),
     )
 
 
-@query("fn_ilike", _distinct_sql("transaction_id", "transaction_id ILIKE 't%' AS has_prefix"))
+@query(
+    "fn_ilike",
+    _distinct_sql(
+        "transaction_id",
+        "transaction_id ILIKE 't%' AND regexp_replace(transaction_id, '^T', '') <> transaction_id"
+        " AS has_prefix",
+    ),
+)
 def fn_ilike(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix is matched without case but only an upper-case one is cut off.
+
+    A lower-case one stays and cannot be converted, as if there were no prefix.
+    """
     return _distinct_texts(spark, sf_dir, "transaction_id").select(
         F.col("transaction_id").alias("source_text"),
-        F.col("transaction_id").ilike("t%").alias("has_prefix"),
+        cleaners.has_prefix(F.col("transaction_id"), "T").alias("has_prefix"),
     )
 
 
@@ -222,15 +213,32 @@ def fn_ilike(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fn_split_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _distinct_texts(spark, sf_dir, "customer_id").select(
         F.col("customer_id").alias("source_text"),
-        F.split_part(F.col("customer_id"), F.lit("."), F.lit(1)).alias("whole"),
+        cleaners.before_dot(F.col("customer_id")).alias("whole"),
     )
 
 
-@query("fn_nullif", _distinct_sql("price", "nullif(price, '0') AS not_zero"))
+@query(
+    "fn_nullif",
+    """SELECT nullif(regexp_replace(transaction_id, '^T', ''), '') IS NULL AS no_id,
+       nullif(price * quantity, 0) IS NULL AS no_gross, count(*) AS row_count
+       FROM (SELECT transaction_id, CAST(price AS DECIMAL(28,12)) AS price,
+             CAST(round(CAST(quantity AS DECIMAL(20,6)), 0) AS INTEGER) AS quantity FROM {landed}
+             WHERE regexp_full_match(price, '\\d+(\\.\\d+)?')
+               AND regexp_full_match(quantity, '\\d+(\\.\\d+)?'))
+       GROUP BY ALL""".replace("\\\\", "\\"),
+)
 def fn_nullif(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _distinct_texts(spark, sf_dir, "price").select(
-        F.col("price").alias("source_text"),
-        F.nullif(F.col("price"), F.lit("0")).alias("not_zero"),
+    """Both uses: an id of which nothing is left, and a gross of zero under the tax."""
+    rows = landed(spark, sf_dir).select(
+        cleaners.id_digits(F.col("transaction_id"), "T").isNull().alias("no_id"),
+        cleaned_columns()["price"].alias("price"),
+        cleaned_columns()["quantity"].alias("quantity"),
+        F.lit(1).cast("decimal(26,10)").alias("tax"),
+    )
+    return (
+        rows.where("price IS NOT NULL AND quantity IS NOT NULL")
+        .groupBy("no_id", marts.tax_rate_pct().isNull().alias("no_gross"))
+        .agg(F.count(F.lit(1)).alias("row_count"))
     )
 
 
@@ -245,7 +253,7 @@ def fn_coalesce_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "fn_to_date_two_formats",
-    _distinct_sql("transaction_date", _CLEANER_SQL["transaction_date"] + " AS day"),
+    _distinct_sql("transaction_date", CLEANER_SQL["transaction_date"] + " AS day"),
 )
 def fn_to_date_two_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _distinct_texts(spark, sf_dir, "transaction_date").select(
@@ -254,7 +262,7 @@ def fn_to_date_two_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("fn_numeric_guard_cast", _distinct_sql("tax", _CLEANER_SQL["tax"] + " AS amount"))
+@query("fn_numeric_guard_cast", _distinct_sql("tax", CLEANER_SQL["tax"] + " AS amount"))
 def fn_numeric_guard_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _distinct_texts(spark, sf_dir, "tax").select(
         F.col("tax").alias("source_text"),
@@ -266,8 +274,8 @@ def fn_numeric_guard_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     "fn_round_half_up",
     _distinct_sql(
         "tax",
-        "CAST(round(" + _CLEANER_SQL["tax"] + ", 2) AS DECIMAL(38,2)) AS cents,"
-        " CAST(round(-(" + _CLEANER_SQL["tax"] + "), 2) AS DECIMAL(38,2)) AS negative_cents",
+        "CAST(round(" + CLEANER_SQL["tax"] + ", 2) AS DECIMAL(38,2)) AS cents,"
+        " CAST(round(-(" + CLEANER_SQL["tax"] + "), 2) AS DECIMAL(38,2)) AS negative_cents",
     ),
 )
 def fn_round_half_up(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,13 +43,13 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "csv_reject_malformed",
-    """SELECT count(*) FILTER (k % 97 <> 0 AND k % 89 <> 0) AS rows_read,
-       count(transaction_id) FILTER (k % 97 <> 0 AND k % 89 <> 0) AS ids_read,
-       count(*) FILTER (k % 97 = 0 OR k % 89 = 0) AS rows_rejected
+    """SELECT count(*) FILTER (k % 97 <> 0 AND k % 89 <> 0 AND k % 83 <> 0) AS rows_read,
+       count(transaction_id) FILTER (k % 97 <> 0 AND k % 89 <> 0 AND k % 83 <> 0) AS ids_read,
+       count(*) FILTER (k % 97 = 0 OR k % 89 = 0 OR k % 83 = 0) AS rows_rejected
        FROM (SELECT transaction_id, l_orderkey * 10 + l_linenumber AS k FROM {raw})""",
 )
 def csv_reject_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows written with a field too few or too many are told apart from whole ones."""
+    """Rows with a field too few or too many and blank lines are told apart from whole ones."""
     k = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     whole = [F.col(c) for c in RAW_COLUMNS]
     line = (
@@ -57,6 +57,7 @@ def csv_reject_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(
             k % 89 == 0, F.to_csv(F.struct(*whole, F.lit("x").alias("extra")), CSV_WRITE_OPTIONS)
         )
+        .when(k % 83 == 0, F.lit(""))
         .otherwise(F.to_csv(F.struct(*whole), CSV_WRITE_OPTIONS))
     )
     path = scratch_path(spark, "malformed")
@@ -109,13 +110,18 @@ def view_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("raw_append_sink", "SELECT * FROM {landed}")
 def raw_append_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two loads, the second one repeated: its partition is replaced, not doubled."""
+    """Two loads, the second one repeated: its partition is replaced, not doubled.
+
+    A third one is repeated without rows: it is gone.
+    """
     warehouse = _warehouse(spark, "append")
     rows = materialize(landed(spark, sf_dir), "landed")
     is_new = F.col("loaded_at") >= F.lit(CUTOFF).cast("timestamp_ntz")
     warehouse.append_raw(rows.where(~is_new), "load-1")
     warehouse.append_raw(rows.where(is_new), "load-2")
     warehouse.append_raw(rows.where(is_new), "load-2")
+    warehouse.append_raw(rows.where("transaction_id IS NULL"), "load-3")
+    warehouse.append_raw(rows.where("false"), "load-3")
     return warehouse.raw()
 
 

@@ -151,27 +151,26 @@ def sum_decimal_round(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM {{fact}} GROUP BY customer_id""",
 )
 def avg_decimal_round(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sum over count: ``avg`` of a decimal would round once more on the way."""
-    average = F.round(F.sum("unit_price") / F.count("unit_price"), 2).cast("decimal(38,2)")
+    average = marts.mean_amount("unit_price")
     return fact(spark, sf_dir).groupBy("customer_id").agg(average.alias("avg_price"))
 
 
 @query(
     "agg_sorted_distinct_array",
-    """SELECT product_name, array_to_string(
+    """SELECT customer_id, array_to_string(
            list_transform(list_sort(list(DISTINCT product_id) FILTER (product_id IS NOT NULL)),
                           lambda x: CAST(x AS VARCHAR))
            || CASE WHEN count(*) FILTER (product_id IS NULL) > 0 THEN ['NULL'] ELSE [] END, ',')
            AS product_ids
-       FROM {fact} GROUP BY product_name""",
+       FROM {fact} GROUP BY customer_id""",
 )
 def sorted_distinct_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs are made distinct first, spread over all tasks, and then gathered."""
-    pairs = fact(spark, sf_dir).select("product_name", "product_id").distinct()
+    pairs = fact(spark, sf_dir).select("customer_id", "product_id").distinct()
     ids = sorted_with_null_last(
         F.collect_list("product_id"), F.count_if(F.col("product_id").isNull()) > 0
     )
-    return pairs.groupBy("product_name").agg(as_text(ids).alias("product_ids"))
+    return pairs.groupBy("customer_id").agg(as_text(ids).alias("product_ids"))
 
 
 # --- sort, rank, top ----------------------------------------------------------
@@ -205,14 +204,19 @@ def sort_audit_by_load_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.sorted_mart("audit_errors_by_load_date", errors_by_load_date(spark, sf_dir))
 
 
-@query("rank_customers_by_revenue", "SELECT customer_id, total_paid FROM {agg_by_customer}")
+@query(
+    "rank_customers_by_revenue",
+    """SELECT customer_id, total_paid FROM {agg_by_customer}
+       ORDER BY total_paid DESC, customer_id""",
+)
 def customers_by_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.ranked(by_customer(spark, sf_dir), "total_paid", ["customer_id"])
 
 
 @query(
     "rank_customers_by_transactions",
-    "SELECT customer_id, total_transactions FROM {agg_by_customer}",
+    """SELECT customer_id, total_transactions FROM {agg_by_customer}
+       ORDER BY total_transactions DESC, customer_id""",
 )
 def customers_by_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.ranked(by_customer(spark, sf_dir), "total_transactions", ["customer_id"])
@@ -220,7 +224,8 @@ def customers_by_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "rank_products_by_revenue",
-    "SELECT product_name, product_id, total_paid FROM {agg_by_product}",
+    """SELECT product_name, product_id, total_paid FROM {agg_by_product}
+       ORDER BY total_paid DESC, product_name NULLS LAST, product_id NULLS LAST""",
 )
 def products_by_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.ranked(by_product(spark, sf_dir), "total_paid", ["product_name", "product_id"])
@@ -228,7 +233,8 @@ def products_by_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "rank_products_by_units",
-    "SELECT product_name, product_id, total_products FROM {agg_by_product}",
+    """SELECT product_name, product_id, total_products FROM {agg_by_product}
+       ORDER BY total_products DESC, product_name NULLS LAST, product_id NULLS LAST""",
 )
 def products_by_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.ranked(

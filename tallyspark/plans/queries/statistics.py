@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.operators import marts, statistics
-from tallyspark.plans.queries.base import fact, query
+from tallyspark.plans.queries.base import fact, query, typical_fact
 from tallyspark.schemas import FACT_MEASURES
 from tallyspark.session import materialize
-from tallyspark.sources.derived import DERIVED_PRODUCT_NAMES
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -33,14 +32,7 @@ def _rounded_sql(expression: str) -> str:
        UNION ALL SELECT 'agg_by_product', count(*) FROM {agg_by_product}""",
 )
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = materialize(fact(spark, sf_dir), "fact")
-    return statistics.row_counts(
-        {
-            "fact_transactions": facts,
-            "agg_by_customer": marts.agg_by_customer(facts),
-            "agg_by_product": marts.agg_by_product(facts),
-        }
-    )
+    return statistics.mart_row_counts(fact(spark, sf_dir))
 
 
 @query(
@@ -53,13 +45,14 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         {_rounded_sql(f"quantile_cont(CAST({c} AS DOUBLE), 0.25)")} AS q25,
         {_rounded_sql(f"quantile_cont(CAST({c} AS DOUBLE), 0.5)")} AS q50,
         {_rounded_sql(f"quantile_cont(CAST({c} AS DOUBLE), 0.75)")} AS q75,
-        {_rounded_sql(f"CAST(max({c}) AS DOUBLE)")} AS max FROM {{fact}}"""
+        {_rounded_sql(f"CAST(max({c}) AS DOUBLE)")} AS max FROM {{typical_fact}}"""
         for c in FACT_MEASURES
     ),
 )
 def describe_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two passes, hence over a written fact."""
-    return rounded(statistics.describe_numeric(materialize(fact(spark, sf_dir), "fact")))
+    """Two passes, hence over the written columns."""
+    measures = typical_fact(spark, sf_dir).select(*FACT_MEASURES)
+    return rounded(statistics.describe_numeric(materialize(measures, "measures")))
 
 
 @query(
@@ -67,13 +60,13 @@ def describe_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     "\nUNION ALL ".join(
         f"SELECT '{a}' AS column_a, '{b}' AS column_b, "
         + _rounded_sql(f"corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))")
-        + " AS r FROM {fact}"
+        + " AS r FROM {typical_fact}"
         for a in FACT_MEASURES
         for b in FACT_MEASURES
     ),
 )
 def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(statistics.correlation_matrix(fact(spark, sf_dir)))
+    return rounded(statistics.correlation_matrix(typical_fact(spark, sf_dir)))
 
 
 @query(
@@ -86,16 +79,16 @@ def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
         {_rounded_sql("greatest(max(v) FILTER (v <= q75 + 1.5 * (q75 - q25)), any_value(q75))")}
             AS whisker_high,
         count(*) FILTER (v < q25 - 1.5 * (q75 - q25) OR v > q75 + 1.5 * (q75 - q25)) AS outliers
-        FROM (SELECT product_name, CAST(unit_price AS DOUBLE) AS v FROM {{fact}}) AS x
+        FROM (SELECT product_name, CAST(unit_price AS DOUBLE) AS v FROM {{typical_fact}}) AS x
         JOIN (SELECT product_name,
               quantile_cont(CAST(unit_price AS DOUBLE), 0.25) AS q25,
               quantile_cont(CAST(unit_price AS DOUBLE), 0.5) AS q50,
               quantile_cont(CAST(unit_price AS DOUBLE), 0.75) AS q75
-              FROM {{fact}} GROUP BY product_name) AS q USING (product_name)
+              FROM {{typical_fact}} GROUP BY product_name) AS q USING (product_name)
         GROUP BY product_name""",
 )
 def boxplot_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(statistics.boxplot_stats(fact(spark, sf_dir)))
+    return rounded(statistics.boxplot_stats(typical_fact(spark, sf_dir)))
 
 
 # The two fits: name -> (x, y).
@@ -108,26 +101,48 @@ def _fit_sql(x: str, y: str) -> str:
         {_rounded_sql(f"regr_intercept({cy}, {cx})")} AS intercept,
         {_rounded_sql(f"corr({cy}, {cx})")} AS r, CAST(regr_count({cy}, {cx}) AS BIGINT) AS n,
         {_rounded_sql(f"min({cx})")} AS min_x, {_rounded_sql(f"max({cx})")} AS max_x
-        FROM {{fact}}"""
+        FROM {{typical_fact}}"""
 
 
 for _name, (_x, _y) in _FITS.items():
     query(f"linreg_{_name}", _fit_sql(_x, _y))(
         lambda spark, sf_dir, x=_x, y=_y: rounded(
-            statistics.linear_fit(fact(spark, sf_dir), x, y)
+            statistics.linear_fit(typical_fact(spark, sf_dir), x, y)
         )
     )
 
 
-@query("linreg_p_values")
+# A pair without a strong connection, so that one p-value is neither 0 nor 1.
+_TESTED = {**_FITS, "quantity_price": ("quantity", "unit_price")}
+
+
+def _p_value_sql() -> str:
+    """The t density integrated by Simpson's rule: 40 units of tail over 60 units from 0."""
+    fits = " UNION ALL ".join(
+        f"SELECT '{name}' AS fit, corr(CAST({y} AS DOUBLE), CAST({x} AS DOUBLE)) AS r,"
+        f" CAST(regr_count(CAST({y} AS DOUBLE), CAST({x} AS DOUBLE)) AS BIGINT) AS n FROM {{typical_fact}}"
+        for name, (x, y) in _TESTED.items()
+    )
+    weight = "CASE WHEN i IN (0, 20000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    density = "exp(-(n - 1) / 2.0 * ln(1 + ({u}) * ({u}) / (n - 2)))"
+    tail, whole = density.replace("{u}", "t + i * 0.002"), density.replace("{u}", "i * 0.003")
+    return f"""SELECT fit, {_rounded_sql("r")} AS r, n, round(sum({weight} * {tail}) * 0.002
+            / (sum({weight} * {whole}) * 0.003), 9) + 0.0 AS p_value
+        FROM (SELECT *, abs(r) * sqrt((n - 2) / ((1 - r) * (1 + r))) AS t FROM ({fits}) AS f) AS g,
+             range(20001) AS steps(i)
+        GROUP BY fit, r, n"""
+
+
+@query("linreg_p_values", _p_value_sql())
 def linreg_p_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both fits with p-value; the SQL side has no t distribution."""
-    facts = materialize(fact(spark, sf_dir), "fact")
-    both = None
-    for name, (x, y) in _FITS.items():
-        fit = statistics.linear_fit(facts, x, y).select(F.lit(name).alias("fit"), "r", "n")
-        both = fit if both is None else both.unionAll(fit)
-    return statistics.with_p_value(both)
+    """The fits with their p-values, from one pass over the fact."""
+    fits = statistics.linear_fits(typical_fact(spark, sf_dir), _TESTED).select("fit", "r", "n")
+    return statistics.with_p_value(fits).select(
+        "fit",
+        (F.round("r", 6) + F.lit(0.0)).alias("r"),
+        "n",
+        (F.round("p_value", 9) + F.lit(0.0)).alias("p_value"),
+    )
 
 
 @query(
@@ -135,31 +150,30 @@ def linreg_p_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""SELECT 'quantity_gross' AS fit, x, {_rounded_sql("slope * x + intercept")} AS y
         FROM (SELECT regr_slope(CAST(gross_amount AS DOUBLE), quantity) AS slope,
               regr_intercept(CAST(gross_amount AS DOUBLE), quantity) AS intercept,
-              CAST(unnest(generate_series(1, 5)) AS BIGINT) AS x FROM {{fact}}) AS a
+              CAST(unnest(generate_series(1, 5)) AS BIGINT) AS x FROM {{typical_fact}}) AS a
         UNION ALL
         SELECT 'price_tax', x, {_rounded_sql("slope * x + intercept")}
         FROM (SELECT slope, intercept, CAST(unnest(generate_series(lo, hi - 1)) AS BIGINT) AS x
               FROM (SELECT regr_slope(CAST(tax AS DOUBLE), CAST(unit_price AS DOUBLE)) AS slope,
                     regr_intercept(CAST(tax AS DOUBLE), CAST(unit_price AS DOUBLE)) AS intercept,
                     CAST(floor(min(unit_price)) AS BIGINT) AS lo,
-                    CAST(floor(max(unit_price)) AS BIGINT) AS hi FROM {{fact}}) AS f) AS b""",
+                    CAST(floor(max(unit_price)) AS BIGINT) AS hi FROM {{typical_fact}}) AS f) AS b""",
 )
 def regression_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = materialize(fact(spark, sf_dir), "fact")
-    quantity = statistics.quantity_line(statistics.linear_fit(facts, *_FITS["quantity_gross"]))
-    price = statistics.price_line(statistics.linear_fit(facts, *_FITS["price_tax"]))
-    return rounded(
-        quantity.select(F.lit("quantity_gross").alias("fit"), "x", "y").unionAll(
-            price.select(F.lit("price_tax").alias("fit"), "x", "y")
-        )
+    fits = statistics.linear_fits(typical_fact(spark, sf_dir), _FITS)
+    is_quantity = F.col("fit") == "quantity_gross"
+    first, last = (
+        F.when(is_quantity, of_quantity).otherwise(of_price)
+        for of_quantity, of_price in zip(statistics.quantity_range(), statistics.price_range(), strict=True)
     )
+    return rounded(statistics.fit_line(fits, first, last))
 
 
 def _bins_sql(name: str, x: str, y: str, x_width: int, y_width: int) -> str:
     return f"""SELECT '{name}' AS fit, product_name,
         CAST(floor(CAST({x} AS DOUBLE) / {x_width}) * {x_width} AS BIGINT) AS x_bin,
         CAST(floor(CAST({y} AS DOUBLE) / {y_width}) * {y_width} AS BIGINT) AS y_bin,
-        count(*) AS points FROM {{fact}} GROUP BY ALL"""
+        count(*) AS points FROM {{typical_fact}} GROUP BY ALL"""
 
 
 _BINS = {"quantity_gross": (1, 1000), "price_tax": (10, 100)}
@@ -171,13 +185,12 @@ _BINS = {"quantity_gross": (1, 1000), "price_tax": (10, 100)}
 )
 def scatter_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both scatter plots as counts per product and grid cell; no point is dropped."""
-    facts = materialize(fact(spark, sf_dir), "fact")
-    both = None
-    for name, widths in _BINS.items():
-        cells = statistics.scatter_bins(facts, *_FITS[name], *widths)
-        cells = cells.select(F.lit(name).alias("fit"), *cells.columns)
-        both = cells if both is None else both.unionAll(cells)
-    return both
+    grids = {name: (*_FITS[name], *widths) for name, widths in _BINS.items()}
+    return statistics.scatter_grids(typical_fact(spark, sf_dir), grids)
+
+
+# The product names of the test rows; SQL has to name its columns.
+_PRODUCT_NAMES = ("Product A", "Product B", "Product C", "Product D", "Product E", "Product F")
 
 
 @query(
@@ -186,13 +199,13 @@ def scatter_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     + ", ".join(
         f"CAST(coalesce(sum(total_transactions) FILTER (product_name = '{n}'), 0) AS BIGINT)"
         f' AS "{n}"'
-        for n in DERIVED_PRODUCT_NAMES
+        for n in _PRODUCT_NAMES
     )
     + " FROM {agg_by_customer_product} GROUP BY customer_id",
 )
 def customer_product_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = marts.agg_by_customer_product(fact(spark, sf_dir))
-    return statistics.customer_product_pivot(pairs, DERIVED_PRODUCT_NAMES)
+    return statistics.customer_product_pivot(pairs)
 
 
 @query(
@@ -224,7 +237,7 @@ def monthly_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
         {_rounded_sql("CAST(sum(total_amount) AS DOUBLE) / count(total_amount)")}
             AS avg_order_value,
         {_rounded_sql("CAST(sum(tax_rate_pct) AS DOUBLE) / count(tax_rate_pct)")} AS avg_tax_rate
-        FROM {{fact}}""",
+        FROM {{typical_fact}}""",
 )
 def kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(statistics.kpi_summary(fact(spark, sf_dir)))
+    return rounded(statistics.kpi_summary(typical_fact(spark, sf_dir)))

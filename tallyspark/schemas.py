@@ -21,9 +21,10 @@ RAW_COLUMNS = tuple(RAW_LIMITS)
 # Product names the fact table accepts.
 ACCEPTED_PRODUCT_NAMES = ("Product A", "Product B", "Product C", "Product D", "Product E")
 
-# Numeric text is kept as an exact decimal; MONEY holds rounded sums.
-AMOUNT_SCALE = 6
-AMOUNT_INTEGER_DIGITS = 14
+# Numeric text is kept as an exact decimal, the widest for which price * quantity + tax
+# still fits 38 digits; MONEY holds rounded sums.
+AMOUNT_SCALE = 10
+AMOUNT_INTEGER_DIGITS = 16
 AMOUNT = T.DecimalType(AMOUNT_INTEGER_DIGITS + AMOUNT_SCALE, AMOUNT_SCALE)
 MONEY = T.DecimalType(38, 2)
 RATE = T.DecimalType(29, 4)

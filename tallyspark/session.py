@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,16 +11,10 @@ SHARED_DIR_CONF = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by the cluster.
-
-    Only a session that names none (a local test) gets a temporary folder.
-    """
+    """Folder every executor can reach, as named by the cluster."""
     named = spark.conf.get(SHARED_DIR_CONF, None)
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"{SHARED_DIR_CONF} must name a shared folder on a cluster")
-        named = tempfile.mkdtemp(prefix="tallyspark-")
-        spark.conf.set(SHARED_DIR_CONF, named)
+        raise ValueError(f"{SHARED_DIR_CONF} must name a folder that all executors reach")
     return named.rstrip("/")
 
 
@@ -42,6 +35,38 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system and path object for a path."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, target = file_system(spark, path)
+    fs.delete(target, True)
+
+
+class Scratch:
+    """Written intermediate tables of one run, deleted together at its end."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.base = scratch_path(spark, "run")
+        self.count = 0
+
+    def materialize(self, df: DataFrame, label: str) -> DataFrame:
+        self.count += 1
+        path = f"{self.base}/{self.count:03d}-{label}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        delete(self.spark, self.base)
+
+
 def local_session(app: str = "tallyspark", cpus: int | str = 8, **conf: str) -> SparkSession:
     """Session for tests and the benchmark; clusters bring their own."""
     builder = (

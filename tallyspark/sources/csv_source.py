@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,12 +15,15 @@ CORRUPT = "corrupt_record"
 # A row's place in the load: files by name, parts of a file by offset, then rows.
 FILE_POSITION = ("file_path", "file_block_start", "row_seq")
 
+# Every byte is one character of this encoding; columns are decoded strictly afterwards.
+_BYTES = "ISO-8859-1"
+
 # Fixed values. A doubled quote escapes a quote; an unquoted empty field is
 # NULL and a quoted one is the empty string, which needs a null marker that no
 # text holds; spaces are kept; a row with another number of fields is an error.
 CSV_OPTIONS = {
     "header": "true",
-    "encoding": "UTF-8",
+    "encoding": _BYTES,
     "sep": ",",
     "quote": '"',
     "escape": '"',
@@ -29,26 +32,80 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "mode": "FAILFAST",
+    # Pruned columns would hide a wrong number of fields.
+    "columnPruning": "false",
 }
 
 
+def decoded(rows: DataFrame) -> DataFrame:
+    """Text columns read byte by byte as UTF-8; other bytes stop the job. Also valid on a stream."""
+    columns = {
+        name: F.validate_utf8(F.encode(F.col(name), _BYTES).cast("string"))
+        for name in rows.columns
+        if name in RAW_COLUMNS or name == CORRUPT
+    }
+    return rows.withColumns(columns)
+
+
+def _lines(spark: SparkSession, paths: str | Sequence[str], multi_line: bool) -> DataFrame:
+    """(file_path, file_block_start, line) of all lines, which Spark's CSV reader shows only in part.
+
+    With ``multi_line`` quoted text, which may hold blank lines, is taken out first.
+    """
+    files = spark.read.option("wholetext", multi_line).text(paths)
+    place = [F.col(f"_metadata.{name}").alias(name) for name in ("file_path", "file_block_start")]
+    line = F.col("value")
+    if multi_line:
+        unquoted = F.regexp_replace(line, '"(?:[^"]|"")*+"', "q")
+        # What follows the last line break is no line.
+        line = F.explode(F.split(F.regexp_replace(unquoted, "\\r?\\n$", ""), "\\r?\\n"))
+    return files.select(*place, line.alias("line"))
+
+
+def _is_blank() -> Column:
+    return F.trim("line") == ""
+
+
+def blank_lines(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = False) -> DataFrame:
+    """The lines without text, which Spark's CSV reader passes over."""
+    return _lines(spark, paths, multi_line).where(_is_blank())
+
+
+def _refused(lines: DataFrame) -> DataFrame:
+    """No rows, in the shape of a batch; a blank line, having too few fields, stops the job.
+
+    The condition stands in a filter, which a plan that needs no columns keeps too.
+    """
+    complaint = F.concat(F.lit("malformed row: blank line in "), F.col("file_path"))
+    stopped = lines.where(F.when(_is_blank(), F.raise_error(complaint)).isNotNull())
+    none = F.lit(None).cast("string")
+    return stopped.select(*[none.alias(c) for c in RAW_COLUMNS], "file_path", "file_block_start")
+
+
+def _rows(spark: SparkSession, paths: str | Sequence[str], multi_line: bool) -> DataFrame:
+    reader = spark.read.schema(RAW_CSV_SCHEMA).options(**CSV_OPTIONS)
+    rows = with_file_columns(reader.option("multiLine", multi_line).csv(paths))
+    return rows.unionByName(_refused(_lines(spark, paths, multi_line)))
+
+
 def read_transactions(
     spark: SparkSession, paths: str | Sequence[str], multi_line: bool = False
 ) -> DataFrame:
-    """Read a batch; a malformed row stops the job.
+    """Read a batch; a malformed row, a blank line or text that is not UTF-8 stops the job.
 
     ``multi_line`` allows line breaks inside quotes but makes a file one task.
     """
-    reader = spark.read.schema(RAW_CSV_SCHEMA).options(**CSV_OPTIONS)
-    return reader.option("multiLine", multi_line).csv(paths)
+    return _rows(spark, paths, multi_line).select(*RAW_COLUMNS)
 
 
 def with_file_columns(rows: DataFrame) -> DataFrame:
-    """Add the file columns of ``FILE_POSITION``; also valid on a stream."""
-    return rows.select(
-        *RAW_COLUMNS,
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("file_block_start"),
+    """Decode, and add the file columns of ``FILE_POSITION``; also valid on a stream."""
+    return decoded(
+        rows.select(
+            *RAW_COLUMNS,
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_block_start").alias("file_block_start"),
+        )
     )
 
 
@@ -63,18 +120,20 @@ def with_position(rows: DataFrame) -> DataFrame:
 def read_batch(
     spark: SparkSession, paths: str | Sequence[str], multi_line: bool = False
 ) -> DataFrame:
-    return with_position(with_file_columns(read_transactions(spark, paths, multi_line)))
+    return with_position(_rows(spark, paths, multi_line))
 
 
 def read_with_rejects(
     spark: SparkSession, paths: str | Sequence[str], header: bool = True
 ) -> DataFrame:
-    """Read every row; malformed ones carry their line in ``corrupt_record``."""
+    """Read every row; malformed ones and blank lines carry their line in ``corrupt_record``."""
     schema = T.StructType([*RAW_CSV_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
     options = {**CSV_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    # Pruned columns would hide a wrong number of fields.
-    reader = spark.read.schema(schema).options(**options).option("columnPruning", False)
-    return reader.option("header", header).csv(paths)
+    rows = spark.read.schema(schema).options(**options).option("header", header).csv(paths)
+    blank = blank_lines(spark, paths).select(
+        *[F.lit(None).cast("string").alias(c) for c in RAW_COLUMNS], F.col("line").alias(CORRUPT)
+    )
+    return decoded(rows).unionByName(blank)
 
 
 # How to write text that CSV_OPTIONS reads back unchanged.

@@ -10,9 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Product names the rule below can produce; the last one is not an accepted name.
-DERIVED_PRODUCT_NAMES = tuple(f"Product {letter}" for letter in "ABCDEF")
-
 # Order of the rows, unique by the last column.
 DERIVED_POSITION = (
     "l_orderkey",
@@ -31,24 +28,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(rows: DataFrame) -> DataFrame:
-    """Give every core work where a small table is read by too few tasks.
+def raw_transactions(spark: SparkSession, sf_dir: str, long_amounts: bool = True) -> DataFrame:
+    """Raw rows with their position columns.
 
-    A file with a single row group is one task, whatever its size. A table with
-    at least one scan task per core is left as it is.
+    ``long_amounts`` plants prices of 15 digits, which floating-point statistics
+    cannot tell apart from their neighbours; without them those rows have their own price.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= cores:
-        return rows
-    return rows.repartition(cores, "row_seq")
-
-
-def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw rows with their position columns."""
-    lines = _spread(
-        read_table(spark, sf_dir, "lineitem").withColumn(
-            "row_seq", F.monotonically_increasing_id()
-        )
+    lines = read_table(spark, sf_dir, "lineitem").withColumn(
+        "row_seq", F.monotonically_increasing_id()
     )
     # Text of an order or part is made once there, not once per line. Dates go
     # through DATE, so that no session time zone can shift them.
@@ -82,11 +69,15 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = {
         "transaction_id": F.when(
             ~every(41),
-            F.concat(F.when(F.col("l_partkey") % 5 == 0, "").otherwise("T"), text(k)),
+            F.when(every(197), F.lit(""))
+            .when(every(199), F.concat(F.lit("t"), text(k)))
+            .otherwise(F.concat(F.when(F.col("l_partkey") % 5 == 0, "").otherwise("T"), text(k))),
         ),
         "customer_id": F.when(~every(29), F.col("customer_text")),
         "transaction_date": F.when(every(37), None)
         .when(every(31), F.lit("2023/07/15"))
+        .when(every(179), F.lit("31-02-2023"))
+        .when(every(181), F.concat(F.col("date_text"), F.lit("\u2028")))
         .when(every(3), F.concat_ws("-", part_of(9, 2), part_of(6, 2), part_of(1, 4)))
         .otherwise(F.col("date_text")),
         "product_id": F.when(~every(61), F.concat(F.lit("P"), text(F.col("l_partkey")))),
@@ -100,10 +91,13 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(text(F.col("l_quantity").cast("int")), F.lit(".0"))),
         "price": F.when(every(23), F.lit("Two Hundred"))
         .when(every(59), F.lit("0"))
+        .when(F.lit(long_amounts) & every(211), F.lit("123456789012345.25"))
+        .when(every(223), F.lit("1.0000004"))
+        .when(every(227), F.lit("33.1234567891"))
         .otherwise(F.col("price_text")),
-        "tax": F.when(every(19), F.lit("Fifteen")).otherwise(
-            text((money("l_extendedprice") * money("l_tax")).cast("decimal(18,4)"))
-        ),
+        "tax": F.when(every(19), F.lit("Fifteen"))
+        .when(every(229), F.lit("1.0050000049"))
+        .otherwise(text((money("l_extendedprice") * money("l_tax")).cast("decimal(18,4)"))),
         "loaded_at": F.trunc("l_shipdate", "month").cast("timestamp_ntz"),
     }
     return joined.select(*[c.alias(n) for n, c in columns.items()], *DERIVED_POSITION)

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.schemas import RAW_COLUMNS, RAW_SCHEMA
+from tallyspark.session import delete, file_system
 
 # The schema each table belongs to.
 LAYER = {
@@ -25,6 +29,9 @@ LAYER = {
     "audit_errors_by_load_date": "auditing",
 }
 
+# Names the version of a table that readers see; readers of files skip the underscore.
+_POINTER = "_current"
+
 _STORED_RAW = T.StructType([*RAW_SCHEMA.fields, T.StructField("load_id", T.StringType())])
 
 
@@ -43,12 +50,71 @@ class Warehouse:
         return f"{self.base}/{LAYER[table]}/{table}"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """The published version of a table."""
+        return self.spark.read.parquet(f"{self.path(name)}/{self._current(name) or ''}")
+
+    def write_version(self, name: str, df: DataFrame) -> str:
+        """Store a table beside the published version, unseen by readers."""
+        version = f"version-{uuid.uuid4().hex}"
+        df.write.parquet(f"{self.path(name)}/{version}")
+        return version
+
+    def version(self, name: str, version: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path(name)}/{version}")
+
+    def publish(self, versions: Mapping[str, str]) -> None:
+        """Switch readers to the given versions.
+
+        Readers that began before keep the files of the former version; what is older
+        than that is removed.
+        """
+        for name, version in versions.items():
+            former = self._current(name)
+            self._point(name, version)
+            self._keep_only(name, (version, former))
+
+    def discard(self, versions: Mapping[str, str]) -> None:
+        for name, version in versions.items():
+            delete(self.spark, f"{self.path(name)}/{version}")
 
     def overwrite(self, name: str, df: DataFrame) -> DataFrame:
-        """Rebuild a table from a query and read it back."""
-        df.write.mode("overwrite").parquet(self.path(name))
-        return self.table(name)
+        """Rebuild a table from a query and read it back; it is never missing meanwhile."""
+        version = self.write_version(name, df)
+        self.publish({name: version})
+        return self.version(name, version)
+
+    def _current(self, name: str) -> str | None:
+        fs, pointer = file_system(self.spark, f"{self.path(name)}/{_POINTER}")
+        if not fs.exists(pointer):
+            return None
+        stream = fs.open(pointer)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def _point(self, name: str, version: str) -> None:
+        """Write the pointer aside and rename it over the old one."""
+        jvm = self.spark._jvm
+        fs, pointer = file_system(self.spark, f"{self.path(name)}/{_POINTER}")
+        _, draft = file_system(self.spark, f"{self.path(name)}/{_POINTER}-{uuid.uuid4().hex}")
+        stream = fs.create(draft, True)
+        try:
+            stream.write(version.encode())
+        finally:
+            stream.close()
+        options = jvm.org.apache.hadoop.fs.Options
+        overwrite = self.spark.sparkContext._gateway.new_array(getattr(options, "Rename"), 1)
+        overwrite[0] = getattr(options, "Rename").OVERWRITE
+        conf = self.spark._jsc.hadoopConfiguration()
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(draft, pointer, overwrite)
+
+    def _keep_only(self, name: str, kept: tuple[str | None, ...]) -> None:
+        fs, folder = file_system(self.spark, self.path(name))
+        for status in fs.listStatus(folder):
+            found = status.getPath().getName()
+            if found.startswith("version-") and found not in kept:
+                fs.delete(status.getPath(), True)
 
     def _raw_or_none(self) -> DataFrame | None:
         try:
@@ -77,12 +143,31 @@ class Warehouse:
         return rows.where(F.col("load_id") == load_id).select(*RAW_COLUMNS, "loaded_at")
 
     def append_raw(self, rows: DataFrame, load_id: str) -> None:
-        """Write one load as its own partition; a retry replaces that partition only."""
+        """Write one load as its own partition; a retry replaces that partition only.
+
+        A load without rows writes no partition, so one of an earlier attempt is removed.
+        """
+        former = self._load_folders(load_id)
+        written = Observation()
         (
             rows.select(*RAW_COLUMNS, "loaded_at")
             .withColumn("load_id", F.lit(load_id))
+            .observe(written, F.count(F.lit(1)).alias("rows"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("load_id")
             .parquet(self.raw_path)
         )
+        # A repeated task may count twice, but none counts rows where there are none.
+        if not written.get["rows"]:
+            for folder in former:
+                delete(self.spark, folder)
+
+    def _load_folders(self, load_id: str) -> list[str]:
+        """The folders that hold the rows of a load: its partition, if it has one."""
+        rows = self._raw_or_none()
+        if rows is None:
+            return []
+        files = rows.where(F.col("load_id") == load_id).select(F.col("_metadata.file_path").alias("f"))
+        # The metadata column gives addresses, which escape what a path holds as it is.
+        return sorted({unquote(row.f).rsplit("/", 1)[0] for row in files.distinct().collect()})

@@ -76,17 +76,21 @@ QUANTITIES = {
     "99999999999999999999999999": RAISES,
 }
 AMOUNTS = {
-    "100": Decimal("100.000000"),
-    "100.50": Decimal("100.500000"),
-    "0": Decimal("0E-6"),
-    "007": Decimal("7.000000"),
+    "100": Decimal("100"),
+    "100.50": Decimal("100.5"),
+    "0": Decimal("0"),
+    "007": Decimal("7"),
     "-5": None,
     "Two Hundred": None,
     "": None,
     None: None,
-    "33.1234567": Decimal("33.123457"),
-    "123456789012345": RAISES,
+    "33.1234567": Decimal("33.1234567"),
+    "33.12345678910000000000": Decimal("33.1234567891"),
+    "123456789012345.25": Decimal("123456789012345.25"),
+    "00000000001234567890123456": Decimal("1234567890123456"),
 }
+# Numbers that no amount holds exactly: they stop both modes.
+TOO_LONG = ("12345678901234567", "1.12345678901", "0.00000000001", "12345678901234567.5")
 CLEANERS = {
     "id": (IDS, lambda col, mode: c.clean_prefixed_id(col, "T", "transaction_id", mode)),
     "customer": (CUSTOMERS, c.clean_customer_id),
@@ -127,19 +131,29 @@ def test_strict_refuses(spark, name, text):
         df.select(CLEANERS[name][1](F.col("t"), c.STRICT)).collect()
 
 
+@pytest.mark.parametrize("mode", [c.LENIENT, c.STRICT])
+@pytest.mark.parametrize("text", TOO_LONG)
+def test_an_amount_is_never_rounded_or_lost(spark, text, mode):
+    df = spark.createDataFrame([[text]], "t string")
+    with pytest.raises(PySparkException, match=f"price: too many digits in '{text}'"):
+        df.select(c.clean_amount(F.col("t"), "price", mode)).collect()
+
+
 def test_unknown_mode(spark):
     with pytest.raises(ValueError):
         c.clean_date(F.col("t"), "loose")
+    with pytest.raises(ValueError):
+        c.clean_amount(F.col("t"), "price", "loose")
 
 
 def test_digit_loss(spark):
     texts = {
-        "1.123456": False,
-        "1.1234560": False,
-        "1.1234567": True,
-        "12345678901234": False,
-        "0012345678901234": False,
-        "123456789012345": True,
+        "1.1234567891": False,
+        "1.12345678910": False,
+        "1.12345678911": True,
+        "1234567890123456": False,
+        "001234567890123456": False,
+        "12345678901234567": True,
         "abc": False,
         None: False,
     }

@@ -38,6 +38,46 @@ def test_rejects_are_told_apart(spark, tmp_path):
     assert sorted(r.corrupt_record for r in rows if r.corrupt_record) == ["1,2", "1,2,3,4,5,6,7,8,9"]
 
 
+@pytest.mark.parametrize("blank", ["", "  "])
+def test_blank_lines_stop_the_load(spark, tmp_path, blank):
+    path = write(tmp_path / "a.csv", "1,2,3,4,5,6,7,8", blank, "2,2,3,4,5,6,7,8")
+    with pytest.raises(Exception, match="blank line in"):
+        csv_source.read_batch(spark, path).collect()
+    with pytest.raises(Exception, match="blank line in"):
+        csv_source.read_batch(spark, path).count()
+    with pytest.raises(Exception, match="blank line in"):
+        csv_source.read_transactions(spark, path, multi_line=True).collect()
+    rejected = [r.corrupt_record for r in csv_source.read_with_rejects(spark, path).collect()]
+    assert sorted(rejected, key=str) == sorted([None, None, blank], key=str)
+
+
+def test_blank_lines_inside_quotes_are_text(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'T1,1,2023-07-15,P1,"a\n\n""b""",1,1,1')
+    row = csv_source.read_transactions(spark, path, multi_line=True).first()
+    assert row.product_name == 'a\n\n"b"'
+
+
+def test_undecodable_text_stops_the_load(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_bytes((HEADER + "T1,1,2023-07-15,P1,caf").encode() + b"\xe9,1,1,1\n")
+    for read in (csv_source.read_batch, csv_source.read_transactions, csv_source.read_with_rejects):
+        with pytest.raises(Exception, match="INVALID_UTF8_STRING"):
+            read(spark, str(path)).collect()
+
+
+def test_text_outside_ascii(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "T1,1,2023-07-15,P1,é 日本 🙂 \ufffd,1,1,1")
+    assert csv_source.read_batch(spark, path).first().product_name == "é 日本 🙂 \ufffd"
+
+
+def test_counting_rows_sees_malformed_ones(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "1,2,3,4,5,6,7,8", "1,2,3")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        csv_source.read_batch(spark, path).count()
+    with pytest.raises(Exception, match="(?i)malformed"):
+        csv_source.read_transactions(spark, path).select("tax").collect()
+
+
 def test_line_break_in_quotes(spark, tmp_path):
     path = write(tmp_path / "a.csv", 'T1,1,2023-07-15,P1,"a\nb",1,1,1')
     assert csv_source.read_transactions(spark, path, multi_line=True).first().product_name == "a\nb"

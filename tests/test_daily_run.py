@@ -76,6 +76,61 @@ def test_check_first_publishes_only_what_passes(spark, tmp_path):
     assert clean.table("fact_transactions").count() == 2
 
 
+def test_failed_checks_can_be_returned_unpublished(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    run(warehouse, csv(tmp_path, GOOD), "day-1", "2024-01-01 06:00:00")
+    result = run(
+        warehouse, csv(tmp_path, BAD), "day-2", "2024-01-02 06:00:00", check_first=True, stop_on_failure=False
+    )
+    assert result.checks.where("NOT passed").count() == 1
+    assert warehouse.table("fact_transactions").count() == 2
+    result = run(warehouse, csv(tmp_path, BAD), "day-2", "2024-01-02 06:00:00", stop_on_failure=False)
+    assert result.checks.where("NOT passed").count() == 1
+    assert warehouse.table("fact_transactions").count() == 3
+
+
+def test_readers_never_miss_a_table(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    run(warehouse, csv(tmp_path, GOOD), "day-1", "2024-01-01 06:00:00")
+    before = warehouse.table("fact_transactions")
+    unseen = warehouse.write_version("fact_transactions", before.where("false"))
+    assert warehouse.table("fact_transactions").count() == 2
+    warehouse.publish({"fact_transactions": unseen})
+    assert warehouse.table("fact_transactions").count() == 0
+    # A reader that began before still has its files.
+    assert before.count() == 2
+    warehouse.overwrite("fact_transactions", before.limit(1))
+    assert warehouse.table("fact_transactions").count() == 1
+    versions = [p.name for p in (tmp_path / "w/analytics/fact_transactions").iterdir() if p.name.startswith("version")]
+    assert len(versions) == 2
+
+
+def test_the_raw_layer_is_cleaned_once_and_scratch_goes(spark, tmp_path, monkeypatch):
+    shared = tmp_path / "shared"
+    monkeypatch.setattr("tallyspark.session.shared_dir", lambda _: str(shared))
+    scans = []
+    real = Warehouse.raw
+    monkeypatch.setattr(Warehouse, "raw", lambda self: scans.append(1) or real(self))
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    run(warehouse, csv(tmp_path, GOOD), "day-1", "2024-01-01 06:00:00")
+    assert scans == [1]
+    for table in warehouse.table("dim_customers"), warehouse.table("fact_transactions"):
+        assert table.count() == 2
+    assert not [p for p in shared.rglob("*") if p.is_file()]
+
+
+def test_a_long_price_reaches_the_fact(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    lines = [*GOOD, "T8,1.0,2023-07-15,P1,Product A,3,123456789012345.0000000001,0.005"]
+    run(warehouse, csv(tmp_path, lines), "day-1", "2024-01-01 06:00:00")
+    row = warehouse.table("fact_transactions").where("transaction_id = 8").first()
+    assert str(row.unit_price) == "123456789012345.0000000001"
+    assert str(row.gross_amount) == "370370367037035.00" and str(row.total_amount) == "370370367037035.01"
+    longer = [*GOOD, "T9,1.0,2023-07-15,P1,Product A,3,12345678901234567,1"]
+    with pytest.raises(Exception, match="price: too many digits in '12345678901234567'"):
+        run(warehouse, csv(tmp_path, longer), "day-2", "2024-01-02 06:00:00")
+
+
 def test_strict_mode_stops_on_text_that_cannot_be_converted(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "w"))
     path = csv(tmp_path, [*GOOD, "TX,1.0,2023-07-15,P1,Product A,1,1,1"])

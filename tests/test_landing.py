@@ -122,6 +122,44 @@ def test_land_into_a_warehouse(spark, raw_rows, tmp_path):
     assert warehouse.raw().select("loaded_at").distinct().count() == 2
 
 
+def test_an_empty_retry_removes_its_load(spark, raw_rows, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    wrong = raw_rows(t("T1", "wrong"), t(None, "n"))
+    land(warehouse, wrong, "day/1 ä", "2024-01-01 00:00:00", ["pos"])
+    land(warehouse, raw_rows(t("T2", "x")), "day-2", "2024-01-02 00:00:00", ["pos"])
+    metrics = land(warehouse, wrong.where("false"), "day/1 ä", "2024-01-01 00:05:00", ["pos"]).first()
+    assert tuple(metrics) == (0, 0, 0)
+    assert ids(warehouse.raw()) == [("T2", "x")]
+    # The id is free again.
+    metrics = land(warehouse, raw_rows(t("T1", "right")), "day-3", "2024-01-03 00:00:00", ["pos"]).first()
+    assert tuple(metrics) == (1, 1, 0)
+    assert ids(warehouse.raw()) == [("T1", "right"), ("T2", "x")]
+
+
+def test_a_retry_of_which_everything_is_stored_elsewhere(spark, raw_rows, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    land(warehouse, raw_rows(t("T1", "x")), "day-1", "2024-01-01 00:00:00", ["pos"])
+    land(warehouse, raw_rows(t("T2", "y")), "day-2", "2024-01-02 00:00:00", ["pos"])
+    again = land(warehouse, raw_rows(t("T1", "z")), "day-2", "2024-01-02 00:05:00", ["pos"]).first()
+    assert tuple(again) == (1, 0, 1)
+    assert ids(warehouse.raw()) == [("T1", "x")]
+
+
+def test_the_first_load_may_be_empty(spark, raw_rows, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    empty = raw_rows(t("T1", "x")).where("false")
+    assert tuple(land(warehouse, empty, "day-1", "2024-01-01 00:00:00", ["pos"]).first()) == (0, 0, 0)
+    assert warehouse.raw().count() == 0
+
+
+def test_the_id_map_keeps_all_shared_ids(spark):
+    batch = spark.range(0, 40_000, 2).select(F.concat(F.lit("T"), "id").alias("transaction_id"))
+    target = spark.range(0, 40_000, 3).select(F.concat(F.lit("T"), "id").alias("transaction_id"))
+    kept = {r.transaction_id for r in landing._perhaps_in(target, batch).collect()}
+    shared = {f"T{k}" for k in range(0, 40_000, 6)}
+    assert shared <= kept and len(kept) < len(shared) * 1.01
+
+
 def test_overlong_row_leaves_raw_untouched(spark, raw_rows, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))
     land(warehouse, raw_rows(t("T1", "x")), "day-1", "2024-01-01 00:00:00", ["pos"])

@@ -155,7 +155,7 @@ def test_renamed_product_takes_the_latest_name(raw_rows):
 
 
 def test_digit_loss_is_counted(raw_rows):
-    raw = raw_rows(row("T1", "1", "2023-07-02", "P1", "1", "1.1234567", "1"))
+    raw = raw_rows(row("T1", "1", "2023-07-02", "P1", "1", "1.12345678911", "1"))
     assert {r.column_name: r.values_losing_digits for r in digit_loss(raw).collect()} == {
         "price": 1,
         "tax": 0,

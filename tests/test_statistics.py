@@ -8,7 +8,8 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tallyspark.functions.student_t import correlation_p_value, incomplete_beta
+from tallyspark.functions import student_t
+from tallyspark.functions.student_t import correlation_p_value, gamma_ratio
 from tallyspark.operators import statistics
 from tallyspark.operators.quantiles import quantiles, value_counts
 
@@ -134,7 +135,36 @@ def test_p_value_limits():
     assert correlation_p_value(0.0, 10) == pytest.approx(1.0)
     assert correlation_p_value(None, 10) is None
     assert correlation_p_value(0.5, 1) is None
-    assert incomplete_beta(2.0, 3.0, 0.5) == pytest.approx(0.6875)
+    assert gamma_ratio(0.5) == pytest.approx(1 / math.sqrt(math.pi), rel=1e-13)
+    assert gamma_ratio(3.0) == pytest.approx(math.gamma(3.5) / 2, rel=1e-13)
+
+
+def integrated_p_value(t, n):
+    """The t density by Simpson's rule."""
+
+    def area(start, stop, steps=40_000):
+        h = (stop - start) / steps
+        values = [
+            math.exp(-(n - 1) / 2 * math.log1p((start + k * h) ** 2 / (n - 2)))
+            * (1 if k in (0, steps) else 4 if k % 2 else 2)
+            for k in range(steps + 1)
+        ]
+        return math.fsum(values) * h / 3
+
+    return area(t, t + 40) / area(0, 60)
+
+
+@pytest.mark.parametrize("n", [40, 10**4, 10**7 - 1, 10**7, 10**7 + 1, 10**9])
+@pytest.mark.parametrize("t", [0.01, 0.5, 3.0, 6.0])
+def test_p_value_is_one_formula_for_every_size(t, n):
+    r = t / math.sqrt(t * t + n - 2)
+    assert correlation_p_value(r, n) == pytest.approx(integrated_p_value(t, n), rel=1e-9)
+
+
+def test_p_value_does_not_return_unsettled_values(monkeypatch):
+    monkeypatch.setattr(student_t, "_MAX_STEPS", 2)
+    with pytest.raises(ArithmeticError):
+        correlation_p_value(0.3, 30)
 
 
 def test_with_p_value(points):

@@ -1,5 +1,7 @@
 """Streaming landing against batch landing of the same files."""
 
+import pytest
+
 from tallyspark.plans.daily_run import land
 from tallyspark.schemas import RAW_COLUMNS
 from tallyspark.sources.csv_source import read_batch
@@ -58,6 +60,28 @@ def test_one_file_at_a_time(spark, tmp_path):
     assert sum(1 for i, _ in got if i is None) == 2
 
 
+def test_replay_without_rows_removes_its_partition(spark, tmp_path):
+    """The file of a micro-batch is corrected to an empty one before it is delivered again."""
+    files = tmp_path / "files"
+    files.mkdir()
+    write(files, "a.csv", "T1", "")
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    land_stream(warehouse, str(files), str(tmp_path / "cp1")).awaitTermination()
+    write(files, "a.csv")
+    land_stream(warehouse, str(files), str(tmp_path / "cp2")).awaitTermination()
+    assert content(warehouse) == []
+
+
+def test_blank_lines_stop_the_stream(spark, tmp_path):
+    files = tmp_path / "files"
+    files.mkdir()
+    write(files, "a.csv", "T1")
+    with (files / "a.csv").open("a") as file:
+        file.write("\n\n")
+    with pytest.raises(Exception, match="blank line in"):
+        land_stream(Warehouse(spark, str(tmp_path / "w")), str(files), str(tmp_path / "cp")).awaitTermination()
+
+
 def test_replayed_batch_replaces_its_partition(spark, tmp_path):
     """A micro-batch that is delivered twice must not double rows without id."""
     files = tmp_path / "files"
