@@ -14,6 +14,9 @@ HELD_OUT_FOLD = 0
 # Longer keys are not remembered.
 CACHED_CHARS = 48
 
+# A side of at most this many rows of two numbers is broadcast; a larger one is shuffled.
+BROADCAST_ROWS = 1_000_000
+
 # Rows of one Arrow batch: with texts of 100 kB a batch stays near 50 MB.
 BATCH_ROWS = 500
 
@@ -44,6 +47,12 @@ class Memo(dict):
             self.clear()
         self[key] = value
 
+    def add(self, entries: dict) -> None:
+        if len(self) + len(entries) > self.limit:
+            self.former = dict(self)
+            self.clear()
+        self.update(entries)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -81,6 +90,23 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -
     )
 
 
+def small(table: DataFrame) -> DataFrame:
+    """A written table of a few numbers a row, with a broadcast hint if it is short enough."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The documents that are not among ``dropped`` (doc_id, text_hash), with all their columns.
+
+    A document is told by its id and the hash of its text, so repeated rows share a
+    verdict. A short list is broadcast, which leaves the texts where they are.
+    """
+    named = dropped.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    gone = small(materialize(named.distinct(), "dropped"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
+    return docs.join(gone, same, "left_anti")
+
+
 def codes(text: str) -> np.ndarray:
     """Code points of a text."""
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
@@ -117,9 +143,15 @@ def word_hashes(points: np.ndarray) -> np.ndarray:
     origin = np.zeros(len(points), np.int64)
     origin[starts] = starts
     place -= np.maximum.accumulate(origin)
-    mixed = mix((points.astype(np.uint64) << np.uint64(32)) + place.astype(np.uint64) + _GOLDEN)
-    mixed[~inside] = 0
-    return np.add.reduceat(mixed, starts)
+    pairs = points.astype(np.uint64)
+    pairs <<= np.uint64(32)
+    pairs += place.astype(np.uint64)
+    pairs += _GOLDEN
+    pairs *= _MIX_1
+    pairs ^= pairs >> np.uint64(31)
+    pairs *= _MIX_2
+    pairs[~inside] = 0
+    return mix(np.add.reduceat(pairs, starts))
 
 
 def shingles(text: str, width: int) -> np.ndarray:

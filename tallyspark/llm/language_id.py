@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import codes, small_batches
+from tallyspark.llm.common import codes, small_batches, without
 from tallyspark.session import materialize
 
 UNKNOWN = "und"
@@ -235,13 +235,8 @@ def keep_identified(docs: DataFrame, model: TextModel) -> DataFrame:
 
     A verdict belongs to a doc_id and a text, so repeated rows share it.
     """
-    text_hash = F.xxhash64("text")
-    rows = of_documents(docs).withColumn("text_hash", text_hash)
-    verdicts = identify(rows, model).where("accepted").select(
-        F.col("doc_id").alias("__kept_id"), F.col("text_hash").alias("__kept_hash")
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("__kept_id")) & (text_hash == F.col("__kept_hash"))
-    return docs.join(verdicts, same, "left_semi")
+    rows = of_documents(docs).withColumn("text_hash", F.xxhash64("text"))
+    return without(docs, identify(rows, model).where("NOT accepted"))
 
 
 def of_pages(pages: DataFrame) -> DataFrame:

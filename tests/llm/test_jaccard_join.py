@@ -93,6 +93,7 @@ def test_groups(spark, seed):
 def test_search_alone_closes_every_group(spark, monkeypatch):
     """Without leaders each set is its own component, so the search has to find all."""
     monkeypatch.setattr(jj, "ENTRIES_TOGETHER", 200)
+    monkeypatch.setattr(jj, "HASHES_TOGETHER", 3000)
     rows = corpus(7)
     expected, links, _ = brute(rows)
     docs = frame(spark, rows)
@@ -110,9 +111,10 @@ def test_search_alone_closes_every_group(spark, monkeypatch):
 def test_small_tasks_settle_the_same(spark, monkeypatch):
     monkeypatch.setattr(jj, "FLUSH", 500)
     monkeypatch.setattr(jj, "LIST_CHUNK", 3)
-    monkeypatch.setattr(jj, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(jj, "QUERIES_TOGETHER", 2)
-    monkeypatch.setattr(jj, "MU", 5.0)
+    monkeypatch.setattr(jj, "HITS_SHARE", 3)
+    monkeypatch.setattr(jj, "HASHES_TOGETHER", 2000)
     rows = corpus(8)
     found = jj.near_duplicates(frame(spark, rows)).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == sorted(brute(rows)[0])
