@@ -26,7 +26,7 @@ from tallyspark.plans import queries as catalog
 from tallyspark.plans.daily_run import build_tables, land
 from tallyspark.session import local_session
 from tallyspark.sources.csv_source import FILE_POSITION, read_batch, write_transactions
-from tallyspark.sources.derived import raw_transactions
+from tallyspark.plans.queries.derived import raw_transactions
 from tallyspark.sources.tables import Warehouse
 
 END_TO_END = (

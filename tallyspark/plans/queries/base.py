@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.operators import landing, marts
 from tallyspark.operators.staging import stage_transactions
-from tallyspark.sources.derived import DERIVED_POSITION, raw_transactions
+from tallyspark.plans.queries.derived import DERIVED_POSITION, raw_transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,9 +120,11 @@ _GROSS = f"nullif({whole_number('price')} * quantity, 0)"
 _RATE = f"""CAST(CAST((2 * {whole_number('tax')} * 1000000 + {_GROSS}) // (2 * {_GROSS})
         AS DECIMAL(25,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(29,4))"""
 
+# The fields whose absence makes a row count as one with errors.
 _ANY_ERROR = """transaction_id IS NULL OR customer_id IS NULL OR transaction_date IS NULL
         OR quantity IS NULL OR price IS NULL OR tax IS NULL"""
 
+# Fixed values below: the column names of every table, which both sides share.
 # name -> (layers it reads, query)
 # Amounts are 12-digit decimals on this side, wider than the engine's.
 _AMOUNT = "DECIMAL(28,12)"

@@ -16,7 +16,7 @@ from tallyspark.sources.csv_source import (
     read_with_rejects,
     write_transactions,
 )
-from tallyspark.sources.derived import DERIVED_POSITION
+from tallyspark.plans.queries.derived import DERIVED_POSITION
 from tallyspark.sources.tables import Warehouse
 from tallyspark.streaming.landing_stream import land_stream
 
