@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +67,13 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+def release() -> None:
+    """Give freed memory back, so that an idle worker does not hold what its last task needed."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo the number of folds; null ids are in the held-out fold."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS

@@ -37,7 +37,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import connected_components, mix, shingles, small, small_batches, without
+from tallyspark.llm.common import (
+    connected_components,
+    mix,
+    release,
+    shingles,
+    small,
+    small_batches,
+    without,
+)
 from tallyspark.session import materialize
 
 WIDTH = 5
@@ -45,13 +53,13 @@ PERCENT = 80
 SPARE = 10
 SIGNATURES = 8
 DOCS_PER_BUCKET = 2000
-FLUSH = 1_500_000
+FLUSH = 500_000
 LIST_CHUNK = 4096
 QUERIES_TOGETHER = 256
-ENTRIES_TOGETHER = 2_000_000
+ENTRIES_TOGETHER = 500_000
 # A candidate is at least T // HITS_SHARE times in the short lists.
 HITS_SHARE = 8
-HASHES_TOGETHER = 4_000_000
+HASHES_TOGETHER = 2_000_000
 
 _SPREAD = np.uint64(0xD6E8FEB86659FD93)
 _32 = np.uint64(32)
@@ -221,6 +229,7 @@ def first_pass(docs: DataFrame, width: int) -> DataFrame:
                 key=keys,
             )
         yield from postings.flush()
+        release()
 
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -321,6 +330,7 @@ def candidate_sets(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
                 ],
                 ["key", "hashes", "signs"],
             )
+        release()
 
     sets = (
         texts.mapInArrow(run, "key binary, hashes array<long>, signs array<long>")
@@ -583,6 +593,7 @@ def _propose(table: pa.Table) -> pa.Table:
         members.append(short_candidates(names, int(rank[0]), int(size[0]), lists))
     nodes.append(None)
     members.append(sorted({m for found in members for m in found}))
+    release()
     return pa.table(
         {
             "batch": pa.array([batch] * len(nodes), pa.int64()),
@@ -611,6 +622,7 @@ def _verify(table: pa.Table) -> pa.Table:
         found = partners(names, n, [m for m in members.tolist() if m in sets], sets)
         a += [node] * len(found)
         b += found
+    release()
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 

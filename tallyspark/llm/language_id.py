@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import codes, small_batches, without
+from tallyspark.llm.common import codes, release, small_batches, without
 from tallyspark.session import materialize
 
 UNKNOWN = "und"
@@ -129,6 +129,7 @@ def score_texts(rows: DataFrame, model: TextModel) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(found, pa.list_(pa.float64()))], [*others, "text_scores"]
             )
+        release()
 
     schema = ", ".join(f"`{c}` {dict(rows.dtypes)[c]}" for c in others) + ", text_scores array<double>"
     return rows.select("text", *others).mapInArrow(score, schema)

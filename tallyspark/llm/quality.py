@@ -166,6 +166,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             scores = pa.array([own.score(features.of(text or "")) for text in texts], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*others, "score"])
+        common.release()
 
     scored = docs.select(*others).mapInArrow(run, schema)
     return scored.withColumn("held_out", common.held_out(F.col("doc_id"))).withColumn(
