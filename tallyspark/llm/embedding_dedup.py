@@ -5,8 +5,10 @@ stand for one vector. A neighbour graph starts from windows over vectors sorted
 signs of random projections, one order for each of ``ORDERS`` sets of projections. Each
 round joins the neighbours of every vector with one another: pairs of neighbours and
 reverse neighbours are compared and enter the lists of both. Lists keep the ``NEIGHBOURS``
-nearest above ``FLOOR``. Rounds go on while they find links and an audit, brute force of a
-bounded query sample against all rows, finds fewer than ``RECALL`` of the true links.
+nearest above ``FLOOR``. An audit compares vectors, one of each component so far, with all
+rows, until ``AUDIT_LINKED`` of them have links: the recall is the mean share of a vector's
+links that lie inside its component. Every round below ``RECALL`` adds new orders; what the
+audit finds is kept. If the last round is below, all vectors are compared across components.
 
 A list that is full of links is saturated and may miss some: it is enlarged to the whole
 component its links reach, whose links are then counted exactly, block by block, without
@@ -19,7 +21,8 @@ link with each other. Rows that repeat a vec_id are one vector each, under the s
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyspark.llm.common import connected_components
-from tallyspark.session import materialize
+from tallyspark.session import materialize, scratch_path
 
 THRESHOLD = 0.93
 FLOOR = 0.75
@@ -39,10 +42,18 @@ WINDOW = 192
 MAX_ROUNDS = 5
 RECALL = 0.98
 AUDIT_QUERIES = 400
+AUDIT_LINKED = 200
+# Vectors sent to all tasks at a time.
+CHUNK = 8192
 BLOCK = 512
 
 _PAIRS = "a long, b long, cosine double"
 _PAIR_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("cosine", pa.float64())])
+# (of, hits, n) counts the links of an asked vector; (a, b, cosine) is one that was missed.
+_FOUND = "of long, hits long, n long, a long, b long, cosine double"
+_FOUND_SCHEMA = pa.schema(
+    [("of", pa.int64()), ("hits", pa.int64()), ("n", pa.int64()), *[_PAIR_SCHEMA.field(k) for k in range(3)]]
+)
 
 
 def _unit(column: pa.Array) -> np.ndarray:
@@ -219,6 +230,191 @@ def audit(nodes: DataFrame, pairs: DataFrame, threshold: float, queries: int) ->
     return row.hits, row.n
 
 
+def orders_for(rows: int, threshold: float) -> int:
+    """Orders after which two vectors at the threshold among ``rows`` shared a window with chance ``RECALL``.
+
+    They share one if the signs that cut the rows down to a window are equal, each with
+    chance 1 - angle / pi.
+    """
+    signs = max(0.0, math.log2(max(rows, 1) / WINDOW))
+    share = (1 - math.acos(threshold) / math.pi) ** signs
+    return max(ORDERS, math.ceil(math.log(1 - RECALL) / math.log1p(-share)) if share < 1 else 1)
+
+
+def with_components(nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """(node, label, component, embedding) of all vectors; one without links is its own component."""
+    joined = nodes.join(members, "node", "left")
+    return joined.select("node", "label", F.coalesce("component", "node").alias("component"), "embedding")
+
+
+def against_all(rows: DataFrame, asked: pa.Table, compare: Callable, path: str) -> None:
+    """Append to ``path`` what ``compare`` finds of the asked vectors in each batch of ``rows``.
+
+    Both are (node, label, component, embedding). The asked ones are broadcast; their
+    caller bounds them. Only rows of the same label and width meet.
+    """
+    column = asked.column("embedding").combine_chunks()
+    widths = column.value_lengths().to_numpy(zero_copy_only=False)
+    names = asked.column("label").to_numpy()
+    groups: dict = {}
+    for at, key in enumerate(zip(names.tolist(), widths.tolist(), strict=True)):
+        groups.setdefault(key, []).append(at)
+    ready = {
+        key: (
+            asked.column("node").to_numpy()[at],
+            asked.column("component").to_numpy()[at],
+            _unit(column.take(pa.array(at))),
+        )
+        for key, at in groups.items()
+    }
+    shared = rows.sparkSession.sparkContext.broadcast(ready)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column(3).value_lengths().to_numpy(zero_copy_only=False)
+            labels = batch.column(1).to_numpy(zero_copy_only=False)
+            for key, own in shared.value.items():
+                part = batch.filter(pa.array((labels == key[0]) & (sizes == key[1])))
+                for at in range(0, part.num_rows, BLOCK):
+                    some = part.slice(at, BLOCK)
+                    them = (some.column(0).to_numpy(), some.column(2).to_numpy(), _unit(some.column(3)))
+                    yield from compare(own, them)
+
+    rows.select("node", "label", "component", "embedding").mapInArrow(run, _FOUND).write.mode("append").parquet(path)
+    shared.unpersist()
+
+
+def _found_batch(of, hits, n, a, b, cosines) -> pa.RecordBatch:
+    """Counts of asked vectors, then links that were missed."""
+    more, fewer = len(a), len(of)
+    zero, void = np.zeros(more, np.int64), pa.nulls(fewer, pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.concat_arrays([pa.array(of), pa.nulls(more, pa.int64())]),
+            pa.array(np.concatenate([hits, zero])),
+            pa.array(np.concatenate([n, zero])),
+            pa.concat_arrays([void, pa.array(np.minimum(a, b))]),
+            pa.concat_arrays([void, pa.array(np.maximum(a, b))]),
+            pa.concat_arrays([pa.nulls(fewer, pa.float64()), pa.array(cosines)]),
+        ],
+        schema=_FOUND_SCHEMA,
+    )
+
+
+def _one_each(a, b, component_a, component_b, cosines):
+    """One link for each pair of components."""
+    _, first = np.unique(np.stack([component_a, component_b]), axis=1, return_index=True)
+    return a[first], b[first], cosines[first]
+
+
+def count_links(threshold: float) -> Callable:
+    """Links of the asked vectors, inside their component and in all."""
+
+    def compare(own: tuple, them: tuple) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(own[0]), BLOCK):
+            ids, components, unit = (x[at : at + BLOCK] for x in own)
+            x, y, c = _near(unit, them[2], threshold)
+            other = ids[x] != them[0][y]
+            x, y, c = x[other], y[other], c[other]
+            if not len(x):
+                continue
+            inside = components[x] == them[1][y]
+            n = np.bincount(x, minlength=len(ids))
+            hits = np.bincount(x[inside], minlength=len(ids))
+            seen, out = n > 0, ~inside
+            x, y, c = x[out], y[out], c[out]
+            missed = _one_each(ids[x], them[0][y], components[x], them[1][y], c)
+            yield _found_batch(ids[seen], hits[seen], n[seen], *missed)
+
+    return compare
+
+
+def cross_links(threshold: float) -> Callable:
+    """Links of the asked vectors with other components, exactly, one for each pair of components.
+
+    Asked vectors of one component stand behind their centre: a row whose angle to it is
+    more than the angle of the threshold and that of the farthest member links with none.
+    """
+
+    def compare(own: tuple, them: tuple) -> Iterator[pa.RecordBatch]:
+        ids, components, unit = own
+        if id(own) not in balls:
+            balls.clear()
+            order = np.argsort(components, kind="stable")
+            starts = np.flatnonzero(np.diff(components[order], prepend=components[order[0]] - 1))
+            centres = np.add.reduceat(unit[order], starts)
+            norms = np.linalg.norm(centres, axis=1, keepdims=True)
+            centres = np.where(norms > 1e-9, centres / np.maximum(norms, 1e-9), unit[order[starts]])
+            sizes = np.diff([*starts, len(order)])
+            apart = np.einsum("ij,ij->i", unit[order], np.repeat(centres, sizes, axis=0))
+            radius = np.arccos(np.clip(np.minimum.reduceat(apart, starts), -1, 1))
+            reach = np.cos(np.minimum(np.pi, radius + math.acos(threshold) + 1e-6)) - 1e-9
+            balls[id(own)] = order, starts, sizes, centres, reach
+        order, starts, sizes, centres, reach = balls[id(own)]
+        for at in range(0, len(starts), BLOCK):
+            here = slice(at, at + BLOCK)
+            named = components[order[starts[here]]]
+            may = (centres[here] @ them[2].T >= reach[here, None]) & (named[:, None] != them[1][None, :])
+            for k in np.flatnonzero(may.any(axis=1)).tolist():
+                rows = np.flatnonzero(may[k])
+                first = starts[at + k]
+                for begin in range(first, first + sizes[at + k], BLOCK):
+                    members = order[begin : min(begin + BLOCK, first + sizes[at + k])]
+                    x, y, c = _near(unit[members], them[2][rows], threshold)
+                    if len(x):
+                        x, y = members[x], rows[y]
+                        missed = _one_each(ids[x], them[0][y], components[x], them[1][y], c)
+                        yield _found_batch(*[np.empty(0, np.int64)] * 3, *missed)
+
+    balls: dict = {}
+    return compare
+
+
+def audit_components(rows: DataFrame, threshold: float) -> tuple[float, DataFrame]:
+    """(recall, missed links) of one vector of each component, the components weighted alike.
+
+    The vectors, chosen by a hash, are asked in growing steps until ``AUDIT_LINKED`` of them
+    have links or all were asked, so rare links are seen too.
+    """
+    spark = rows.sparkSession
+    one = rows.groupBy("component").agg(F.min_by("node", F.struct(F.xxhash64("node"), "node")).alias("node"))
+    chosen = materialize(one, "audit-asked")
+    parts = max(1, math.ceil(chosen.count() / AUDIT_QUERIES))
+    chosen = chosen.withColumn("part", F.pmod(F.xxhash64("component", F.lit(1)), F.lit(parts)))
+    path = scratch_path(spark, "audit")
+    found = spark.createDataFrame([], _FOUND)
+    per_vector = "of IS NOT NULL"
+    recall, begin, step = 1.0, 0, 1
+    while begin < parts:
+        ids = chosen.where(F.col("part").between(begin, begin + step - 1)).select("node")
+        asked = rows.join(ids, "node").toArrow()
+        begin, step = begin + step, min(2 * max(begin, 1), CHUNK // AUDIT_QUERIES)
+        if not asked.num_rows:
+            continue
+        against_all(rows, asked, count_links(threshold), path)
+        found = spark.read.schema(_FOUND).parquet(path)
+        each = found.where(per_vector).groupBy("of").agg((F.sum("hits") / F.sum("n")).alias("share"))
+        seen = each.agg(F.count("*").alias("linked"), F.avg("share").alias("recall")).first()
+        recall = 1.0 if seen.recall is None else seen.recall
+        if seen.linked >= AUDIT_LINKED:
+            break
+    return recall, found.where("a IS NOT NULL").select("a", "b", "cosine")
+
+
+def find_cross_links(rows: DataFrame, asked: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b, cosine) of the asked vectors (node) with other components, in chunks."""
+    spark = rows.sparkSession
+    chosen = materialize(rows.join(asked.select("node").distinct(), "node"), "cross-asked")
+    parts = math.ceil(chosen.count() / CHUNK)
+    path = scratch_path(spark, "cross")
+    for part in range(parts):
+        some = chosen.where(F.pmod(F.xxhash64("node"), F.lit(parts)) == part).toArrow()
+        if some.num_rows:
+            against_all(rows, some.select(rows.columns), cross_links(threshold), path)
+    found = spark.read.schema(_FOUND).parquet(path) if parts else spark.createDataFrame([], _FOUND)
+    return found.select("a", "b", "cosine")
+
+
 def exact_links(nodes: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
     """(node, others): copies of other vectors of the same component that link, counted exactly.
 
@@ -262,20 +458,26 @@ def deduplicate(
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of each row of (vec_id, embedding, label)."""
     nodes = distinct_vectors(vectors)
-    pairs = materialize(initial_pairs(nodes, floor, ORDERS), "neighbours")
+    largest = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    orders = orders_for(largest, threshold)
+    best = F.max("cosine").alias("cosine")
+    pairs = materialize(initial_pairs(nodes, floor, orders), "neighbours")
     links = F.col("cosine") >= threshold
-    before, seed = -1, 0
-    for _ in range(MAX_ROUNDS):
+    for seed in range(1, MAX_ROUNDS + 1):
         pairs = materialize(descend(nodes, pairs, floor, size), "neighbours")
-        found = pairs.where(links).count()
-        grown, before = found > before * 1.001, found
-        hits, there = audit(nodes, pairs, threshold, AUDIT_QUERIES)
-        if hits >= RECALL * there:
+        members = connected_components(pairs.where(links).select("a", "b"), "vector-components")
+        rows = materialize(with_components(nodes, members), "vector-rows")
+        recall, missed = audit_components(rows, threshold)
+        pairs = pairs.unionAll(missed).groupBy("a", "b").agg(best)
+        if recall >= RECALL:
             break
-        if not grown:  # settled below the aim: new orders give new starting points
-            seed += 1
-            more = initial_pairs(nodes, floor, ORDERS, seed)
-            pairs = pairs.unionAll(more).groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
+        if seed < MAX_ROUNDS:  # new orders give new starting points
+            more = initial_pairs(nodes, floor, orders, seed)
+            pairs = pairs.unionAll(more).groupBy("a", "b").agg(best)
+    pairs = materialize(pairs, "neighbours")
+    if recall < RECALL:  # the rounds did not reach the aim: compare everything
+        found = find_cross_links(rows, rows, threshold)
+        pairs = pairs.unionAll(found).groupBy("a", "b").agg(best)
     edges = pairs.where(links).select("a", "b")
     members = connected_components(edges, "vector-components")
     counted = exact_links(nodes, members, threshold)

@@ -92,3 +92,22 @@ def test_nothing_to_link(spark, rows):
 def test_repeated_ids(spark):
     rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (0, [1.0, 0.01], 1)]
     assert run(spark, rows) == {1: (2, 0, False), 0: (2, 0, True)}
+
+
+def test_isolated_pairs_beside_a_large_cluster(spark, monkeypatch):
+    """Windows too small for the pairs: the rounds miss the aim and everything is compared."""
+    monkeypatch.setattr(ed, "WINDOW", 2)
+    monkeypatch.setattr(ed, "ORDERS", 1)
+    monkeypatch.setattr(ed, "orders_for", lambda rows, threshold: 1, raising=False)
+    monkeypatch.setattr(ed, "MAX_ROUNDS", 1)
+    rng = np.random.default_rng(3)
+    rows = [(k, v, 1) for k, v in enumerate((np.eye(16)[0] + rng.normal(0, 0.02, (400, 16))).tolist())]
+    for k in range(400, 600, 2):
+        v = rng.standard_normal(16)
+        rows += [(k, v.tolist(), 1), (k + 1, (v + rng.normal(0, 0.2, 16)).tolist(), 1)]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_orders_grow_with_rows():
+    assert ed.orders_for(100, 0.93) == ed.ORDERS
+    assert ed.orders_for(10**6, 0.93) > ed.orders_for(10**5, 0.93) > ed.ORDERS
