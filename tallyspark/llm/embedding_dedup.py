@@ -10,9 +10,10 @@ rows, until ``AUDIT_LINKED`` of them have links: the recall is the mean share of
 links that lie inside its component. Every round below ``RECALL`` adds new orders; what the
 audit finds is kept. If the last round is below, all vectors are compared across components.
 
-A list that is full of links is saturated and may miss some: it is enlarged to the whole
-component its links reach, whose links are then counted exactly, block by block, without
-emitting pairs.
+A list that is full of links is saturated and may miss some. Its vector is compared with all
+rows of other components, those too far from its component's centre left out, which finds
+each component it links with. The links of the joined components are then counted exactly,
+block by block, without emitting pairs.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components, and
 vectors without label, link with nothing: they are their own component and kept. Copies
@@ -401,6 +402,12 @@ def audit_components(rows: DataFrame, threshold: float) -> tuple[float, DataFram
     return recall, found.where("a IS NOT NULL").select("a", "b", "cosine")
 
 
+def saturated(links: DataFrame, size: int) -> DataFrame:
+    """(node): vectors whose list of ``size`` neighbours is full of links."""
+    ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
+    return ends.groupBy("node").count().where(F.col("count") >= size).select("node")
+
+
 def find_cross_links(rows: DataFrame, asked: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b, cosine) of the asked vectors (node) with other components, in chunks."""
     spark = rows.sparkSession
@@ -475,10 +482,10 @@ def deduplicate(
             more = initial_pairs(nodes, floor, orders, seed)
             pairs = pairs.unionAll(more).groupBy("a", "b").agg(best)
     pairs = materialize(pairs, "neighbours")
-    if recall < RECALL:  # the rounds did not reach the aim: compare everything
-        found = find_cross_links(rows, rows, threshold)
-        pairs = pairs.unionAll(found).groupBy("a", "b").agg(best)
-    edges = pairs.where(links).select("a", "b")
+    # Below the aim after the last round all vectors are compared, else the saturated ones.
+    asked = rows if recall < RECALL else saturated(pairs.where(links), size)
+    found = find_cross_links(rows, asked, threshold)
+    edges = pairs.where(links).select("a", "b").unionAll(found.select("a", "b"))
     members = connected_components(edges, "vector-components")
     counted = exact_links(nodes, members, threshold)
     smallest = (

@@ -111,3 +111,22 @@ def test_isolated_pairs_beside_a_large_cluster(spark, monkeypatch):
 def test_orders_grow_with_rows():
     assert ed.orders_for(100, 0.93) == ed.ORDERS
     assert ed.orders_for(10**6, 0.93) > ed.orders_for(10**5, 0.93) > ed.ORDERS
+
+
+def test_saturated_lists_reach_other_clusters(spark, monkeypatch):
+    """Two dense clusters that touch in one pair, which no window holds."""
+    rng = np.random.default_rng(4)
+    x, y = np.eye(16)[0], np.eye(16)[1]
+    turned = lambda angle: np.cos(angle) * x + np.sin(angle) * y
+    angle = float(np.arccos(ed.THRESHOLD))
+    near = [turned(0) + rng.normal(0, 0.002, 16) for _ in range(60)]
+    far = [turned(1.12 * angle) + rng.normal(0, 0.002, 16) for _ in range(60)]
+    rows = [(k, v.tolist(), 1) for k, v in enumerate([*near, turned(0.1 * angle), turned(1.05 * angle), *far])]
+    true = brute(rows)
+    assert {t[1] for t in true.values()} == {0}
+    monkeypatch.setattr(ed, "audit_components", lambda rows, _: (1.0, rows.limit(0).selectExpr("node a", "node b", "0D cosine")), raising=False)
+    start = ed.initial_pairs
+    monkeypatch.setattr(ed, "initial_pairs", lambda *given: start(*given).where("cosine >= 0.97"))
+    walked = ed.descend
+    monkeypatch.setattr(ed, "descend", lambda nodes, pairs, floor, size: walked(nodes, pairs, 0.97, size))
+    assert run(spark, rows) == true
