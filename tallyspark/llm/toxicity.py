@@ -15,6 +15,7 @@ score is 0.
 from __future__ import annotations
 
 import math
+import os
 import pickle
 import re
 from collections import Counter
@@ -36,8 +37,9 @@ LEAST_EVIDENCE = 25.0
 LEAST_ODDS = 1.5
 # Shares with which the strongest words of a text add up.
 SHARES = (1.0, 0.25, 0.1)
-LONGEST_WORD = 40
 CACHE = 300_000
+# Characters after which what all readings of a lattice begin with is settled.
+SETTLE = 2_000
 
 # What a character may stand for.
 READINGS = {
@@ -64,6 +66,7 @@ for _c, _k in _NUMBER.items():
 _PUNCTUATION = ".,;:!?\"'()[]{}<>|%&*#$-_~`/\\…«»„“”"
 _RUN = re.compile(rb"\x01{2,}")
 _TRIPLE = re.compile(r"(.)\1\1")
+_STRETCHED = re.compile(r"(.)\1{3,}", re.DOTALL)
 
 
 # --- character model ---------------------------------------------------------------
@@ -139,10 +142,39 @@ def choices(word: str, at: int) -> list[tuple[int | None, float]]:
     return found
 
 
+def symbols(path: tuple) -> list[int]:
+    out = []
+    while path:
+        symbol, path = path
+        out.append(symbol)
+    return out[::-1]
+
+
+def settle(states: dict, settled: list[int]) -> dict:
+    """Move what all paths begin with to ``settled``, so that paths stay short."""
+    paths = [symbols(path) for _, path in states.values()]
+    common = os.path.commonprefix(paths)
+    settled += common
+    kept = {}
+    for (key, (cost, _)), path in zip(states.items(), paths, strict=True):
+        rest: tuple = ()
+        for symbol in path[len(common) :]:
+            rest = (symbol, rest)
+        kept[key] = (cost, rest)
+    return kept
+
+
 def restore(word: str, logs: np.ndarray) -> str:
-    """The likeliest reading of a lower-case word, by Viterbi over its lattice."""
+    """The likeliest reading of a lower-case word, by Viterbi over its lattice.
+
+    Words may have any length; runs of a character count as three.
+    """
+    word = _STRETCHED.sub(r"\1\1\1", word)
     states: dict[tuple[int, int], tuple[float, tuple]] = {(EDGE, EDGE): (0.0, ())}
+    settled: list[int] = []
     for at in range(len(word)):
+        if at % SETTLE == SETTLE - 1:
+            states = settle(states, settled)
         following: dict[tuple[int, int], tuple[float, tuple]] = {}
         options = choices(word, at)
         for (a, b), (cost, path) in states.items():
@@ -159,11 +191,7 @@ def restore(word: str, logs: np.ndarray) -> str:
     best = min(
         ((cost - float(logs[a, b, EDGE]), path) for (a, b), (cost, path) in states.items()), key=lambda x: x[0]
     )[1]
-    out = []
-    while best:
-        out.append(" " if best[0] == EDGE else _LETTERS[best[0] - 1])
-        best = best[1]
-    return "".join(reversed(out))
+    return "".join(" " if symbol == EDGE else _LETTERS[symbol - 1] for symbol in settled + symbols(best))
 
 
 class Reader:
@@ -178,7 +206,7 @@ class Reader:
         plain = token.strip(_PUNCTUATION)
         if plain.isalpha() and not _TRIPLE.search(plain):
             return (plain,)
-        if len(token) > LONGEST_WORD or not any(c in _NUMBER for c in token):
+        if not any(c in _NUMBER for c in token):
             return (plain,) if plain else ()
         # Marks at the ends may be letters in disguise or plain punctuation: read both.
         readings = {restore(t, self.logs) for t in {plain, token.strip(".,;:?\"'")} if t}
@@ -194,8 +222,7 @@ class Reader:
                 end += 1
             part = tokens[start:end]
             if len(part) >= 3 and len(set(part)) > 1:
-                for k in range(0, len(part), LONGEST_WORD):
-                    found += restore(" ".join(part[k : k + LONGEST_WORD]), self.logs).split()
+                found += restore(" ".join(part), self.logs).split()
         return found
 
     def words(self, text: str) -> set[str]:

@@ -103,3 +103,15 @@ def test_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert tx.score(docs, tx.fit(docs, labels)).first().predicted == 0
     assert np.isfinite(tx.fit(docs.where("doc_id > 1"), labels).logs).all()
+
+
+def test_words_of_any_length(model, monkeypatch):
+    reader = tx.Reader(model.logs)
+    assert "grobnik" in reader.words("gro" + "o" * 60 + "bnik")
+    spelled = " ".join("grobnik" + "window" * 5 + "vermolt")
+    assert {"grobnik", "window", "vermolt"} <= reader.words(spelled)
+    dotted = ".".join("garden" * 5 + "w1ndow")
+    whole = tx.restore(dotted, model.logs)
+    assert whole.replace(" ", "") == "garden" * 5 + "window" and set(whole.split()) <= reader.words(dotted)
+    monkeypatch.setattr(tx, "SETTLE", 3)
+    assert tx.restore(dotted, model.logs) == whole
