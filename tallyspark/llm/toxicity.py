@@ -51,6 +51,7 @@ MARK_COST = 0.4
 SKIPPED_READING_COST = 2.5
 SPACE_COST = 0.3
 KEPT_SPACE_COST = 1.5
+KEPT_MARK_COST = 1.5
 DOUBLE_COST = 4.0
 RUN_COST = 0.5
 
@@ -66,6 +67,7 @@ for _c, _k in _NUMBER.items():
 _PUNCTUATION = ".,;:!?\"'()[]{}<>|%&*#$-_~`/\\…«»„“”"
 _RUN = re.compile(rb"\x01{2,}")
 _TRIPLE = re.compile(r"(.)\1\1")
+_MARKS = re.compile(r"[\W_]+")
 _STRETCHED = re.compile(r"(.)\1{3,}", re.DOTALL)
 
 
@@ -139,6 +141,8 @@ def choices(word: str, at: int) -> list[tuple[int | None, float]]:
             found.append((None, SKIPPED_READING_COST if found else MARK_COST))
         if at and word[at - 1] == char and found[-1][0] is not None:
             found.append((None, RUN_COST))
+        if not char.isalnum():
+            found.append((EDGE, KEPT_MARK_COST))
     return found
 
 
@@ -210,7 +214,13 @@ class Reader:
             return (plain,) if plain else ()
         # Marks at the ends may be letters in disguise or plain punctuation: read both.
         readings = {restore(t, self.logs) for t in {plain, token.strip(".,;:?\"'")} if t}
-        return tuple(sorted({w for r in readings for w in r.split()} | {plain}))
+        words = {w for r in readings for w in r.split()} | {plain}
+        # Marks may part words, too; single letters between marks spell one, which was read above.
+        parts = _MARKS.split(plain)
+        if len(parts) > 1:
+            for part in {x for x in parts if len(x) > 1}:
+                words.update(self._words(part))
+        return tuple(sorted(words))
 
     def spaced(self, tokens: list[str]) -> list[str]:
         """Readings of three or more single characters in a row."""

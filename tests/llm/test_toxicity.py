@@ -115,3 +115,12 @@ def test_words_of_any_length(model, monkeypatch):
     assert whole.replace(" ", "") == "garden" * 5 + "window" and set(whole.split()) <= reader.words(dotted)
     monkeypatch.setattr(tx, "SETTLE", 3)
     assert tx.restore(dotted, model.logs) == whole
+
+
+def test_marks_without_spaces_part_words(model):
+    reader = tx.Reader(model.logs)
+    for token in ("river/grobnik", "stone,gr0bnik", "paper-grobnik", "river.stone(grobnik)silver", "silver_grobnik"):
+        assert "grobnik" in reader.words(token), token
+    assert {"vermolt", "grobnik"} <= reader.words("v.e.r.m.o.l.t-g.r.0.b.n.i.k")
+    clean = tx.Scorer(model).score("river,stone/window-garden")
+    assert clean < 0.5 < tx.Scorer(model).score("river,grobnik/plastun-garden,gr0bnik")
