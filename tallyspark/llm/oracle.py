@@ -147,9 +147,106 @@ least_id AS (SELECT x, least(x, min(y)) AS component FROM reach GROUP BY x)
 SELECT s.doc_id, len(s.s) AS n_shingles, coalesce(c.component, s.doc_id) AS component_id
 FROM sets s LEFT JOIN least_id c ON s.doc_id = c.x"""
 
+# CRC-32 by half bytes. The remainders of the 16 half bytes.
+_REMAINDERS = [
+    "0x00000000", "0x1DB71064", "0x3B6E20C8", "0x26D930AC", "0x76DC4190", "0x6B6B51F4", "0x4DB26158", "0x5005713C",
+    "0xEDB88320", "0xF00F9344", "0xD6D6A3E8", "0xCB61B38C", "0x9B64C2B0", "0x86D3D2D4", "0xA00AE278", "0xBDBDF21C",
+]
+
+
+def _crc32(text: str) -> str:
+    remainders = "[" + ", ".join(str(int(r, 16)) for r in _REMAINDERS) + "]::BIGINT[]"
+
+    def half(c: str) -> str:
+        return f"xor(({c}) >> 4, ({remainders})[(({c}) & 15) + 1])"
+
+    data = f"hex(encode({text}))"
+    # Of each byte the lower half goes first.
+    halves = f"list_transform(range(length({data})), lambda i: ('0x' || {data}[xor(i, 1) + 1])::BIGINT)"
+    step = half("xor(c, b)")
+    return f"xor(list_reduce({halves}, lambda c, b: {step}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+_SPELLING = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+),
+hashed AS (SELECT run, {_crc32("doc_id || ':' || run")} AS h FROM runs WHERE length(run) >= 7),
+words AS (
+  SELECT word, count(*) AS n
+  FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+      ELSE run END AS word FROM hashed
+  )
+  WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2
+),
+shorter AS (
+  SELECT word, n, i, substr(word, 1, i::INT) || substr(word, i::INT + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+),
+links AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n
+  FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM shorter a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM shorter a JOIN words b ON a.rest = b.word
+),
+best AS (
+  SELECT word, n, count(*) AS n_near, first(near ORDER BY near_n DESC, encode(near)) AS near,
+    max(near_n) AS near_n
+  FROM links GROUP BY word, n
+),
+forms AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near,
+    CASE WHEN b.near_n >= 10 * w.n THEN b.near END AS form,
+    CASE WHEN b.near_n >= 10 * w.n THEN b.near_n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word
+),
+chain(word, root) AS (
+  SELECT word, word FROM forms
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON c.root = f.word WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.n::BIGINT AS n, f.n_near::BIGINT AS n_near, f.form, f.form_n::BIGINT AS form_n, c.root
+FROM forms f JOIN chain c ON f.word = c.word
+WHERE (SELECT form FROM forms g WHERE g.word = c.root) IS NULL"""
+
+
+def _number(k: int) -> str:
+    return f"('0x' || substr(sha256('1:' || coalesce(doc_id::VARCHAR, '')), {8 * k + 1}, 8))::BIGINT"
+
+
+_FILL_IN = f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    {", ".join(f"{_number(k)} AS h{k + 1}" for k in range(4))}
+  FROM documents
+),
+cuts AS (
+  SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a,
+    greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90
+      THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM texts
+),
+parts AS (
+  SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m,
+    array_to_string(u[b + 1:], '') AS s
+  FROM cuts
+)
+SELECT doc_id, n::BIGINT AS n, form,
+  CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_pii": _pii_sql(),
     "op3_warc": _WARC,
     "op8_embedding_dedup": _VECTORS,
     "op10_jaccard_join": _SHINGLES,
+    "op12_spelling_variants": _SPELLING,
+    "op13_fill_in_middle": _FILL_IN,
 }

@@ -5,16 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyspark.llm import (
     embedding_dedup,
+    fill_in_middle,
     fingerprints,
+    hashed_search,
     jaccard_join,
     language_id,
     packing,
     pii,
     quality,
     sentencepiece_codec,
+    spelling_variants,
     toxicity,
     warc,
 )
@@ -75,6 +79,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_hashed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hashed_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(fill_in_middle.transform(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_language_id": op2_language_id,
@@ -86,4 +102,7 @@ QUERIES: dict[str, Query] = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_quality": op9_quality,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_hashed_search": op11_hashed_search,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
