@@ -51,6 +51,11 @@ class Memo(dict):
             self.clear()
         self[key] = value
 
+    def recalled(self, keys) -> dict:
+        """Those of the keys that only the former values hold, with their values."""
+        former = self.former
+        return {key: former[key] for key in keys if key in former}
+
     def add(self, entries: dict) -> None:
         if len(self) + len(entries) > self.limit:
             self.former = dict(self)

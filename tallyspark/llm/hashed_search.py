@@ -218,11 +218,15 @@ class Model:
 
 
 def _largest_norm(vectors: DataFrame) -> float:
-    top = F.array_max(F.transform("embedding", lambda x: F.abs(x)))
-    squares = F.aggregate(
-        F.transform("embedding", lambda x: (x / top) * (x / top)), F.lit(0.0), lambda total, x: total + x
-    )
-    found = vectors.agg(F.max(top * F.sqrt(squares)).alias("m")).first().m
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = _matrix(batch.column(0))
+                top = np.abs(x).max()
+                with np.errstate(over="ignore"):
+                    yield pa.RecordBatch.from_arrays([pa.array([float(_norms(x / top).max() * top)])], ["norm"])
+
+    found = vectors.select("embedding").mapInArrow(run, "norm double").agg(F.max("norm")).first()[0]
     return min(found, sys.float_info.max) if found is not None else 1.0
 
 

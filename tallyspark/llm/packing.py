@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import Memo, release, small_batches
+from tallyspark.llm.common import CACHED_CHARS, Memo, release, small_batches
 from tallyspark.session import materialize
 
 TOKENIZER = "word_bpe_49k.json"
@@ -107,20 +107,17 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.letters = _letter_encoding(tokenizer_file)
-        self.words = Memo(self._word, CACHE)
+        self.words = Memo(None, CACHE)
         self.marks = Memo(self._ids, 10_000)
         self.end = np.array([END_ID], "<u4").tobytes()
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _word(self, word: bytes) -> bytes:
-        return self._ids(word.decode("latin-1"))
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Encode the words that are letters and marks behind them, all in one call."""
+    def _encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of distinct words: those of letters and marks behind them in one call, then the others."""
         if not words:
-            return
+            return {}
         texts = b" ".join(words).decode("latin-1").split(" ")
         stems = [text.rstrip(_TAIL) for text in texts]
         unique = list(dict.fromkeys([stem for stem in stems if stem.isalpha()]))
@@ -129,41 +126,46 @@ class WordEncoder:
         data = ids.tobytes()
         known = {s: data[a:b] for s, a, b in zip(unique, [0, *ends], ends, strict=False)}
         marks = self.marks
-        self.words.add(
-            {
-                word: known[stem] + marks[text[len(stem) :]] if len(stem) < len(text) else known[stem]
-                for word, text, stem in zip(words, texts, stems, strict=True)
-                if stem in known
-            }
-        )
+        found = {
+            word: known[stem] + marks[text[len(stem) :]] if len(stem) < len(text) else known[stem]
+            for word, text, stem in zip(words, texts, stems, strict=True)
+            if stem in known
+        }
+        if len(found) < len(words):
+            found |= {word: self._ids(text) for word, text in zip(words, texts, strict=True) if word not in found}
+        return found
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text with the end id, as little-endian 32-bit numbers."""
         out: list[bytes] = []
         waiting: list[tuple[int, list, list[int], list[bytes]]] = []
         unseen: set[bytes] = set()
-        get, former = self.words.get, self.words.former
+        get, end = self.words.get, self.end
         for text in texts:
             try:
                 plain = None if "<|" in text else text.encode("latin-1")
             except UnicodeEncodeError:
                 plain = None
             if plain is None:
-                out.append(self._ids(text) + self.end)
+                out.append(self._ids(text) + end)
                 continue
             words = plain.translate(_LOWER).split(b" ")
             found = list(map(get, words))
-            missing = [k for k, ids in enumerate(found) if ids is None]
-            if missing:
+            if None in found:
+                missing = [k for k, ids in enumerate(found) if ids is None]
                 new = [words[k] for k in missing]
                 waiting.append((len(out), found, missing, new))
                 unseen.update(new)
-            out.append(b"" if missing else b"".join(found) + self.end)
-        self._learn([word for word in unseen if word not in former])
+                out.append(b"")
+            else:
+                out.append(b"".join(found) + end)
+        known = self.words.recalled(unseen)
+        known |= self._encoded(list(unseen.difference(known)))
+        self.words.add({word: ids for word, ids in known.items() if len(word) <= CACHED_CHARS})
         for at, found, missing, new in waiting:
             for k, word in zip(missing, new, strict=True):
-                found[k] = self.words[word]
-            out[at] = b"".join(found) + self.end
+                found[k] = known[word]
+            out[at] = b"".join(found) + end
         return out
 
 
