@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.functions.student_t import correlation_p_value
+from tallyspark.operators import moments
 from tallyspark.operators.quantiles import (
     QUARTILE_NAMES,
     bucket_of,
@@ -117,11 +118,17 @@ def _pearson(x: Column, y: Column) -> Column:
 
 
 def correlation_matrix(fact: DataFrame, columns: Sequence[str] = FACT_MEASURES) -> DataFrame:
-    """(column_a, column_b, r) for every ordered pair, in one aggregate.
+    """(column_a, column_b, r) for every ordered pair, from one pass.
 
-    One record per column and row keeps the aggregate narrow enough for
-    generated code; a single row of all pairs is not.
+    Integers and decimals are added up exactly. Floating-point columns take Spark's own
+    sums, with one record per column and row, which keeps the aggregate narrow enough for
+    generated code.
     """
+    if moments.is_exact(fact, columns):
+        pairs = {f"{a} {b}": (a, b) for a in columns for b in columns}
+        return moments.pair_fits(fact, pairs).select(
+            F.col("x").alias("column_a"), F.col("y").alias("column_b"), "r"
+        )
     as_double = [F.col(c).cast("double").alias(c) for c in columns]
     records = F.array(
         *[F.struct(F.lit(c).alias("column_a"), F.col(c).alias("paired_with")) for c in columns]
@@ -193,8 +200,14 @@ def boxplot_stats(fact: DataFrame, value: str = "unit_price") -> DataFrame:
 def linear_fits(fact: DataFrame, fits: Mapping[str, tuple[str, str]]) -> DataFrame:
     """One row for each named fit (x, y), all from one pass over the fact.
 
-    Least squares of y on x, Pearson r, rows used, range of x.
+    Least squares of y on x, Pearson r, rows used, range of x; r is 0 where y is constant.
+    Exact for integers and decimals.
     """
+    if moments.is_exact(fact, [c for pair in fits.values() for c in pair]):
+        r = F.when(F.col("slope").isNotNull(), F.coalesce("r", F.lit(0.0)))
+        return moments.pair_fits(fact, fits).select(
+            "fit", "slope", "intercept", r.alias("r"), "n", "min_x", "max_x"
+        )
     sums, rows = [], []
     for k, (name, (x, y)) in enumerate(fits.items()):
         cx, cy = F.col(x).cast("double"), F.col(y).cast("double")
@@ -252,23 +265,21 @@ def with_p_value(fit: DataFrame) -> DataFrame:
     return fit.mapInPandas(finish, schema)
 
 
-_STEP = 4096
+# Fixed value: a line has at most one more point than this.
+LINE_POINTS = 20_000
 
 
 def fit_line(fit: DataFrame, first: Column, last: Column) -> DataFrame:
-    """Points (fit, x, y) at every whole x from first to last, both included.
+    """Points (fit, x, y) at whole x from first to last, both included.
 
-    Empty if last < first. Long ranges are cut into steps, so no array grows
-    with the range of the data beyond one entry per step.
+    Empty if last < first. A range of more than ``LINE_POINTS`` is drawn in equal steps, so
+    that a line stays as short as that, however far its ends are apart.
     """
     name = ["fit"] if "fit" in fit.columns else []
-    bounds = fit.select(*name, "slope", "intercept", first.alias("lo"), last.alias("hi"))
-    starts = bounds.where("hi >= lo").withColumn(
-        "start", F.explode(F.sequence("lo", "hi", F.lit(_STEP).cast("bigint")))
-    )
-    points = starts.withColumn(
-        "x", F.explode(F.sequence("start", F.least(F.col("start") + _STEP - 1, F.col("hi"))))
-    )
+    bounds = fit.select(*name, "slope", "intercept", first.alias("lo"), last.alias("hi")).where("hi >= lo")
+    step = F.expr(f"(hi - lo) div {LINE_POINTS} + 1")
+    drawn = F.array_distinct(F.concat(F.sequence("lo", "hi", step), F.array("hi")))
+    points = bounds.withColumn("x", F.explode(drawn))
     return points.select(*name, "x", (F.col("slope") * F.col("x") + F.col("intercept")).alias("y"))
 
 

@@ -49,12 +49,12 @@ def sql_over_views(name: str) -> str:
 # --- layers -------------------------------------------------------------------
 
 
-def raw(spark: SparkSession, sf_dir: str, long_amounts: bool = True) -> DataFrame:
-    return raw_transactions(spark, sf_dir, long_amounts)
+def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_transactions(spark, sf_dir)
 
 
-def landed(spark: SparkSession, sf_dir: str, long_amounts: bool = True) -> DataFrame:
-    rows = raw(spark, sf_dir, long_amounts)
+def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = raw(spark, sf_dir)
     return landing.first_wins(rows, DERIVED_POSITION).drop(*DERIVED_POSITION)
 
 
@@ -66,11 +66,6 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.fact_transactions(staged(spark, sf_dir))
 
 
-def typical_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All rows with their ordinary prices, for statistics in floating point."""
-    return marts.fact_transactions(stage_transactions(landed(spark, sf_dir, long_amounts=False)))
-
-
 # --- the same layers in SQL ---------------------------------------------------
 
 _POSITION = (
@@ -130,8 +125,7 @@ _ANY_ERROR = """transaction_id IS NULL OR customer_id IS NULL OR transaction_dat
 _AMOUNT = "DECIMAL(28,12)"
 
 
-def _raw_sql(long_amounts: bool) -> str:
-    long_price = "WHEN k % 211 = 0 THEN '123456789012345.25'" if long_amounts else ""
+def _raw_sql() -> str:
     return (
         rf"""SELECT
         CASE WHEN k % 41 = 0 THEN NULL WHEN k % 197 = 0 THEN '' WHEN k % 199 = 0 THEN 't' || k
@@ -146,7 +140,8 @@ def _raw_sql(long_amounts: bool) -> str:
         'Product ' || substr('ABCDEF', CAST(l_partkey % 6 + 1 AS INTEGER), 1) AS product_name,
         CASE WHEN k % 43 = 0 THEN NULL WHEN k % 47 = 0 THEN '2.5' WHEN k % 53 = 0 THEN 'few'
              ELSE CAST(l_quantity AS INTEGER) || '.0' END AS quantity,
-        CASE WHEN k % 23 = 0 THEN 'Two Hundred' WHEN k % 59 = 0 THEN '0' {long_price}
+        CASE WHEN k % 23 = 0 THEN 'Two Hundred' WHEN k % 59 = 0 THEN '0'
+             WHEN k % 211 = 0 THEN '123456789012345.25'
              WHEN k % 223 = 0 THEN '1.0000004' WHEN k % 227 = 0 THEN '33.1234567891'
              ELSE CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) END AS price,
         CASE WHEN k % 19 = 0 THEN 'Fifteen' WHEN k % 229 = 0 THEN '1.0050000049'
@@ -183,7 +178,7 @@ CLEANER_SQL = {
 
 # name -> (layers it reads, query)
 _LAYERS: dict[str, tuple[tuple[str, ...], str]] = {
-    "raw": ((), _raw_sql(long_amounts=True)),
+    "raw": ((), _raw_sql()),
     "landed": (
         ("raw",),
         f"""SELECT transaction_id, customer_id, transaction_date, product_id, product_name,
@@ -289,18 +284,6 @@ _LAYERS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-# The same without the long prices.
-_TYPICAL = ("raw", "landed", "staged", "fact")
-for _name in _TYPICAL:
-    _reads, _sql = _LAYERS[_name]
-    for _other in _TYPICAL:
-        _sql = _sql.replace(f"FROM {_other}", f"FROM typical_{_other}")
-    _LAYERS[f"typical_{_name}"] = (
-        tuple(f"typical_{other}" for other in _reads),
-        _raw_sql(long_amounts=False) if _name == "raw" else _sql,
-    )
-
-
 def with_layers(sql: str) -> str:
     """Prepend the layers that ``sql`` names in braces, in dependency order."""
     needed: list[str] = []

@@ -2,27 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.operators import marts, statistics
-from tallyspark.plans.queries.base import fact, query, typical_fact
+from tallyspark.plans.queries.base import fact, query
 from tallyspark.schemas import FACT_MEASURES
 from tallyspark.session import materialize
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round double columns; also turns a negative zero into zero."""
-    return df.select(
-        *[
-            (F.round(name, digits) + F.lit(0.0)).alias(name) if kind == "double" else name
-            for name, kind in df.dtypes
-        ]
-    )
+# Digits that are compared of a floating-point result, whatever its magnitude.
+DIGITS = 9
+
+
+def _short(name: str, digits: int = DIGITS) -> Column:
+    text = F.format_string(f"%.{digits - 1}e", F.col(name))
+    return (F.when(F.col(name).isNotNull(), text.cast("double")) + F.lit(0.0)).alias(name)
+
+
+def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+    """Round double columns to so many digits; also turns a negative zero into zero."""
+
+    return df.select(*[_short(name, digits) if kind == "double" else name for name, kind in df.dtypes])
 
 
 def _rounded_sql(expression: str) -> str:
-    return f"round({expression}, 6) + 0.0"
+    return f"CAST(printf('%.{DIGITS - 1}e', {expression}) AS DOUBLE) + 0.0"
 
 
 @query(
@@ -45,13 +50,13 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         {_rounded_sql(f"quantile_cont(CAST({c} AS DOUBLE), 0.25)")} AS q25,
         {_rounded_sql(f"quantile_cont(CAST({c} AS DOUBLE), 0.5)")} AS q50,
         {_rounded_sql(f"quantile_cont(CAST({c} AS DOUBLE), 0.75)")} AS q75,
-        {_rounded_sql(f"CAST(max({c}) AS DOUBLE)")} AS max FROM {{typical_fact}}"""
+        {_rounded_sql(f"CAST(max({c}) AS DOUBLE)")} AS max FROM {{fact}}"""
         for c in FACT_MEASURES
     ),
 )
 def describe_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two passes, hence over the written columns."""
-    measures = typical_fact(spark, sf_dir).select(*FACT_MEASURES)
+    measures = fact(spark, sf_dir).select(*FACT_MEASURES)
     return rounded(statistics.describe_numeric(materialize(measures, "measures")))
 
 
@@ -60,13 +65,13 @@ def describe_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     "\nUNION ALL ".join(
         f"SELECT '{a}' AS column_a, '{b}' AS column_b, "
         + _rounded_sql(f"corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))")
-        + " AS r FROM {typical_fact}"
+        + " AS r FROM {fact}"
         for a in FACT_MEASURES
         for b in FACT_MEASURES
     ),
 )
 def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(statistics.correlation_matrix(typical_fact(spark, sf_dir)))
+    return rounded(statistics.correlation_matrix(fact(spark, sf_dir)))
 
 
 @query(
@@ -79,16 +84,16 @@ def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
         {_rounded_sql("greatest(max(v) FILTER (v <= q75 + 1.5 * (q75 - q25)), any_value(q75))")}
             AS whisker_high,
         count(*) FILTER (v < q25 - 1.5 * (q75 - q25) OR v > q75 + 1.5 * (q75 - q25)) AS outliers
-        FROM (SELECT product_name, CAST(unit_price AS DOUBLE) AS v FROM {{typical_fact}}) AS x
+        FROM (SELECT product_name, CAST(unit_price AS DOUBLE) AS v FROM {{fact}}) AS x
         JOIN (SELECT product_name,
               quantile_cont(CAST(unit_price AS DOUBLE), 0.25) AS q25,
               quantile_cont(CAST(unit_price AS DOUBLE), 0.5) AS q50,
               quantile_cont(CAST(unit_price AS DOUBLE), 0.75) AS q75
-              FROM {{typical_fact}} GROUP BY product_name) AS q USING (product_name)
+              FROM {{fact}} GROUP BY product_name) AS q USING (product_name)
         GROUP BY product_name""",
 )
 def boxplot_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(statistics.boxplot_stats(typical_fact(spark, sf_dir)))
+    return rounded(statistics.boxplot_stats(fact(spark, sf_dir)))
 
 
 # The two fits: name -> (x, y).
@@ -101,13 +106,13 @@ def _fit_sql(x: str, y: str) -> str:
         {_rounded_sql(f"regr_intercept({cy}, {cx})")} AS intercept,
         {_rounded_sql(f"corr({cy}, {cx})")} AS r, CAST(regr_count({cy}, {cx}) AS BIGINT) AS n,
         {_rounded_sql(f"min({cx})")} AS min_x, {_rounded_sql(f"max({cx})")} AS max_x
-        FROM {{typical_fact}}"""
+        FROM {{fact}}"""
 
 
 for _name, (_x, _y) in _FITS.items():
     query(f"linreg_{_name}", _fit_sql(_x, _y))(
         lambda spark, sf_dir, x=_x, y=_y: rounded(
-            statistics.linear_fit(typical_fact(spark, sf_dir), x, y)
+            statistics.linear_fit(fact(spark, sf_dir), x, y)
         )
     )
 
@@ -120,7 +125,7 @@ def _p_value_sql() -> str:
     """The t density integrated by Simpson's rule: 40 units of tail over 60 units from 0."""
     fits = " UNION ALL ".join(
         f"SELECT '{name}' AS fit, corr(CAST({y} AS DOUBLE), CAST({x} AS DOUBLE)) AS r,"
-        f" CAST(regr_count(CAST({y} AS DOUBLE), CAST({x} AS DOUBLE)) AS BIGINT) AS n FROM {{typical_fact}}"
+        f" CAST(regr_count(CAST({y} AS DOUBLE), CAST({x} AS DOUBLE)) AS BIGINT) AS n FROM {{fact}}"
         for name, (x, y) in _TESTED.items()
     )
     weight = "CASE WHEN i IN (0, 20000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
@@ -136,31 +141,33 @@ def _p_value_sql() -> str:
 @query("linreg_p_values", _p_value_sql())
 def linreg_p_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fits with their p-values, from one pass over the fact."""
-    fits = statistics.linear_fits(typical_fact(spark, sf_dir), _TESTED).select("fit", "r", "n")
+    fits = statistics.linear_fits(fact(spark, sf_dir), _TESTED).select("fit", "r", "n")
     return statistics.with_p_value(fits).select(
         "fit",
-        (F.round("r", 6) + F.lit(0.0)).alias("r"),
+        _short("r"),
         "n",
         (F.round("p_value", 9) + F.lit(0.0)).alias("p_value"),
     )
 
 
+def _line_sql(name: str, x: str, y: str, first: str, last: str) -> str:
+    """Whole x from first to last, in steps beyond 20,000 of them, the last one in any case."""
+    cx, cy = f"CAST({x} AS DOUBLE)", f"CAST({y} AS DOUBLE)"
+    return f"""SELECT '{name}' AS fit, x, {_rounded_sql("slope * x + intercept")} AS y
+        FROM (SELECT slope, intercept, CAST(unnest(list_distinct(list_append(
+                generate_series(lo, hi, (hi - lo) // {statistics.LINE_POINTS} + 1), hi))) AS BIGINT) AS x
+              FROM (SELECT regr_slope({cy}, {cx}) AS slope, regr_intercept({cy}, {cx}) AS intercept,
+                    CAST({first} AS BIGINT) AS lo, CAST({last} AS BIGINT) AS hi FROM {{fact}}) AS f) AS p"""
+
+
 @query(
     "regression_line",
-    f"""SELECT 'quantity_gross' AS fit, x, {_rounded_sql("slope * x + intercept")} AS y
-        FROM (SELECT regr_slope(CAST(gross_amount AS DOUBLE), quantity) AS slope,
-              regr_intercept(CAST(gross_amount AS DOUBLE), quantity) AS intercept,
-              CAST(unnest(generate_series(1, 5)) AS BIGINT) AS x FROM {{typical_fact}}) AS a
-        UNION ALL
-        SELECT 'price_tax', x, {_rounded_sql("slope * x + intercept")}
-        FROM (SELECT slope, intercept, CAST(unnest(generate_series(lo, hi - 1)) AS BIGINT) AS x
-              FROM (SELECT regr_slope(CAST(tax AS DOUBLE), CAST(unit_price AS DOUBLE)) AS slope,
-                    regr_intercept(CAST(tax AS DOUBLE), CAST(unit_price AS DOUBLE)) AS intercept,
-                    CAST(floor(min(unit_price)) AS BIGINT) AS lo,
-                    CAST(floor(max(unit_price)) AS BIGINT) AS hi FROM {{typical_fact}}) AS f) AS b""",
+    _line_sql("quantity_gross", *_FITS["quantity_gross"], "1", "5")
+    + " UNION ALL "
+    + _line_sql("price_tax", *_FITS["price_tax"], "floor(min(unit_price))", "floor(max(unit_price)) - 1"),
 )
 def regression_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fits = statistics.linear_fits(typical_fact(spark, sf_dir), _FITS)
+    fits = statistics.linear_fits(fact(spark, sf_dir), _FITS)
     is_quantity = F.col("fit") == "quantity_gross"
     first, last = (
         F.when(is_quantity, of_quantity).otherwise(of_price)
@@ -173,7 +180,7 @@ def _bins_sql(name: str, x: str, y: str, x_width: int, y_width: int) -> str:
     return f"""SELECT '{name}' AS fit, product_name,
         CAST(floor(CAST({x} AS DOUBLE) / {x_width}) * {x_width} AS BIGINT) AS x_bin,
         CAST(floor(CAST({y} AS DOUBLE) / {y_width}) * {y_width} AS BIGINT) AS y_bin,
-        count(*) AS points FROM {{typical_fact}} GROUP BY ALL"""
+        count(*) AS points FROM {{fact}} GROUP BY ALL"""
 
 
 _BINS = {"quantity_gross": (1, 1000), "price_tax": (10, 100)}
@@ -186,7 +193,7 @@ _BINS = {"quantity_gross": (1, 1000), "price_tax": (10, 100)}
 def scatter_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both scatter plots as counts per product and grid cell; no point is dropped."""
     grids = {name: (*_FITS[name], *widths) for name, widths in _BINS.items()}
-    return statistics.scatter_grids(typical_fact(spark, sf_dir), grids)
+    return statistics.scatter_grids(fact(spark, sf_dir), grids)
 
 
 # The product names of the test rows; SQL has to name its columns.
@@ -237,7 +244,7 @@ def monthly_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
         {_rounded_sql("CAST(sum(total_amount) AS DOUBLE) / count(total_amount)")}
             AS avg_order_value,
         {_rounded_sql("CAST(sum(tax_rate_pct) AS DOUBLE) / count(tax_rate_pct)")} AS avg_tax_rate
-        FROM {{typical_fact}}""",
+        FROM {{fact}}""",
 )
 def kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(statistics.kpi_summary(typical_fact(spark, sf_dir)))
+    return rounded(statistics.kpi_summary(fact(spark, sf_dir)))

@@ -1,0 +1,144 @@
+"""Exact sums of products against whole-number arithmetic."""
+
+import math
+import random
+from decimal import Decimal
+from fractions import Fraction
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tallyspark.operators import moments, statistics
+
+LONG = Decimal("1234567890123456.0987654321")
+
+
+def whole(value, scale):
+    return int(value.scaleb(scale)) if isinstance(value, Decimal) else value
+
+
+def expected(rows, x, y, scale_x, scale_y):
+    pairs = [(whole(r[x], scale_x), whole(r[y], scale_y)) for r in rows if r[x] is not None and r[y] is not None]
+    return len(pairs), {
+        "sum_x": sum(a for a, _ in pairs),
+        "sum_y": sum(b for _, b in pairs),
+        "sum_xx": sum(a * a for a, _ in pairs),
+        "sum_yy": sum(b * b for _, b in pairs),
+        "sum_xy": sum(a * b for a, b in pairs),
+    }
+
+
+def totals_of(row):
+    base = 10**18
+    return row.n, {t: sum(int(row[f"{t}_{k}"]) * base**k for k in range(5)) for t in moments.TOTALS}
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    rng = random.Random(4)
+
+    def amount():
+        kind = rng.random()
+        if kind < 0.1:
+            return None
+        if kind < 0.3:
+            return LONG - rng.randrange(1000)
+        return Decimal(rng.randrange(-(10**12), 10**12)).scaleb(-10)
+
+    values = [
+        {"q": rng.choice([None, 0, 1, -(2**31), 2**31 - 1, rng.randrange(50)]), "p": amount(), "t": amount(),
+         "w": Decimal(rng.randrange(-(10**38) + 1, 10**38)).scaleb(-2) if k % 3 else None}
+        for k in range(5000)
+    ]
+    schema = "q int, p decimal(26,10), t decimal(26,10), w decimal(38,2)"
+    return spark.createDataFrame([tuple(v.values()) for v in values], schema).repartition(5), values
+
+
+SCALES = {"q": 0, "p": 10, "t": 10, "w": 2}
+PAIRS = [("q", "q"), ("q", "p"), ("p", "t"), ("t", "w"), ("w", "w")]
+
+
+def test_limbs_make_up_the_number():
+    values = [0, 1, -1, 2**63 - 1, -(2**63), 10**38 - 1, -(10**38) + 1, 1 << 64, (1 << 64) - 1, -(1 << 64), None]
+    column = pa.array([None if v is None else Decimal(v) for v in values], pa.decimal128(38, 0))
+    for part in (column, column.slice(3), column.slice(5, 2)):
+        found = moments.limbs(part)
+        assert all((np.abs(limb) < 2**21).all() for limb in found)
+        back = [sum(int(limb[k]) << 21 * j for j, limb in enumerate(found)) for k in range(len(part))]
+        assert back == [int(v.as_py() or 0) for v in part]
+
+
+def test_a_gram_matrix_of_full_limbs_is_exact():
+    matrix = np.full((5000, 2), 2.0**21 - 1)
+    matrix[:, 1] *= -1
+    low, high = moments.gram(matrix)
+    square = 5000 * (2**21 - 1) ** 2
+    got = [[(int(high[i, j]) << 26) + int(low[i, j]) for j in range(2)] for i in range(2)]
+    assert got == [[square, -square], [-square, square]]
+
+
+def test_sums_are_exact_and_complete_for_each_pair(rows):
+    df, values = rows
+    for row in moments.merged(moments.moment_sums(df, PAIRS)).collect():
+        assert totals_of(row) == expected(values, row.x, row.y, SCALES[row.x], SCALES[row.y])
+        both = [v for v in values if v[row.x] is not None and v[row.y] is not None]
+        assert (row.min_x, row.max_x) == (float(min(v[row.x] for v in both)), float(max(v[row.x] for v in both)))
+        assert (row.min_y, row.max_y) == (float(min(v[row.y] for v in both)), float(max(v[row.y] for v in both)))
+
+
+def test_sums_of_loads_merge(rows):
+    df, _ = rows
+    parts = df.randomSplit([0.2, 0.5, 0.3], seed=1)
+    kept = [moments.merged(moments.moment_sums(part, PAIRS)) for part in parts]
+    together = moments.merged(kept[0].unionByName(kept[1]).unionByName(kept[2]))
+    once = moments.merged(moments.moment_sums(df, PAIRS))
+    assert {(r.x, r.y): totals_of(r) for r in together.collect()} == {(r.x, r.y): totals_of(r) for r in once.collect()}
+
+
+def test_fits_are_rounded_once(rows):
+    df, values = rows
+    fits = {"qp": ("q", "p"), "pq": ("p", "q"), "pt": ("p", "t")}
+    for row in moments.pair_fits(df, fits).collect():
+        x, y = fits[row.fit]
+        n, s = expected(values, x, y, SCALES[x], SCALES[y])
+        ux, uy = Fraction(1, 10 ** SCALES[x]), Fraction(1, 10 ** SCALES[y])
+        sxx, sxy = (n * s["sum_xx"] - s["sum_x"] ** 2) * ux * ux, (n * s["sum_xy"] - s["sum_x"] * s["sum_y"]) * ux * uy
+        syy = (n * s["sum_yy"] - s["sum_y"] ** 2) * uy * uy
+        slope = sxy / sxx
+        assert row.n == n and row.slope == float(slope)
+        assert row.intercept == float((s["sum_y"] * uy - slope * s["sum_x"] * ux) / n)
+        assert row.r == pytest.approx(math.copysign(math.sqrt(sxy * sxy / (sxx * syy)), sxy), rel=1e-15)
+
+
+def test_long_amounts_do_not_hide_a_connection(spark):
+    """Doubles cannot tell these prices apart; exact sums find that tax follows them."""
+    values = [(LONG + k, Decimal(2 * k), 7) for k in range(50)]
+    df = spark.createDataFrame(values, "price decimal(26,10), tax decimal(26,10), c int")
+    fit = statistics.linear_fit(df, "price", "tax").first()
+    assert (fit.slope, fit.r, fit.n) == (2.0, 1.0, 50)
+    by_doubles = statistics.linear_fit(df.selectExpr("CAST(price AS DOUBLE) price", "CAST(tax AS DOUBLE) tax"), "price", "tax")
+    assert by_doubles.first().slope != 2.0
+    assert statistics.linear_fit(df, "price", "c").first().r == 0.0
+    flat = statistics.linear_fit(df, "c", "price").first()
+    assert flat.slope is None and flat.r is None
+    r = {(m.column_a, m.column_b): m.r for m in statistics.correlation_matrix(df, ["price", "tax", "c"]).collect()}
+    assert len(r) == 9 and r["price", "tax"] == 1.0 and r["c", "price"] is None and r["c", "c"] is None
+
+
+@pytest.mark.parametrize("values", [[], [(None, None)], [(None, 1), (2, None)]])
+def test_nothing_to_add_up(spark, values):
+    df = spark.createDataFrame(values, "a int, b int")
+    row = statistics.linear_fit(df, "a", "b").first()
+    assert (row.slope, row.intercept, row.r, row.n, row.min_x) == (None, None, None, 0, None)
+
+
+def test_floating_point_is_refused(spark):
+    with pytest.raises(TypeError):
+        moments.moment_sums(spark.createDataFrame([(1.0,)], "a double"), [("a", "a")])
+
+
+def test_a_line_between_far_ends_is_short(spark):
+    fit = spark.createDataFrame([(2.0, 1.0, 3.0, 1.2e14)], "slope double, intercept double, min_x double, max_x double")
+    xs = [r.x for r in statistics.price_line(fit).orderBy("x").collect()]
+    assert len(xs) <= statistics.LINE_POINTS + 1 and xs[0] == 3 and xs[-1] == 120_000_000_000_000 - 1
