@@ -54,13 +54,14 @@ def land(
     The batch is written to the shared folder first, so that its CSV is parsed once.
     Malformed or overlong rows stop the load there, before the raw layer is touched; the
     counts come from files, not from accumulators that a lost executor would count twice.
+    Of the stored loads only the buckets are read that may hold an id of the batch.
     Repeating a load with the same ``load_id`` replaces it, also by nothing.
     """
     with Scratch(warehouse.spark) as scratch:
         staged = scratch.materialize(landing.enforce_lengths(batch), "batch")
-        target = warehouse.raw_except(load_id)
+        target = warehouse.raw_candidates(staged, load_id)
         rows = landing.land_batch(staged, target, position)
-        warehouse.append_raw(landing.stamp_load(rows, batch_ts), load_id)
+        warehouse.append_raw(landing.stamp_load(rows, batch_ts), load_id, staged.count(), position)
         return _local(landing.load_metrics(staged, warehouse.raw_load(load_id)))
 
 

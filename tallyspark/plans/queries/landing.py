@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.operators import landing
+from tallyspark.plans.daily_run import land
 from tallyspark.plans.queries.base import _POSITION, fact, landed, query, raw, staged
 from tallyspark.schemas import RAW_COLUMNS, RAW_LIMITS
 from tallyspark.session import materialize, scratch_path
@@ -160,6 +161,20 @@ def landing_skip_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.land_batch(batch, stored, DERIVED_POSITION).select(*RAW_COLUMNS, "loaded_at")
 
 
+@query("landing_indexed", _NEW_ROWS.replace("loaded_at FROM", f"TIMESTAMP '{LOAD_TS}' AS loaded_at FROM"))
+def landing_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads of every year, then the batch over the index of their ids, repeated after an empty attempt."""
+    warehouse = _warehouse(spark, "indexed")
+    stored, batch = _old_and_new(spark, sf_dir)
+    stored, batch = materialize(stored, "stored"), materialize(batch, "batch")
+    for year in range(1992, 1999):
+        rows = stored.where(F.year("loaded_at") == year)
+        warehouse.append_raw(rows, f"year {year}", rows.count())
+    for rows in (batch, batch.where("false"), batch):
+        land(warehouse, rows, "batch", LOAD_TS, DERIVED_POSITION)
+    return warehouse.raw_load("batch")
+
+
 @query(
     "load_metrics",
     f"""SELECT r AS rows_read, i AS rows_inserted, r - i AS rows_skipped FROM (

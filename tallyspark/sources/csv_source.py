@@ -38,9 +38,14 @@ CSV_OPTIONS = {
 
 
 def decoded(rows: DataFrame) -> DataFrame:
-    """Text columns read byte by byte as UTF-8; other bytes stop the job. Also valid on a stream."""
+    """Text columns read byte by byte as UTF-8; other bytes stop the job. Also valid on a stream.
+
+    Text with as many characters as bytes is ASCII and stays as it is.
+    """
     columns = {
-        name: F.validate_utf8(F.encode(F.col(name), _BYTES).cast("string"))
+        name: F.when(F.octet_length(name) == F.char_length(name), F.col(name)).otherwise(
+            F.validate_utf8(F.encode(F.col(name), _BYTES).cast("string"))
+        )
         for name in rows.columns
         if name in RAW_COLUMNS or name == CORRUPT
     }

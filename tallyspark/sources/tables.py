@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from urllib.parse import unquote
 
@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tallyspark.schemas import RAW_COLUMNS, RAW_SCHEMA
 from tallyspark.session import delete, file_system
+from tallyspark.sources import id_index
 
 # The schema each table belongs to.
 LAYER = {
@@ -32,7 +33,10 @@ LAYER = {
 # Names the version of a table that readers see; readers of files skip the underscore.
 _POINTER = "_current"
 
-_STORED_RAW = T.StructType([*RAW_SCHEMA.fields, T.StructField("load_id", T.StringType())])
+_STORED_RAW = T.StructType(
+    [*RAW_SCHEMA.fields, T.StructField("load_id", T.StringType()), T.StructField("id_bucket", T.LongType())]
+)
+_STORED_INDEX = T.StructType([*id_index.SCHEMA.fields, T.StructField("load_id", T.StringType())])
 
 
 @dataclass(frozen=True)
@@ -116,14 +120,21 @@ class Warehouse:
             if found.startswith("version-") and found not in kept:
                 fs.delete(status.getPath(), True)
 
-    def _raw_or_none(self) -> DataFrame | None:
+    @property
+    def index_path(self) -> str:
+        return f"{self.base}/raw/transaction_id_index"
+
+    def _stored(self, path: str, schema: T.StructType) -> DataFrame | None:
         try:
-            return self.spark.read.schema(_STORED_RAW).parquet(self.raw_path)
+            return self.spark.read.schema(schema).parquet(path)
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
 
+    def _raw_or_none(self) -> DataFrame | None:
+        return self._stored(self.raw_path, _STORED_RAW)
+
     def raw(self) -> DataFrame:
         """The raw layer; empty before the first load."""
         rows = self._raw_or_none()
@@ -136,38 +147,99 @@ class Warehouse:
         rows = self._raw_or_none()
         return None if rows is None else rows.where(F.col("load_id") != load_id)
 
+    def raw_candidates(self, batch: DataFrame, load_id: str) -> DataFrame | None:
+        """The buckets of other loads that may hold an id of the batch; only they are read.
+
+        The id index of the stored loads tells them. A load whose index is missing, because
+        it was written without one or its load broke off, is read whole. The driver sees
+        names of partitions, as it does whenever it lists a table.
+        """
+        others = self.raw_except(load_id)
+        if others is None:
+            return None
+        index = self._stored(self.index_path, _STORED_INDEX)
+        folders = self._load_names()
+        indexed = set() if index is None else self._names_below(self.index_path)
+        wanted = F.col("load_id").isin(sorted(folders - indexed))
+        if index is not None:
+            for load, buckets in id_index.candidates(index.where(F.col("load_id") != load_id), batch).items():
+                wanted = wanted | ((F.col("load_id") == load) & F.col("id_bucket").isin(buckets))
+        return others.where(wanted)
+
+    def _names_below(self, path: str) -> set[str]:
+        """The load ids that a partitioned folder holds."""
+        fs, folder = file_system(self.spark, path)
+        if not fs.exists(folder):
+            return set()
+        found = [status.getPath().getName() for status in fs.listStatus(folder) if status.isDirectory()]
+        return {unquote(name.removeprefix("load_id=")) for name in found if name.startswith("load_id=")}
+
+    def _load_names(self) -> set[str]:
+        return self._names_below(self.raw_path)
+
     def raw_load(self, load_id: str) -> DataFrame:
         rows = self._raw_or_none()
         if rows is None:
             return self.spark.createDataFrame([], RAW_SCHEMA)
         return rows.where(F.col("load_id") == load_id).select(*RAW_COLUMNS, "loaded_at")
 
-    def append_raw(self, rows: DataFrame, load_id: str) -> None:
-        """Write one load as its own partition; a retry replaces that partition only.
+    def append_raw(
+        self, rows: DataFrame, load_id: str, most_rows: int = 0, position: Sequence[str] = RAW_COLUMNS
+    ) -> None:
+        """Write one load as its own partition, in buckets of its ids, and then its id index.
 
-        A load without rows writes no partition, so one of an earlier attempt is removed.
+        ``most_rows`` bounds the rows from above and sets the number of buckets; ``position``
+        names columns that spread the rows without id. A retry replaces its load only: the
+        index is removed first, so that a load that breaks off is never looked up in an old
+        one, and buckets that the retry no longer has are removed after it.
         """
-        former = self._load_folders(load_id)
+        buckets, blocks = id_index.geometry(most_rows)
+        self._drop_index(load_id)
+        former = self._bucket_folders(load_id)
+        bucket = id_index.bucket_of(buckets, position).alias("id_bucket")
+        dealt = rows.select(*RAW_COLUMNS, "loaded_at", bucket, F.lit(load_id).alias("load_id"))
+        if buckets > 1:
+            dealt = dealt.repartition("id_bucket")
         written = Observation()
         (
-            rows.select(*RAW_COLUMNS, "loaded_at")
-            .withColumn("load_id", F.lit(load_id))
-            .observe(written, F.count(F.lit(1)).alias("rows"))
+            dealt.observe(written, F.collect_set("id_bucket").alias("buckets"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("load_id")
+            .partitionBy("load_id", "id_bucket")
             .parquet(self.raw_path)
         )
-        # A repeated task may count twice, but none counts rows where there are none.
-        if not written.get["rows"]:
-            for folder in former:
+        # A repeated task may report a bucket twice, but none reports one without rows.
+        kept = set(written.get["buckets"] or [])
+        for number, folder in former.items():
+            if number not in kept:
                 delete(self.spark, folder)
+        if kept:
+            self._write_index(load_id, buckets, blocks)
 
-    def _load_folders(self, load_id: str) -> list[str]:
-        """The folders that hold the rows of a load: its partition, if it has one."""
+    def _write_index(self, load_id: str, buckets: int, blocks: int) -> None:
+        stored = self._raw_or_none().where(F.col("load_id") == load_id)
+        built = id_index.build(stored, buckets, blocks).withColumn("load_id", F.lit(load_id))
+        (
+            built.coalesce(1 if buckets == 1 else buckets)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("load_id")
+            .parquet(self.index_path)
+        )
+
+    def _drop_index(self, load_id: str) -> None:
+        fs, folder = file_system(self.spark, self.index_path)
+        if not fs.exists(folder):
+            return
+        for status in fs.listStatus(folder):
+            if unquote(status.getPath().getName()) == f"load_id={load_id}":
+                fs.delete(status.getPath(), True)
+
+    def _bucket_folders(self, load_id: str) -> dict[int, str]:
+        """The folders that hold the rows of a load, by bucket."""
         rows = self._raw_or_none()
-        if rows is None:
-            return []
-        files = rows.where(F.col("load_id") == load_id).select(F.col("_metadata.file_path").alias("f"))
+        if rows is None or load_id not in self._load_names():
+            return {}
+        files = rows.where(F.col("load_id") == load_id).select("id_bucket", F.col("_metadata.file_path").alias("f"))
         # The metadata column gives addresses, which escape what a path holds as it is.
-        return sorted({unquote(row.f).rsplit("/", 1)[0] for row in files.distinct().collect()})
+        return {row.id_bucket: unquote(row.f).rsplit("/", 1)[0] for row in files.distinct().collect()}

@@ -113,7 +113,7 @@ def test_fits_are_rounded_once(rows):
 
 def test_long_amounts_do_not_hide_a_connection(spark):
     """Doubles cannot tell these prices apart; exact sums find that tax follows them."""
-    values = [(LONG + k, Decimal(2 * k), 7) for k in range(50)]
+    values = [(LONG + Decimal(k) / 100, Decimal(2 * k) / 100, 7) for k in range(50)]
     df = spark.createDataFrame(values, "price decimal(26,10), tax decimal(26,10), c int")
     fit = statistics.linear_fit(df, "price", "tax").first()
     assert (fit.slope, fit.r, fit.n) == (2.0, 1.0, 50)
