@@ -46,6 +46,34 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file, None if there is none."""
+    fs, target = file_system(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file aside and rename it over the old one: readers see either whole."""
+    fs, target = file_system(spark, path)
+    _, draft = file_system(spark, f"{path}-{uuid.uuid4().hex}")
+    stream = fs.create(draft, True)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    rename = getattr(spark._jvm.org.apache.hadoop.fs.Options, "Rename")
+    overwrite = spark.sparkContext._gateway.new_array(rename, 1)
+    overwrite[0] = rename.OVERWRITE
+    context = spark._jvm.org.apache.hadoop.fs.FileContext
+    context.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(draft, target, overwrite)
+
+
 class Scratch:
     """Written intermediate tables of one run, deleted together at its end."""
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.schemas import RAW_COLUMNS, RAW_SCHEMA
-from tallyspark.session import delete, file_system
+from tallyspark.session import delete, file_system, read_text, replace_text
 from tallyspark.sources import id_index
 
 # The schema each table belongs to.
@@ -88,30 +88,10 @@ class Warehouse:
         return self.version(name, version)
 
     def _current(self, name: str) -> str | None:
-        fs, pointer = file_system(self.spark, f"{self.path(name)}/{_POINTER}")
-        if not fs.exists(pointer):
-            return None
-        stream = fs.open(pointer)
-        try:
-            return bytes(stream.readAllBytes()).decode()
-        finally:
-            stream.close()
+        return read_text(self.spark, f"{self.path(name)}/{_POINTER}")
 
     def _point(self, name: str, version: str) -> None:
-        """Write the pointer aside and rename it over the old one."""
-        jvm = self.spark._jvm
-        fs, pointer = file_system(self.spark, f"{self.path(name)}/{_POINTER}")
-        _, draft = file_system(self.spark, f"{self.path(name)}/{_POINTER}-{uuid.uuid4().hex}")
-        stream = fs.create(draft, True)
-        try:
-            stream.write(version.encode())
-        finally:
-            stream.close()
-        options = jvm.org.apache.hadoop.fs.Options
-        overwrite = self.spark.sparkContext._gateway.new_array(getattr(options, "Rename"), 1)
-        overwrite[0] = getattr(options, "Rename").OVERWRITE
-        conf = self.spark._jsc.hadoopConfiguration()
-        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(draft, pointer, overwrite)
+        replace_text(self.spark, f"{self.path(name)}/{_POINTER}", version)
 
     def _keep_only(self, name: str, kept: tuple[str | None, ...]) -> None:
         fs, folder = file_system(self.spark, self.path(name))
@@ -158,7 +138,7 @@ class Warehouse:
         if others is None:
             return None
         index = self._stored(self.index_path, _STORED_INDEX)
-        folders = self._load_names()
+        folders = self.load_ids()
         indexed = set() if index is None else self._names_below(self.index_path)
         wanted = F.col("load_id").isin(sorted(folders - indexed))
         if index is not None:
@@ -174,7 +154,7 @@ class Warehouse:
         found = [status.getPath().getName() for status in fs.listStatus(folder) if status.isDirectory()]
         return {unquote(name.removeprefix("load_id=")) for name in found if name.startswith("load_id=")}
 
-    def _load_names(self) -> set[str]:
+    def load_ids(self) -> set[str]:
         return self._names_below(self.raw_path)
 
     def raw_load(self, load_id: str) -> DataFrame:
@@ -238,7 +218,7 @@ class Warehouse:
     def _bucket_folders(self, load_id: str) -> dict[int, str]:
         """The folders that hold the rows of a load, by bucket."""
         rows = self._raw_or_none()
-        if rows is None or load_id not in self._load_names():
+        if rows is None or load_id not in self.load_ids():
             return {}
         files = rows.where(F.col("load_id") == load_id).select("id_bucket", F.col("_metadata.file_path").alias("f"))
         # The metadata column gives addresses, which escape what a path holds as it is.
