@@ -21,6 +21,7 @@ from tallyspark.operators.quantiles import (
     value_counts,
 )
 from tallyspark.schemas import FACT_MEASURES, MONEY
+from tallyspark.session import materialize
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -328,33 +329,59 @@ def scatter_bins(fact: DataFrame, x: str, y: str, x_width: int, y_width: int) ->
     return scatter_grids(fact, {"": (x, y, x_width, y_width)}).drop("fit")
 
 
+# Columns of both scatter plots.
+POINT_COLUMNS = ("quantity", "gross_amount", "unit_price", "tax")
+# Rows that tell one fact row from another in the order of a sample.
+_IDENTITY = ("transaction_id", "customer_id", "product_id", "transaction_date", "quantity")
+
+
+def scatter_points(fact: DataFrame, k: int, columns: Sequence[str] = POINT_COLUMNS) -> DataFrame:
+    """(product_name, transaction_id, *columns): k rows of every product, all if there are fewer.
+
+    Those with the smallest hashes of their identity: the same rows on every run and for
+    any partitioning. The limit is applied where the rows are read, so that a hot product
+    sends k rows a task. Samples of parts merge: the sample of their union is the sample
+    of the whole, as ``scatter_points`` of the united samples shows.
+    """
+    name = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in _IDENTITY])
+    kept = dict.fromkeys(["product_name", *_IDENTITY, *columns])
+    order = Window.partitionBy("product_name").orderBy("__hash", *columns)
+    ranked = fact.select(*kept, F.md5(name.cast("binary")).alias("__hash")).withColumn("__rank", F.row_number().over(order))
+    return ranked.where(F.col("__rank") <= k).drop("__hash", "__rank")
+
+
 # Fixed value: the most columns a pivot may have.
 MAX_PIVOT_COLUMNS = 10_000
 
 
-def product_names(agg_cp: DataFrame) -> list[str]:
-    """The names that occur, sorted; NULL as the word. One distinct pass over the mart."""
-    found = agg_cp.select(F.coalesce("product_name", F.lit("NULL")).alias("name")).distinct()
-    names = sorted(row.name for row in found.limit(MAX_PIVOT_COLUMNS + 1).collect())
+def product_names(agg_cp: DataFrame) -> list[str | None]:
+    """The names that occur, sorted, None first if rows have none. One distinct pass over the mart."""
+    found = agg_cp.select("product_name").distinct().limit(MAX_PIVOT_COLUMNS + 1).collect()
+    names = sorted((row.product_name for row in found), key=lambda name: (name is not None, name or ""))
     if len(names) > MAX_PIVOT_COLUMNS:
-        raise ValueError(f"more than {MAX_PIVOT_COLUMNS} product names do not make columns")
+        raise ValueError(f"more than {MAX_PIVOT_COLUMNS} product names do not make columns: see customer_product_sparse")
     return names
 
 
 def customer_product_pivot(
-    agg_cp: DataFrame, names: Sequence[str] | None = None, on_repeat: str = "sum"
+    agg_cp: DataFrame, names: Sequence[str | None] | None = None, on_repeat: str = "sum"
 ) -> DataFrame:
     """Customers by product names: number of transactions, 0 where there are none.
 
-    The columns are the names that occur, rows without name under ``NULL``. With
-    ``names`` the columns are those; a name outside the list then stops the query
-    instead of vanishing. Several products may share a name: their counts are added up,
-    or refused with ``on_repeat="raise"``.
+    The columns are the names that occur; rows without name have the column ``NULL``, or
+    ``NULL (missing)`` beside a product of that name. With ``names`` the columns are
+    those; a name outside the list then stops the query instead of vanishing. Several
+    products may share a name: their counts are added up, or refused with
+    ``on_repeat="raise"``. For any number of names there is ``customer_product_sparse``.
     """
     columns = product_names(agg_cp) if names is None else list(names)
-    name = F.coalesce("product_name", F.lit("NULL"))
-    listed = F.when(name.isin(*columns), name).otherwise(
-        F.raise_error(F.concat(F.lit("unlisted product name: "), name))
+    # A letter in front keeps the missing name apart from every other.
+    keys = ["-" if name is None else f"+{name}" for name in columns]
+    shown = ["NULL (missing)" if "NULL" in columns else "NULL" if name is None else name for name in columns]
+    shown = [name if own is None else own for name, own in zip(shown, columns, strict=True)]
+    key = F.coalesce(F.concat(F.lit("+"), "product_name"), F.lit("-"))
+    listed = F.when(key.isin(*keys), key).otherwise(
+        F.raise_error(F.concat(F.lit("unlisted product name: "), F.coalesce("product_name", F.lit("NULL"))))
     )
     cells = F.sum("total_transactions")
     if on_repeat == "raise":
@@ -363,13 +390,53 @@ def customer_product_pivot(
         ).otherwise(cells)
     elif on_repeat != "sum":
         raise ValueError(f"unknown on_repeat {on_repeat!r}")
-    return (
+    pivot = (
         agg_cp.select("customer_id", listed.alias("product_name"), "total_transactions")
         .groupBy("customer_id")
-        .pivot("product_name", columns)
+        .pivot("product_name", keys)
         .agg(cells)
         .fillna(0)
     )
+    return pivot.toDF("customer_id", *shown)
+
+
+def numbered_names(agg_cp: DataFrame) -> DataFrame:
+    """(name_no, product_name) of the names that occur, from 0 in their order, a missing one first.
+
+    Expects a written table. Names are sorted in ranges and counted per range; only the
+    counts of ranges meet in one task, so any number of names is numbered.
+    """
+    names = agg_cp.select("product_name").distinct()
+    ranges = names.repartitionByRange(F.col("product_name").asc_nulls_first()).sortWithinPartitions(
+        F.col("product_name").asc_nulls_first()
+    )
+    seq = F.monotonically_increasing_id()
+    placed = materialize(
+        ranges.select("product_name", F.shiftright(seq, 33).alias("range_no"), seq.bitwiseAND((1 << 33) - 1).alias("place")),
+        "names",
+    )
+    before = F.sum("in_range").over(Window.partitionBy(F.lit(0)).orderBy("range_no")) - F.col("in_range")
+    counts = placed.groupBy("range_no").agg(F.count(F.lit(1)).alias("in_range")).select("range_no", before.alias("before"))
+    return placed.join(F.broadcast(counts), "range_no").select((F.col("before") + F.col("place")).alias("name_no"), "product_name")
+
+
+def customer_product_sparse(agg_cp: DataFrame, names: DataFrame) -> DataFrame:
+    """(customer_id, name_nos, transactions): the pivot's cells that are not empty, one row a customer.
+
+    Arrays of the numbers of the names, sorted, and of the transactions at the same
+    places, as sparse vectors have them. Names never pass the driver, and a row is as
+    long as the customer has names.
+    """
+    numbers = names.select("name_no", F.col("product_name").alias("__name"))
+    cells = (
+        agg_cp.groupBy("customer_id", "product_name")
+        .agg(F.sum("total_transactions").alias("n"))
+        .join(numbers, F.col("product_name").eqNullSafe(F.col("__name")))
+    )
+    entries = F.sort_array(F.collect_list(F.struct("name_no", "n")))
+    return cells.groupBy("customer_id").agg(entries.alias("e")).select(
+        "customer_id", F.col("e.name_no").alias("name_nos"), F.col("e.n").alias("transactions")
+    )
 
 
 def _activity(fact: DataFrame, day: Column, name: str) -> DataFrame:

@@ -27,7 +27,7 @@ def _updated(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     rows = materialize(landed(spark, sf_dir), "landed")
     part = F.pmod(F.xxhash64("transaction_id", "customer_id", "price", "tax"), F.lit(3))
     warehouse.append_raw(rows.where(part == 0), "load-1")
-    warehouse.append_raw(rows.where("quantity > 20"), "load-2")
+    warehouse.append_raw(rows.where("quantity LIKE '2%'"), "load-2")
     kept.update("load-1", "load-2")
     warehouse.append_raw(rows.where(part == 1), "load-2")
     warehouse.append_raw(rows.where("product_name = 'Product A'"), "load-3")

@@ -196,6 +196,29 @@ def scatter_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return statistics.scatter_grids(fact(spark, sf_dir), grids)
 
 
+# Fixed value: points of each product in the sample.
+_POINTS = 100
+
+
+@query(
+    "scatter_points",
+    f"""SELECT product_name, transaction_id, customer_id, product_id, transaction_date, quantity, gross_amount,
+        CAST(CAST(unit_price AS DECIMAL(28,10)) AS VARCHAR) AS unit_price,
+        CAST(CAST(tax AS DECIMAL(28,10)) AS VARCHAR) AS tax FROM {{fact}}
+        QUALIFY row_number() OVER (PARTITION BY product_name ORDER BY md5(concat_ws('|', transaction_id,
+            coalesce(CAST(customer_id AS VARCHAR), ''), coalesce(CAST(product_id AS VARCHAR), ''),
+            transaction_date, quantity)), quantity, gross_amount, unit_price, tax) <= {_POINTS}""",
+)
+def scatter_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The points of both plots themselves; samples of three parts, merged."""
+    rows = fact(spark, sf_dir)
+    part = F.pmod(F.xxhash64("transaction_id"), F.lit(3))
+    rows = materialize(rows, "fact")
+    samples = [statistics.scatter_points(rows.where(part == k), _POINTS) for k in range(3)]
+    merged = statistics.scatter_points(samples[0].unionByName(samples[1]).unionByName(samples[2]), _POINTS)
+    return merged.withColumns({c: F.col(c).cast("string") for c in ("unit_price", "tax")})
+
+
 # The product names of the test rows; SQL has to name its columns.
 _PRODUCT_NAMES = ("Product A", "Product B", "Product C", "Product D", "Product E", "Product F")
 
@@ -215,6 +238,23 @@ def customer_product_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return statistics.customer_product_pivot(pairs)
 
 
+@query(
+    "customer_product_sparse",
+    """SELECT customer_id, string_agg(name_no, ',' ORDER BY name_no) AS name_nos,
+        string_agg(n, ',' ORDER BY name_no) AS transactions
+        FROM (SELECT customer_id, name_no, CAST(sum(total_transactions) AS BIGINT) AS n
+              FROM {agg_by_customer_product} AS p
+              JOIN (SELECT name, row_number() OVER (ORDER BY name) - 1 AS name_no
+                    FROM (SELECT DISTINCT product_name AS name FROM {agg_by_customer_product}) AS d) AS names
+              ON p.product_name = name GROUP BY customer_id, name_no) AS cells
+        GROUP BY customer_id""",
+)
+def customer_product_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = materialize(marts.agg_by_customer_product(fact(spark, sf_dir)), "pairs")
+    sparse = statistics.customer_product_sparse(pairs, materialize(statistics.numbered_names(pairs), "numbered"))
+    return sparse.select("customer_id", *[F.array_join(c, ",").alias(c) for c in ("name_nos", "transactions")])
+
+
 @query(
     "daily_activity",
     """SELECT transaction_date, count(transaction_id) AS transactions,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -30,8 +31,8 @@ LAYER = {
     "audit_errors_by_load_date": "auditing",
 }
 
-# Names the version of a table that readers see; readers of files skip the underscore.
-_POINTER = "_current"
+# Names the version of every table that readers see.
+_MANIFEST = "_tables"
 
 _STORED_RAW = T.StructType(
     [*RAW_SCHEMA.fields, T.StructField("load_id", T.StringType()), T.StructField("id_bucket", T.LongType())]
@@ -53,9 +54,17 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.base}/{LAYER[table]}/{table}"
 
+    def _manifest(self) -> dict[str, str]:
+        text = read_text(self.spark, f"{self.base}/{_MANIFEST}")
+        return json.loads(text) if text else {}
+
     def table(self, name: str) -> DataFrame:
         """The published version of a table."""
-        return self.spark.read.parquet(f"{self.path(name)}/{self._current(name) or ''}")
+        return self.version(name, self._manifest().get(name, ""))
+
+    def snapshot(self) -> dict[str, DataFrame]:
+        """All published tables, all of the same moment, whatever is published later."""
+        return {name: self.version(name, version) for name, version in self._manifest().items()}
 
     def write_version(self, name: str, df: DataFrame) -> str:
         """Store a table beside the published version, unseen by readers."""
@@ -67,15 +76,17 @@ class Warehouse:
         return self.spark.read.parquet(f"{self.path(name)}/{version}")
 
     def publish(self, versions: Mapping[str, str]) -> None:
-        """Switch readers to the given versions.
+        """Switch readers to the given versions, all at once.
 
-        Readers that began before keep the files of the former version; what is older
-        than that is removed.
+        One manifest names the versions of all tables; it is written aside and renamed over
+        the old one, so a reader sees the tables of one run or of the other, and a run that
+        breaks off leaves the former ones. Readers that began before keep the files of the
+        former versions; what is older than that is removed.
         """
+        former = self._manifest()
+        replace_text(self.spark, f"{self.base}/{_MANIFEST}", json.dumps(former | dict(versions)))
         for name, version in versions.items():
-            former = self._current(name)
-            self._point(name, version)
-            self._keep_only(name, (version, former))
+            self._keep_only(name, (version, former.get(name)))
 
     def discard(self, versions: Mapping[str, str]) -> None:
         for name, version in versions.items():
@@ -87,12 +98,6 @@ class Warehouse:
         self.publish({name: version})
         return self.version(name, version)
 
-    def _current(self, name: str) -> str | None:
-        return read_text(self.spark, f"{self.path(name)}/{_POINTER}")
-
-    def _point(self, name: str, version: str) -> None:
-        replace_text(self.spark, f"{self.path(name)}/{_POINTER}", version)
-
     def _keep_only(self, name: str, kept: tuple[str | None, ...]) -> None:
         fs, folder = file_system(self.spark, self.path(name))
         for status in fs.listStatus(folder):

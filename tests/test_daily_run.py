@@ -137,3 +137,25 @@ def test_strict_mode_stops_on_text_that_cannot_be_converted(spark, tmp_path):
     with pytest.raises(Exception, match="cannot convert 'TX'"):
         run(warehouse, path, "day-1", "2024-01-01 06:00:00", mode="strict")
     run(warehouse, path, "day-1", "2024-01-01 06:00:00")
+
+
+def test_tables_of_a_run_change_together(spark, tmp_path, monkeypatch):
+    """Publishing dies before the manifest is in place: readers see the run before, of every table."""
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    run(warehouse, csv(tmp_path, GOOD), "day-1", "2024-01-01 06:00:00")
+    before = {name: df.count() for name, df in warehouse.snapshot().items()}
+    held = warehouse.snapshot()
+
+    def dies(*_):
+        raise OSError("store is gone")
+
+    with monkeypatch.context() as broken:
+        broken.setattr("tallyspark.sources.tables.replace_text", dies)
+        with pytest.raises(OSError):
+            run(warehouse, csv(tmp_path, [*GOOD, "T8,9.0,2023-07-18,P9,Product A,1,1,1"]), "day-2", "2024-01-02 06:00:00")
+    assert {name: df.count() for name, df in warehouse.snapshot().items()} == before
+    run(warehouse, csv(tmp_path, [*GOOD, "T8,9.0,2023-07-18,P9,Product A,1,1,1"]), "day-2", "2024-01-02 06:00:00")
+    after = {name: df.count() for name, df in warehouse.snapshot().items()}
+    assert after["fact_transactions"] == before["fact_transactions"] + 1 and after["agg_by_customer"] == before["agg_by_customer"] + 1
+    # A snapshot taken before still reads the run it was taken of.
+    assert {name: df.count() for name, df in held.items()} == before

@@ -198,3 +198,55 @@ def test_scatter_bins_keep_every_point(points):
     df, pdf = points
     bins = statistics.scatter_bins(df, "x", "y", 2, 5)
     assert bins.agg(F.sum("points")).first()[0] == len(pdf)
+
+
+def test_a_missing_name_is_not_the_name_null(spark):
+    pairs = spark.createDataFrame(
+        [(1, 10, "NULL", 2), (1, 11, None, 3), (2, 12, None, 1), (2, 13, "A", 4), (3, 14, "NULL", 7)],
+        "customer_id int, product_id int, product_name string, total_transactions long",
+    )
+    wide = statistics.customer_product_pivot(pairs)
+    assert wide.columns == ["customer_id", "NULL (missing)", "A", "NULL"]
+    assert sorted(map(tuple, wide.collect())) == [(1, 3, 0, 2), (2, 1, 4, 0), (3, 0, 0, 7)]
+    alone = statistics.customer_product_pivot(pairs.where("product_name IS NULL OR product_name = 'A'"))
+    assert alone.columns == ["customer_id", "NULL", "A"]
+    names = statistics.numbered_names(pairs)
+    assert sorted(map(tuple, names.collect())) == [(0, None), (1, "A"), (2, "NULL")]
+    sparse = statistics.customer_product_sparse(pairs, names)
+    assert sorted(map(tuple, sparse.collect())) == [(1, [0, 2], [3, 2]), (2, [0, 1], [1, 4]), (3, [2], [7])]
+
+
+def test_more_names_than_columns(spark, monkeypatch):
+    """Names in many ranges are numbered without a gap; the dense form refuses them."""
+    monkeypatch.setattr(statistics, "MAX_PIVOT_COLUMNS", 100)
+    pairs = spark.range(20_000).select(
+        (F.col("id") % 7).cast("int").alias("customer_id"),
+        F.concat(F.lit("n"), F.col("id") % 5000).alias("product_name"),
+        F.lit(1).cast("long").alias("total_transactions"),
+    )
+    with pytest.raises(ValueError, match="customer_product_sparse"):
+        statistics.customer_product_pivot(pairs)
+    names = statistics.numbered_names(pairs)
+    in_order = sorted(f"n{k}" for k in range(5000))
+    assert [(r.name_no, r.product_name) for r in names.orderBy("name_no").collect()] == list(enumerate(in_order))
+    rows = statistics.customer_product_sparse(pairs, names).collect()
+    assert sum(sum(r.transactions) for r in rows) == 20_000 and all(r.name_nos == sorted(r.name_nos) for r in rows)
+
+
+def test_points_of_every_product(spark):
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") < 3000, F.concat(F.lit("p"), F.col("id") % 9)).alias("product_name"),
+        *[F.col("id").cast("int").alias(c) for c in ("transaction_id", "customer_id", "product_id")],
+        F.lit("2024-01-01").cast("date").alias("transaction_date"),
+        *[F.col("id").cast("int").alias(c) for c in statistics.POINT_COLUMNS],
+    )
+    sample = statistics.scatter_points(df, 50)
+    found = sorted(map(str, sample.collect()))
+    counts = {r.product_name: r["count"] for r in sample.groupBy("product_name").count().collect()}
+    assert counts == {"hot": 50, None: 50, "p0": 50, "p3": 50, "p6": 50}
+    assert found == sorted(map(str, statistics.scatter_points(df.repartition(13), 50).collect()))
+    parts = [statistics.scatter_points(df.where(f"transaction_id % 4 = {k}"), 50) for k in range(4)]
+    united = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    assert found == sorted(map(str, statistics.scatter_points(united, 50).collect()))
+    plan = sample._jdf.queryExecution().executedPlan().toString()
+    assert "Partial" in plan and plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
