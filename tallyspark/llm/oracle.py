@@ -37,11 +37,15 @@ def _pii_sql() -> str:
     kinds = "\nUNION ALL\n".join(
         f"""SELECT doc_id, t, '{kind}' AS kind, {rank} AS rank, {pii.SCORES[kind]}::DOUBLE AS base,
     m, start, start + length(m) AS stop, {_VALID[kind]} AS valid,
-    regexp_matches(before, '(?:^|[^a-z0-9_])(?:{pii.RAISING[kind]})') AS raised
+    regexp_matches(before, '(?:^|[^a-z0-9_])(?:{pii.RAISING[kind]})')
+      OR regexp_matches(behind, '(?:^|[^a-z0-9_])(?:{pii.RAISING[kind]})') AS raised,
+    regexp_matches(before, '(?:^|[^a-z0-9_])(?:{pii.LOWERING})(?:$|[^a-z0-9_])')
+      OR regexp_matches(behind, '(?:^|[^a-z0-9_])(?:{pii.LOWERING})(?:$|[^a-z0-9_])') AS lowered
 FROM (
   SELECT *, regexp_replace(m, '[^0-9]', '', 'g') AS digits, replace(m, ' ', '') AS plain,
     lower(substring(t, greatest(start - {pii.CONTEXT_CHARS}, 0) + 1, start - greatest(start - {pii.CONTEXT_CHARS}, 0)))
-      AS before
+      AS before,
+    lower(substring(t, start + length(m) + 1, {pii.CONTEXT_CHARS})) AS behind
   FROM (
     SELECT doc_id, t, found[i] AS m,
       (list_sum(list_transform(gaps[1:i], lambda x: length(x)))
@@ -66,10 +70,7 @@ WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 found AS ({kinds}),
 scored AS (
   SELECT *, least(1.0, base + CASE WHEN raised THEN {pii.CONTEXT_WEIGHT} ELSE 0 END
-    - CASE WHEN regexp_matches(
-        lower(substring(t, greatest(start - {pii.CONTEXT_CHARS}, 0) + 1,
-          start - greatest(start - {pii.CONTEXT_CHARS}, 0))),
-        '(?:^|[^a-z0-9_])(?:{pii.LOWERING})(?:$|[^a-z0-9_])') THEN {pii.CONTEXT_WEIGHT} ELSE 0 END)::DOUBLE AS score
+    - CASE WHEN lowered THEN {pii.CONTEXT_WEIGHT} ELSE 0 END)::DOUBLE AS score
   FROM found WHERE valid
 ),
 kept AS (SELECT * FROM scored WHERE kind NOT IN ({added}) OR score >= {pii.THRESHOLD})

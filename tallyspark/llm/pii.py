@@ -2,11 +2,12 @@
 
 Built-in column functions only. A pattern's matches come from ``regexp_extract_all``
 and the text between them from ``split``; running sums of both lengths give the
-places, in code points.
+places, in code points. Context words are looked for on both sides of a span.
 
-Defined results: a null text counts as empty; an empty text has no spans. Repeated
-rows are each answered. Extra columns pass through; the columns added here replace
-columns of the same name.
+Defined results: a null text counts as empty; an empty text has no spans. Very long texts
+are read whole, in time linear in their length and number of spans: pieces of a text are
+cut from an array of its blocks and not from the text. Repeated rows are each answered.
+Extra columns pass through; the columns added here replace columns of the same name.
 """
 
 from __future__ import annotations
@@ -50,6 +51,25 @@ THRESHOLD = 0.5
 # Running sums append to arrays of at most this length, which keeps them near linear.
 CHUNK = 256
 
+# Code points of a block of a text.
+BLOCK = 256
+
+
+def _blocks(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def _cut(blocks: Column, start: Column, end: Column) -> Column:
+    """The code points from start (at least 0) to end, which may lie behind the last one."""
+    first, last = (F.floor(place / BLOCK).cast("int") for place in (start, end))
+    offset = (start % BLOCK + 1).cast("int")
+    head = F.coalesce(F.get(blocks, first), F.lit(""))
+    tail = F.substring(F.coalesce(F.get(blocks, last), F.lit("")), F.lit(1), (end % BLOCK).cast("int"))
+    between = F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+    return F.when(first == last, F.substring(head, offset, (end - start).cast("int"))).otherwise(
+        F.concat(F.substr(head, offset), between, tail)
+    )
+
 
 def _running_starts(steps: Column) -> Column:
     """Start of each match, for array<struct<gap, len>> in text order."""
@@ -131,22 +151,27 @@ def _valid(kind: str, found: Column) -> Column:
     return F.lit(True)
 
 
-def _score(kind: str, text: Column, start: Column) -> Column:
-    begin = F.greatest(start - CONTEXT_CHARS, F.lit(0))
-    before = F.lower(F.substring(text, (begin + 1).cast("int"), (start - begin).cast("int")))
-    raised = F.when(before.rlike(rf"(?<![a-z0-9_])(?:{RAISING[kind]})"), CONTEXT_WEIGHT).otherwise(0.0)
-    lowered = F.when(before.rlike(rf"(?<![a-z0-9_])(?:{LOWERING})(?![a-z0-9_])"), CONTEXT_WEIGHT).otherwise(0.0)
+def _has(context: tuple[Column, Column], words: str) -> Column:
+    return context[0].rlike(words) | context[1].rlike(words)
+
+
+def _score(kind: str, blocks: Column, start: Column, end: Column) -> Column:
+    sides = (_cut(blocks, F.greatest(start - CONTEXT_CHARS, F.lit(0)), start), _cut(blocks, end, end + CONTEXT_CHARS))
+    context = tuple(F.lower(side) for side in sides)
+    raised = F.when(_has(context, rf"(?<![a-z0-9_])(?:{RAISING[kind]})"), CONTEXT_WEIGHT).otherwise(0.0)
+    lowered = F.when(_has(context, rf"(?<![a-z0-9_])(?:{LOWERING})(?![a-z0-9_])"), CONTEXT_WEIGHT).otherwise(0.0)
     return F.least(F.lit(1.0), F.lit(SCORES[kind]) + raised - lowered)
 
 
-def _span(kind: str, rank: int, whole: Column):
+def _span(kind: str, rank: int, blocks: Column):
     def build(step: Column, start: Column) -> Column:
+        end = start + step["len"]
         return F.struct(
             start.alias("start"),
             F.lit(rank).alias("kind_rank"),
-            (start + step["len"]).alias("end"),
+            end.alias("end"),
             F.lit(kind).alias("kind"),
-            F.when(_valid(kind, step["found"]), _score(kind, whole, start)).alias("score"),
+            F.when(_valid(kind, step["found"]), _score(kind, blocks, start, end)).alias("score"),
         )
 
     return build
@@ -179,12 +204,16 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
                 ),
             ),
         )
+    some = F.lit(False)
+    for kind in KINDS:
+        some = some | F.col(f"_{kind}_steps").isNotNull()
+    out = out.withColumn("_blocks", F.when(some, _blocks(whole)))
     none = F.expr(
         "cast(array() as array<struct<start:bigint,kind_rank:int,end:bigint,kind:string,score:double>>)"
     )
     for rank, kind in enumerate(KINDS):
         steps = F.col(f"_{kind}_steps")
-        spans = F.zip_with(steps, _running_starts(steps), _span(kind, rank, whole))
+        spans = F.zip_with(steps, _running_starts(steps), _span(kind, rank, F.col("_blocks")))
         least = F.lit(THRESHOLD if kind in ADDED_KINDS else float("-inf"))
         out = out.withColumn(
             f"_{kind}_spans",
@@ -193,7 +222,7 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
             ).otherwise(none),
         )
     every = F.array_sort(F.concat(*[F.col(f"_{kind}_spans") for kind in KINDS]))
-    helpers = [f"_{kind}{end}" for kind in KINDS for end in ("", "_steps", "_spans")]
+    helpers = ["_blocks", *[f"_{kind}{end}" for kind in KINDS for end in ("", "_steps", "_spans")]]
     return out.withColumn("spans", every).drop(*helpers)
 
 
@@ -222,25 +251,52 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
+def _covered(spans: Column) -> Column:
+    """For each span the largest end before it, and behind the last one the largest of all."""
+    empty = F.expr("cast(array() as array<bigint>)")
+
+    def run(part: Column) -> Column:
+        return F.aggregate(
+            part,
+            F.struct(F.lit(0).cast("long").alias("top"), empty.alias("out")),
+            lambda acc, x: F.struct(
+                F.greatest(acc["top"], x["end"]).alias("top"),
+                F.concat(acc["out"], F.array(acc["top"])).alias("out"),
+            ),
+        )
+
+    parts = F.transform(
+        F.sequence(F.lit(0), F.size(spans) - 1, F.lit(CHUNK)), lambda at: run(F.slice(spans, at + 1, CHUNK))
+    )
+    return F.aggregate(
+        parts,
+        F.struct(
+            F.lit(0).cast("long").alias("top"), F.expr("cast(array() as array<array<bigint>>)").alias("out")
+        ),
+        lambda acc, x: F.struct(
+            F.greatest(acc["top"], x["top"]).alias("top"),
+            F.concat(acc["out"], F.array(F.transform(x["out"], lambda t: F.greatest(t, acc["top"])))).alias("out"),
+        ),
+        lambda acc: F.concat(F.flatten(acc["out"]), F.array(acc["top"])),
+    )
+
+
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """Replace every span by its kind in brackets; overlapping spans merge under the first."""
     found = find(docs, text)
     whole = F.col(text)
+    found = found.withColumn("_blocks", F.when(F.size("spans") > 0, _blocks(whole)))
+    found = found.withColumn("_covered", F.when(F.size("spans") > 0, _covered(F.col("spans"))))
 
-    def add(acc: Column, span: Column) -> Column:
-        apart = span["start"] >= acc["pos"]
-        piece = F.substring(whole, (acc["pos"] + 1).cast("int"), (span["start"] - acc["pos"]).cast("int"))
+    def piece(span: Column, covered: Column) -> Column:
         tag = F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]"))
-        return F.struct(
-            F.greatest(acc["pos"], span["end"]).alias("pos"),
-            F.when(apart, F.concat(acc["parts"], F.array(piece, tag))).otherwise(acc["parts"]).alias("parts"),
-        )
-
-    start = F.struct(F.lit(0).cast("long").alias("pos"), F.expr("cast(array() as array<string>)").alias("parts"))
-    cut = F.aggregate(F.col("spans"), start, add)
-    found = found.withColumn("_cut", F.when(F.size("spans") > 0, cut))
-    rest = F.substring(whole, (F.col("_cut.pos") + 1).cast("int"), F.length(whole))
-    clean = F.concat(F.array_join("_cut.parts", ""), rest)
-    return found.withColumn(text, F.when(F.col("_cut").isNull(), whole).otherwise(clean)).drop(
-        "spans", "_cut"
+        apart = F.concat(_cut(F.col("_blocks"), covered, span["start"]), tag)
+        return F.when(span["start"] >= covered, apart).otherwise("")
+
+    pieces = F.zip_with("spans", F.slice("_covered", F.lit(1), F.size("spans")), piece)
+    end = F.length(whole).cast("long")
+    rest = _cut(F.col("_blocks"), F.element_at("_covered", -1), end)
+    clean = F.concat(F.array_join(pieces, ""), rest)
+    return found.withColumn(text, F.when(F.col("_covered").isNull(), whole).otherwise(clean)).drop(
+        "spans", "_covered", "_blocks"
     )

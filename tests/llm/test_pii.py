@@ -25,6 +25,7 @@ TEXTS = [
     "1" * 5000,
     "a" * 30000 + "@b.c",
     "a@b.cc " * 1200 + "192.168.0.1",
+    "🙂" * 255 + "a@b.cc" + "🙂" * 300 + "1.2.3.4",
 ]
 
 
@@ -87,6 +88,30 @@ def test_checksums_and_context(spark):
     assert (rows[4].scores, rows[5].scores) == ("0.40", "0.80")
 
 
+def test_context_on_both_sides(spark):
+    texts = [
+        "123-45-6789 is my SSN",
+        "123-45-6789" + " " * 36 + " ssn",
+        "123-45-6789" + " " * 37 + " ssn",
+        "1.2.3.4 is the version",
+        "🙂" * 250 + " 123-45-6789 " + "🙂" * 20 + " Social Security",
+    ]
+    rows = {r.doc_id: r for r in pii.digest(pii.find(documents(spark, texts))).collect()}
+    assert [rows[k].spans.split(":")[0] for k in range(5)] == ["ssn", "ssn", "", "ip", "ssn"]
+    assert rows[3].scores == "0.40"
+    assert {r.doc_id: r.text for r in pii.redact(documents(spark, texts)).collect()}[0] == "[SSN] is my SSN"
+
+
+def test_a_long_text_with_many_spans(spark):
+    """30,000 spans in one text; cutting each out of the whole text would take minutes."""
+    text = "é call a@b.cc, 192.168.0.1 ok\n" * 15_000
+    row = pii.digest(pii.find(documents(spark, [text]))).first()
+    assert (row.n_email, row.n_ip) == (15_000, 15_000)
+    assert row.base_sha256 == hashlib.sha256(",".join(base_spans(text)).encode()).hexdigest()
+    clean = pii.redact(documents(spark, [text])).first().text
+    assert clean == "é call [EMAIL], [IP] ok\n" * 15_000
+
+
 def test_redaction(spark):
     texts = ["a@b.cé +1 (462) 555-7216x", None, "", "x 1.2.3.4@b.c y", "plain"]
     rows = {r.doc_id: r for r in pii.redact(documents(spark, texts).withColumn("start", F.lit(1))).collect()}
