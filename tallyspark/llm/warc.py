@@ -10,8 +10,16 @@ the end of the range where a record does. Archives may come from anywhere; a mem
 holds another, stored archive uncompressed is the one layout that scanning cannot tell
 apart.
 
-Defined results: a null payload is empty; an empty payload is a payload like any other.
-Among equal payloads the row with the largest page_id is the response and the rest are
+Foreign records: a stated payload digest is verified if its algorithm is SHA-1, MD5 or
+SHA-256, in base 32 or hexadecimal and in letters of any case, and passed over otherwise. A
+record without Content-Length has the block that follows its header; a revisit without an
+HTTP header has no payload. A member that breaks off or is damaged behind its header is an
+error. One that is damaged before that cannot be told from bytes that look like a magic:
+``verified`` compares the records of each archive with the number its manifest states and
+names the archives that lack some.
+
+Defined results: payloads of any length are read whole. A null payload is empty; an empty
+payload is a payload like any other. Among equal payloads the row with the largest page_id is the response and the rest are
 revisits; rows that repeat the largest page_id are all responses. Rows without page_id
 revisit the largest id, or are responses if no row of the group has one. Empty tables give
 no archive and no rows.
@@ -129,14 +137,14 @@ class _Source:
     def __init__(self, file, size: int, start: int, stop: int):
         self.file, self.size, self.start = file, size, start
         file.seek(start)
-        self.data = file.read(min(size, stop + BLOCK) - start)
+        self.data = bytearray(file.read(min(size, stop + BLOCK) - start))
 
     def get(self, at: int, count: int) -> bytes:
         end = min(at + count, self.size)
         if end > self.start + len(self.data):
             self.file.seek(self.start + len(self.data))
             self.data += self.file.read(max(end - self.start - len(self.data), BLOCK))
-        return self.data[at - self.start : end - self.start]
+        return bytes(memoryview(self.data)[at - self.start : end - self.start])
 
     def find(self, at: int, stop: int) -> int:
         """Place of the next magic that starts before ``stop``, or -1."""
@@ -152,7 +160,7 @@ def _inflate(source: _Source, at: int) -> tuple[bytes, int] | None:
     while not unpacker.eof:
         chunk = source.get(place, step)
         if not chunk:
-            if known:
+            if known or out.startswith(b"WARC/1."):
                 raise OSError(f"the record at {at} is cut off")
             return None
         try:
@@ -181,22 +189,35 @@ def _urn_id(value: str | None) -> str | None:
     return None if value is None else value.strip("<>")
 
 
+def _agrees(stated: str, payload: bytes) -> bool:
+    """Whether a stated digest, ``algorithm:value``, is that of the payload; unknown ones pass."""
+    algorithm, _, value = stated.partition(":")
+    name = algorithm.strip().lower().replace("-", "")
+    if name not in ("sha1", "md5", "sha256"):
+        return True
+    digest = hashlib.new(name, payload).digest()
+    forms = (digest.hex().upper(), base64.b32encode(digest).decode())
+    return value.strip().rstrip("=").upper() in [form.rstrip("=") for form in forms]
+
+
 def parse(content: bytes) -> dict:
     """Fields and payload of one inflated record."""
     header, _, rest = content.partition(b"\r\n\r\n")
     fields = _fields(header)
-    block = rest[: int(fields["content-length"])]
+    stated_length = fields.get("content-length", "")
+    block = rest[: int(stated_length)] if stated_length.isdigit() else rest.removesuffix(b"\r\n\r\n")
     kind = fields.get("warc-type")
-    payload, length = block, len(block)
+    payload, length, http = block, len(block), b""
     if fields.get("content-type", "").startswith("application/http"):
         http, _, payload = block.partition(b"\r\n\r\n")
         length = len(payload)
     digest = payload_digest(payload)
-    stated = fields.get("warc-payload-digest", "").removeprefix("sha1:") or None
+    stated = fields.get("warc-payload-digest") or None
     if kind == "revisit":
-        digest, payload = stated, None
-        length = int(_fields(http).get("content-length", 0)) if length == 0 else length
-    elif stated is not None and stated != digest:
+        digest, payload = stated and re.sub("(?i)^sha1:", "", stated), None
+        of_http = _fields(http).get("content-length", "")
+        length = int(of_http) if length == 0 and of_http.isdigit() else length
+    elif stated is not None and not _agrees(stated, payload):
         raise ValueError(f"the payload of {fields.get('warc-record-id')} does not match its digest")
     return {
         "record_type": kind,
@@ -264,14 +285,32 @@ def read(archives: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     return ranges.mapInArrow(read_part, RECORDS)
 
 
+def verified(archives: DataFrame, records: DataFrame) -> DataFrame:
+    """The written records, if there are as many of each archive as (path, records) states."""
+    found = records.groupBy("path").agg(F.count("*").alias("found"))
+    counts = archives.groupBy("path").agg(F.max("records").alias("records"))
+    lacking = (
+        counts.join(found, "path", "left")
+        .where("records IS NOT NULL AND coalesce(found, 0) <> records")
+        .orderBy("path")
+        .limit(10)
+        .collect()
+    )
+    if lacking:
+        shown = ", ".join(f"{row.path}: {row.found or 0} of {row.records}" for row in lacking)
+        raise OSError(f"archives with other numbers of records than their manifest states: {shown}")
+    return records
+
+
 def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Write pages as archives and answer one row per page from what is read back."""
-    back = read(write(pages, scratch_path(spark, "warc")))
+    archives = write(pages, scratch_path(spark, "warc"))
+    back = materialize(read(archives).drop("payload", "offset"), "warc-records")
 
     def page(column: str):
         return F.regexp_extract(column, r"^urn:page:(-?[0-9]*)$", 1).try_cast("long")
 
-    return back.select(
+    return verified(archives, back).select(
         page("record_id").alias("page_id"),
         "payload_bytes",
         "payload_digest",

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.llm import warc
-from tallyspark.session import scratch_path
+from tallyspark.session import materialize, scratch_path
 
 ROWS = [
     (1, "http://a.example/x", "<p>one</p>"),
@@ -87,5 +87,54 @@ def test_a_cut_record_is_an_error():
         list(warc.records_in(io.BytesIO(data), len(data), 0, len(data)))
 
 
+def member(fields, block=b"body"):
+    head = "\r\n".join(["WARC/1.0", *[f"{k}: {v}" for k, v in fields.items()]]).encode()
+    return head + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize(
+    "digest",
+    [
+        "md5:841a2d689ad86bd1611447453c22c6fc",
+        "MD5:841A2D689AD86BD1611447453C22C6FC",
+        "SHA1:" + base64.b32encode(hashlib.sha1(b"body").digest()).decode().lower(),
+        "sha-256:" + hashlib.sha256(b"body").hexdigest(),
+        "whirl:nothing we know",
+    ],
+)
+def test_digests_of_foreign_archives(digest):
+    fields = {"WARC-Type": "response", "Content-Length": 4, "WARC-Payload-Digest": digest}
+    found = warc.parse(member(fields))
+    assert (found["payload"], found["payload_bytes"]) == (b"body", 4)
+    if not digest.startswith("whirl"):
+        with pytest.raises(ValueError, match="does not match"):
+            warc.parse(member(fields | {"Content-Length": 3}))
+
+
+def test_absent_fields_of_foreign_archives():
+    assert warc.parse(member({"WARC-Type": "resource"}))["payload"] == b"body"
+    assert warc.parse(member({}, b""))["record_type"] is None
+    revisit = warc.parse(member({"WARC-Type": "revisit", "Content-Length": 0, "WARC-Payload-Digest": "Sha1:ABC"}, b""))
+    assert (revisit["payload"], revisit["payload_bytes"], revisit["payload_digest"]) == (None, 0, "ABC")
+
+
+def test_a_record_cut_within_its_header_is_an_error():
+    data = gzip.compress(member({"X-Long": "y" * 100_000}))
+    for cut in (len(data) // 2, len(data) - 40):
+        with pytest.raises(OSError, match="cut off"):
+            list(warc.records_in(io.BytesIO(data[:cut]), cut, 0, cut))
+
+
+def test_a_damaged_record_is_missed_in_the_count(spark, pages):
+    archives = warc.write(pages, scratch_path(spark, "warc"))
+    path = archives.orderBy("path").first().path.removeprefix("file:")
+    data = bytearray(open(path, "rb").read())
+    data[12:20] = b"\xff" * 8
+    with open(path, "wb") as file:
+        file.write(data)
+    with pytest.raises(OSError, match="than their manifest states"):
+        warc.verified(archives, materialize(warc.read(archives), "damaged"))
+
+
 def test_empty_table(spark, pages):
     assert warc.round_trip(spark, pages.where("page_id > 100")).collect() == []
