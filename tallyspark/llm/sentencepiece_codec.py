@@ -30,6 +30,8 @@ from tallyspark.llm.common import Memo, small_batches
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 CACHE = 300_000
+# Pair tests that are remembered; when there are as many, only those used again stay.
+PAIRS = 200_000
 
 
 class Codec:
@@ -53,6 +55,7 @@ class Codec:
         if any(c not in self.ids for c in self.letters):
             raise ValueError("a character of the vocabulary is no entry of its own")
         self.compatible: dict[int, bool] = {}
+        self.former_pairs: dict[int, bool] = {}
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.ids.items():
             if self.merge(piece) == [i]:  # entries that merging never reaches are no last tokens
@@ -89,7 +92,12 @@ class Codec:
         key = left << 20 | right
         known = self.compatible.get(key)
         if known is None:
-            known = self.merge(self.pieces[left] + self.pieces[right]) == [left, right]
+            known = self.former_pairs.get(key)
+            if known is None:
+                known = self.merge(self.pieces[left] + self.pieces[right]) == [left, right]
+            if len(self.compatible) >= PAIRS:
+                self.former_pairs = dict(self.compatible)
+                self.compatible.clear()
             self.compatible[key] = known
         return known
 

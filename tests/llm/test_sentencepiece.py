@@ -60,6 +60,17 @@ def test_memory_is_bounded():
     assert memo["x" * 100] == "X" * 100 and "x" * 100 not in memo
 
 
+def test_pair_tests_are_bounded(library, monkeypatch):
+    """Random text meets ever new pairs of tokens; the ids stay right while few are remembered."""
+    monkeypatch.setattr(sc, "PAIRS", 50)
+    own = sc.Codec(public_tokenizers.path(sc.MODEL))
+    rng = random.Random(6)
+    for _ in range(30):
+        text = "".join(rng.choice("abcdefghij klmnop") for _ in range(300))
+        assert own.encode(text) == library.encode(text) + [library.eos_id()]
+        assert len(own.compatible) <= 50 and len(own.former_pairs) <= 50
+
+
 def test_digests(spark, library):
     rows = list(enumerate([*EDGES, None])) + [(0, "again"), (None, "no id")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_tokens", F.lit(0))
