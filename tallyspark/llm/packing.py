@@ -3,12 +3,14 @@
 Documents become token pieces of at most ``CAPACITY`` tokens; a full piece is a sequence
 of its own. The others are dealt evenly into blocks of about ``BLOCK`` pieces. Each block
 is evolved on several islands. Crossover injects whole well-filled sequences of one parent
-into the other, drops the sequences that hold an injected piece twice, and best-fits the
-displaced pieces; the islands of a block exchange their elites between epochs. Sequences
+into the other, drops the sequences that hold an injected piece twice, breaks up some of
+the poorest, lets displaced pieces take the place of smaller ones where that fills a
+sequence better, and best-fits what is left; the islands of a block exchange their elites between epochs. Sequences
 that stay poorly filled are broken up and their pieces dealt into fewer blocks, until one
 block or ``ROUNDS`` rounds are left. Every piece is placed exactly once.
 
 Defined results: null text counts as empty; an empty text is one piece, the end id alone.
+Very long texts are tokenized whole and cut into pieces. An empty table gives an empty one.
 Repeated rows, also of one doc_id, are packed each for itself. Null ids pass through.
 """
 
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,12 +36,14 @@ CAPACITY = 2048
 BLOCK = 8192
 ISLANDS = 2
 EPOCHS = 2
-POPULATION = 3
-GENERATIONS = 4
+POPULATION = 6
+GENERATIONS = 40
 ROUNDS = 4
 SETTLED_LOAD = 0.995
 INJECTED_SHARE = 0.3
-CACHE = 300_000
+# Sequences broken up by a crossover: at least one and up to this share of those not injected.
+BROKEN_SHARE = 0.05
+CACHE = 400_000
 
 # Latin-1 letters lower-case one by one and are unchanged by composition; line ends
 # separate words like spaces.
@@ -235,6 +240,34 @@ def fitness(bins: list[list[int]], sizes: list[int]) -> tuple[int, int]:
     return len(bins), -sum([sum([sizes[i] for i in members]) ** 2 for members in bins])
 
 
+def floor_of(sizes: list[int], capacity: int) -> int:
+    """No packing has fewer bins: by the sum of sizes, and by the pieces that cannot share one."""
+    return max(-(-sum(sizes) // capacity), sum([2 * size > capacity for size in sizes]))
+
+
+def replace_smaller(bins: list[list[int]], free: list[int], sizes: list[int], capacity: int) -> list[int]:
+    """Put free pieces in place of smaller ones where a bin gets fuller; return the pieces then free.
+
+    Each bin takes the exchange that fills it best, if there is one.
+    """
+    free = sorted(free, key=sizes.__getitem__)
+    keys = [sizes[i] for i in free]
+    for members in bins:
+        room = capacity - sum([sizes[i] for i in members])
+        gain, at, place = 0, -1, -1
+        for k, member in enumerate(members if room else ()):
+            j = bisect_right(keys, sizes[member] + room) - 1
+            if j >= 0 and keys[j] - sizes[member] > gain:
+                gain, at, place = keys[j] - sizes[member], k, j
+        if gain:
+            del keys[place]
+            members[at], old = free.pop(place), members[at]
+            place = bisect_right(keys, sizes[old])
+            keys.insert(place, sizes[old])
+            free.insert(place, old)
+    return free
+
+
 def crossover(
     into: list[list[int]], giver: list[list[int]], sizes: list[int], capacity: int, rng: random.Random
 ) -> list[list[int]]:
@@ -243,15 +276,19 @@ def crossover(
     good = sorted(range(len(giver)), key=loads.__getitem__, reverse=True)[: max(1, len(giver) // 2)]
     injected = rng.sample(good, max(1, int(len(good) * INJECTED_SHARE)))
     taken = {i for k in injected for i in giver[k]}
-    child = [list(giver[k]) for k in injected]
     displaced: list[int] = []
+    whole: list[list[int]] = []
     for members in into:
         if taken.isdisjoint(members):
-            child.append(list(members))
+            whole.append(list(members))
         else:
             displaced += [i for i in members if i not in taken]
-    displaced.sort(key=sizes.__getitem__, reverse=True)
-    best_fit(child, displaced, sizes, capacity)
+    whole.sort(key=lambda members: sum([sizes[i] for i in members]))
+    broken = 1 + int(len(whole) * BROKEN_SHARE * rng.random())
+    displaced += [i for members in whole[:broken] for i in members]
+    child = [list(giver[k]) for k in injected] + whole[broken:]
+    displaced = replace_smaller(child, displaced, sizes, capacity)
+    best_fit(child, displaced[::-1], sizes, capacity)
     return [members for members in child if members]
 
 
@@ -260,11 +297,12 @@ def evolve(
 ) -> list[list[int]]:
     """The best solution of an island after its generations, never worse than its elites."""
     rng = random.Random(seed)
+    floor = floor_of(sizes, capacity)
     order = sorted(range(len(sizes)), key=sizes.__getitem__, reverse=True)
     people = list(elites)
-    while len(people) < POPULATION:
+    while len(people) < POPULATION and not any(len(bins) <= floor for bins in people):
         bins: list[list[int]] = []
-        noise = 0.0 if not people else 0.2
+        noise = 0.0 if not people else 0.02
         best_fit(
             bins,
             sorted(order, key=lambda i: -sizes[i] * (1 + noise * rng.random())),
@@ -273,14 +311,14 @@ def evolve(
         )
         people.append(bins)
     ranked = sorted(((fitness(p, sizes), k, p) for k, p in enumerate(people)))[:POPULATION]
-    floor = -(-sum(sizes) // capacity)
     for step in range(GENERATIONS):
         if ranked[0][0][0] <= floor:
             break
-        first, second = rng.sample(range(len(ranked)), 2)
+        first, second = rng.sample(range(len(ranked)), 2) if len(ranked) > 1 else (0, 0)
         child = crossover(ranked[first][2], ranked[second][2], sizes, capacity, rng)
-        ranked.append((fitness(child, sizes), POPULATION + step, child))
-        ranked = sorted(ranked)[:POPULATION]
+        score = fitness(child, sizes)
+        if all(score != known for known, _, _ in ranked):
+            ranked = sorted([*ranked, (score, POPULATION + step, child)])[:POPULATION]
     return ranked[0][2]
 
 

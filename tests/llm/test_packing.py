@@ -60,6 +60,25 @@ def test_evolution_never_loses_its_elite():
     assert packing.fitness(later, sizes) <= packing.fitness(start, sizes)
 
 
+@pytest.mark.parametrize("low,high,gain", [(500, 1001, 0.03), (300, 900, 0.01)])
+def test_generations_beat_best_fit_where_there_is_room(low, high, gain):
+    rng = random.Random(5)
+    sizes = [rng.randrange(low, high) for _ in range(4000)]
+    plain = []
+    packing.best_fit(plain, sorted(range(len(sizes)), key=lambda i: -sizes[i]), sizes, 2048)
+    found = packing.evolve(sizes, [], 1)
+    assert sorted(i for members in found for i in members) == list(range(len(sizes)))
+    assert all(sum(sizes[i] for i in members) <= 2048 for members in found)
+    assert packing.floor_of(sizes, 2048) <= len(found) <= len(plain) * (1 - gain)
+
+
+def test_a_floor_that_is_reached_costs_no_generations(monkeypatch):
+    sizes = [1025, 1500, 1024, 500, 1999]
+    assert packing.floor_of(sizes, 2048) == 3
+    monkeypatch.setattr(packing, "crossover", None)
+    assert len(packing.evolve(sizes, [], 1)) == 3
+
+
 def check(rows, texts, tokenizer):
     by_sequence = {}
     for r in rows:
