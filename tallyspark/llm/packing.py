@@ -38,12 +38,14 @@ ISLANDS = 2
 EPOCHS = 2
 POPULATION = 6
 GENERATIONS = 40
+# An island rests after so many generations without fewer sequences.
+PATIENCE = 4
 ROUNDS = 4
 SETTLED_LOAD = 0.995
 INJECTED_SHARE = 0.3
 # Sequences broken up by a crossover: at least one and up to this share of those not injected.
 BROKEN_SHARE = 0.05
-CACHE = 400_000
+CACHE = 300_000
 
 # Latin-1 letters lower-case one by one and are unchanged by composition; line ends
 # separate words like spaces.
@@ -300,7 +302,7 @@ def evolve(
     floor = floor_of(sizes, capacity)
     order = sorted(range(len(sizes)), key=sizes.__getitem__, reverse=True)
     people = list(elites)
-    while len(people) < POPULATION and not any(len(bins) <= floor for bins in people):
+    while len(people) < POPULATION and all(len(bins) > floor for bins in people):
         bins: list[list[int]] = []
         noise = 0.0 if not people else 0.02
         best_fit(
@@ -311,8 +313,11 @@ def evolve(
         )
         people.append(bins)
     ranked = sorted(((fitness(p, sizes), k, p) for k, p in enumerate(people)))[:POPULATION]
+    fewest, since = ranked[0][0][0], 0
     for step in range(GENERATIONS):
-        if ranked[0][0][0] <= floor:
+        if ranked[0][0][0] < fewest:
+            fewest, since = ranked[0][0][0], step
+        if fewest <= floor or step - since >= PATIENCE:
             break
         first, second = rng.sample(range(len(ranked)), 2) if len(ranked) > 1 else (0, 0)
         child = crossover(ranked[first][2], ranked[second][2], sizes, capacity, rng)

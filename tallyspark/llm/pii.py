@@ -171,7 +171,7 @@ def _span(kind: str, rank: int, blocks: Column):
             F.lit(rank).alias("kind_rank"),
             end.alias("end"),
             F.lit(kind).alias("kind"),
-            F.when(_valid(kind, step["found"]), _score(kind, blocks, start, end)).alias("score"),
+            F.when(step["valid"], _score(kind, blocks, start, end)).alias("score"),
         )
 
     return build
@@ -199,14 +199,15 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
                     lambda g, m: F.struct(
                         F.length(g).cast("long").alias("gap"),
                         F.length(m).cast("long").alias("len"),
-                        m.alias("found"),
+                        _valid(kind, m).alias("valid"),
                     ),
                 ),
             ),
         )
+    # Only texts with a confirmed span are cut into blocks.
     some = F.lit(False)
     for kind in KINDS:
-        some = some | F.col(f"_{kind}_steps").isNotNull()
+        some = some | F.coalesce(F.exists(f"_{kind}_steps", lambda step: step["valid"]), F.lit(False))
     out = out.withColumn("_blocks", F.when(some, _blocks(whole)))
     none = F.expr(
         "cast(array() as array<struct<start:bigint,kind_rank:int,end:bigint,kind:string,score:double>>)"
