@@ -51,12 +51,13 @@ THRESHOLD = 0.5
 # Running sums append to arrays of at most this length, which keeps them near linear.
 CHUNK = 256
 
-# Code points of a block of a text.
-BLOCK = 256
+# Code points of a block of a text; a shorter text is one block.
+BLOCK = 4096
 
 
 def _blocks(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    return F.when(F.length(text) <= BLOCK, F.array(text)).otherwise(cut)
 
 
 def _cut(blocks: Column, start: Column, end: Column) -> Column:
@@ -182,6 +183,11 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Spans of the base kinds always stay; an added kind needs a score of ``THRESHOLD``.
     """
+    return _found(docs, text).drop("_blocks")
+
+
+def _found(docs: DataFrame, text: str) -> DataFrame:
+    """The spans, and the blocks of texts that have a confirmed one."""
     whole = F.coalesce(F.col(text), F.lit(""))
     out = docs
     for kind in KINDS:
@@ -223,7 +229,7 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
             ).otherwise(none),
         )
     every = F.array_sort(F.concat(*[F.col(f"_{kind}_spans") for kind in KINDS]))
-    helpers = ["_blocks", *[f"_{kind}{end}" for kind in KINDS for end in ("", "_steps", "_spans")]]
+    helpers = [f"_{kind}{end}" for kind in KINDS for end in ("", "_steps", "_spans")]
     return out.withColumn("spans", every).drop(*helpers)
 
 
@@ -284,9 +290,8 @@ def _covered(spans: Column) -> Column:
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """Replace every span by its kind in brackets; overlapping spans merge under the first."""
-    found = find(docs, text)
     whole = F.col(text)
-    found = found.withColumn("_blocks", F.when(F.size("spans") > 0, _blocks(whole)))
+    found = _found(docs, text)
     found = found.withColumn("_covered", F.when(F.size("spans") > 0, _covered(F.col("spans"))))
 
     def piece(span: Column, covered: Column) -> Column:
