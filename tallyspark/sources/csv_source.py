@@ -9,21 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.schemas import RAW_COLUMNS, RAW_CSV_SCHEMA
+from tallyspark.sources import csv_lines
+from tallyspark.sources.csv_lines import FILE_POSITION
 
 CORRUPT = "corrupt_record"
 
-# A row's place in the load: files by name, parts of a file by offset, then rows.
-FILE_POSITION = ("file_path", "file_block_start", "row_seq")
-
-# Every byte is one character of this encoding; columns are decoded strictly afterwards.
-_BYTES = "ISO-8859-1"
-
 # Fixed values. A doubled quote escapes a quote; an unquoted empty field is
 # NULL and a quoted one is the empty string, which needs a null marker that no
 # text holds; spaces are kept; a row with another number of fields is an error.
 CSV_OPTIONS = {
-    "header": "true",
-    "encoding": _BYTES,
     "sep": ",",
     "quote": '"',
     "escape": '"',
@@ -37,108 +31,64 @@ CSV_OPTIONS = {
 }
 
 
-def decoded(rows: DataFrame) -> DataFrame:
-    """Text columns read byte by byte as UTF-8; other bytes stop the job. Also valid on a stream.
-
-    Text with as many characters as bytes is ASCII and stays as it is.
-    """
-    columns = {
-        name: F.when(F.octet_length(name) == F.char_length(name), F.col(name)).otherwise(
-            F.validate_utf8(F.encode(F.col(name), _BYTES).cast("string"))
-        )
-        for name in rows.columns
-        if name in RAW_COLUMNS or name == CORRUPT
-    }
-    return rows.withColumns(columns)
-
-
 def _lines(spark: SparkSession, paths: str | Sequence[str], multi_line: bool) -> DataFrame:
-    """(file_path, file_block_start, line) of all lines, which Spark's CSV reader shows only in part.
-
-    With ``multi_line`` quoted text, which may hold blank lines, is taken out first.
-    """
-    files = spark.read.option("wholetext", multi_line).text(paths)
-    place = [F.col(f"_metadata.{name}").alias(name) for name in ("file_path", "file_block_start")]
-    line = F.col("value")
-    if multi_line:
-        unquoted = F.regexp_replace(line, '"(?:[^"]|"")*+"', "q")
-        # What follows the last line break is no line.
-        line = F.explode(F.split(F.regexp_replace(unquoted, "\\r?\\n$", ""), "\\r?\\n"))
-    return files.select(*place, line.alias("line"))
-
-
-def _is_blank() -> Column:
-    return F.trim("line") == ""
-
-
-def blank_lines(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = False) -> DataFrame:
-    """The lines without text, which Spark's CSV reader passes over."""
-    return _lines(spark, paths, multi_line).where(_is_blank())
+    reader = spark.read.option("lineSep", "\n") if multi_line else spark.read
+    return csv_lines.with_place(reader.text(paths))
 
 
-def _refused(lines: DataFrame) -> DataFrame:
-    """No rows, in the shape of a batch; a blank line, having too few fields, stops the job.
+def _parsed(
+    records: DataFrame, schema: T.StructType, options: dict[str, str], text: Column, *kept: str
+) -> DataFrame:
+    """Each record's text parsed once; bytes that are not UTF-8 stop the job.
 
-    The condition stands in a filter, which a plan that needs no columns keeps too.
+    A generator keeps the parser out of later projections and in plans that need no columns.
     """
-    complaint = F.concat(F.lit("malformed row: blank line in "), F.col("file_path"))
-    stopped = lines.where(F.when(_is_blank(), F.raise_error(complaint)).isNotNull())
-    none = F.lit(None).cast("string")
-    return stopped.select(*[none.alias(c) for c in RAW_COLUMNS], "file_path", "file_block_start")
+    fields = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schema)
+    row = F.from_csv(F.validate_utf8(text), fields, options)
+    return records.select(*FILE_POSITION, *kept, F.inline(F.array(row)))
 
 
-def _rows(spark: SparkSession, paths: str | Sequence[str], multi_line: bool) -> DataFrame:
-    reader = spark.read.schema(RAW_CSV_SCHEMA).options(**CSV_OPTIONS)
-    rows = with_file_columns(reader.option("multiLine", multi_line).csv(paths))
-    return rows.unionByName(_refused(_lines(spark, paths, multi_line)))
+def parsed(records: DataFrame) -> DataFrame:
+    """Raw columns and place of each record; a malformed one or a blank line stops the job."""
+    complaint = F.concat(F.lit("malformed row: "), F.col("complaint"), F.lit(" in "), F.col("file_path"))
+    text = F.when(F.col("complaint").isNull(), F.col("text")).otherwise(F.raise_error(complaint))
+    rows = _parsed(records, RAW_CSV_SCHEMA, CSV_OPTIONS, text)
+    return rows.select(*RAW_COLUMNS, *FILE_POSITION)
 
 
-def read_transactions(
+def read_batch(
     spark: SparkSession, paths: str | Sequence[str], multi_line: bool = False
 ) -> DataFrame:
-    """Read a batch; a malformed row, a blank line or text that is not UTF-8 stops the job.
+    """Read a batch with ``FILE_POSITION``, unique per row and in file order.
 
-    ``multi_line`` allows line breaks inside quotes but makes a file one task.
+    A malformed row, a blank line or text that is not UTF-8 stops the job. ``multi_line``
+    allows line breaks inside quotes and writes the lines once more; files are split either way.
     """
-    return _rows(spark, paths, multi_line).select(*RAW_COLUMNS)
-
-
-def with_file_columns(rows: DataFrame) -> DataFrame:
-    """Decode, and add the file columns of ``FILE_POSITION``; also valid on a stream."""
-    return decoded(
-        rows.select(
-            *RAW_COLUMNS,
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_block_start").alias("file_block_start"),
-        )
-    )
-
+    lines = _lines(spark, paths, multi_line)
+    return parsed(csv_lines.joined_lines(lines) if multi_line else csv_lines.single_lines(lines))
 
-def with_position(rows: DataFrame) -> DataFrame:
-    """Complete ``FILE_POSITION``: unique per row and in file order.
 
-    The sequence number alone would not do: scan tasks take large files first.
-    """
-    return rows.withColumn("row_seq", F.monotonically_increasing_id())
-
-
-def read_batch(
+def read_transactions(
     spark: SparkSession, paths: str | Sequence[str], multi_line: bool = False
 ) -> DataFrame:
-    return with_position(_rows(spark, paths, multi_line))
+    """Read the raw columns of a batch, as ``read_batch`` does."""
+    return read_batch(spark, paths, multi_line).select(*RAW_COLUMNS)
 
 
 def read_with_rejects(
-    spark: SparkSession, paths: str | Sequence[str], header: bool = True
+    spark: SparkSession, paths: str | Sequence[str], header: bool = True, multi_line: bool = False
 ) -> DataFrame:
-    """Read every row; malformed ones and blank lines carry their line in ``corrupt_record``."""
+    """Read every row; malformed ones and blank lines carry their text in ``corrupt_record``."""
     schema = T.StructType([*RAW_CSV_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
     options = {**CSV_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    rows = spark.read.schema(schema).options(**options).option("header", header).csv(paths)
-    blank = blank_lines(spark, paths).select(
-        *[F.lit(None).cast("string").alias(c) for c in RAW_COLUMNS], F.col("line").alias(CORRUPT)
-    )
-    return decoded(rows).unionByName(blank)
+    lines = _lines(spark, paths, multi_line)
+    records = csv_lines.joined_lines(lines, header) if multi_line else csv_lines.single_lines(lines, header)
+    # What is refused is not parsed: it takes the place of a record with too few fields.
+    text = F.when(F.col("complaint").isNull(), F.col("text")).otherwise(F.lit("?"))
+    refused = F.when(F.col("complaint").isNotNull(), F.validate_utf8("text"))
+    rows = _parsed(records.withColumn("refused", refused), schema, options, text, "refused")
+    columns = [F.when(F.col("refused").isNull(), F.col(c)).alias(c) for c in RAW_COLUMNS]
+    return rows.select(*columns, F.coalesce("refused", CORRUPT).alias(CORRUPT))
 
 
 # How to write text that CSV_OPTIONS reads back unchanged.

@@ -8,13 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyspark.plans.daily_run import land
-from tallyspark.schemas import RAW_CSV_SCHEMA
-from tallyspark.sources.csv_source import (
-    CSV_OPTIONS,
-    blank_lines,
-    with_file_columns,
-    with_position,
-)
+from tallyspark.sources import csv_lines
+from tallyspark.sources.csv_source import parsed
 from tallyspark.sources.tables import Warehouse
 
 
@@ -31,23 +26,19 @@ def land_stream(
     No streaming state is kept: the raw layer itself tells which ids exist. A
     replayed micro-batch replaces its own partition, so rows without id do not
     double. A file that is rewritten under the same path is not read again;
-    reload such files with the batch job. The driver sees the names of the new files.
+    reload such files with the batch job. Malformed rows and blank lines stop the stream.
     """
-    reader = warehouse.spark.readStream.schema(RAW_CSV_SCHEMA).options(**CSV_OPTIONS)
+    reader = warehouse.spark.readStream
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def land_files(batch: DataFrame, batch_id: int) -> None:
         here = Warehouse(batch.sparkSession, warehouse.base)
-        files = [row.file_path for row in batch.select("file_path").distinct().collect()]
-        blank = blank_lines(here.spark, files).first() if files else None
-        if blank:
-            raise ValueError(f"malformed row: blank line in {blank.file_path}")
         moment = batch_ts or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-        land(here, with_position(batch), f"{name}-{batch_id:09d}", moment)
+        land(here, parsed(csv_lines.single_lines(batch)), f"{name}-{batch_id:09d}", moment)
 
     return (
-        with_file_columns(reader.csv(source))
+        csv_lines.with_place(reader.text(source))
         .writeStream.foreachBatch(land_files)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
