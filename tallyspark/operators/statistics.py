@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -17,7 +17,7 @@ from tallyspark.operators.quantiles import (
     interpolate,
     locate,
     present,
-    quantiles,
+    quantiles_of,
     value_counts,
 )
 from tallyspark.schemas import FACT_MEASURES, MONEY
@@ -50,6 +50,17 @@ def mart_row_counts(fact: DataFrame) -> DataFrame:
     return totals.unpivot([], list(counts), "table_name", "row_count")
 
 
+def measure_values(fact: DataFrame, columns: Sequence[str] = FACT_MEASURES) -> DataFrame:
+    """(column_name, value): the measures below one another."""
+    pairs = F.array(
+        *[
+            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
+            for c in columns
+        ]
+    )
+    return fact.select(F.inline(pairs))
+
+
 def describe_numeric(fact: DataFrame, columns: Sequence[str] = FACT_MEASURES) -> DataFrame:
     """Per column: count, mean, sample deviation, extremes, exact quartiles.
 
@@ -58,25 +69,28 @@ def describe_numeric(fact: DataFrame, columns: Sequence[str] = FACT_MEASURES) ->
     hold a quartile. Those are at most two per column and quartile, so they are
     broadcast whatever the size of the fact.
     """
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
-            for c in columns
-        ]
+    values = present(measure_values(fact, columns), "column_name")
+    totals = values.groupBy("column_name", "bucket").agg(
+        F.count(F.lit(1)).alias("in_bucket"),
+        F.avg("value").alias("bucket_mean"),
+        F.var_pop("value").alias("bucket_variance"),
+        F.min("value").alias("bucket_min"),
+        F.max("value").alias("bucket_max"),
     )
-    values = present(fact.select(F.inline(pairs)), "column_name")
+
+    def read(chosen: DataFrame) -> DataFrame:
+        hits = values.join(F.broadcast(chosen), ["column_name", "bucket"])
+        return hits.groupBy(*chosen.columns, "value").agg(F.count(F.lit(1)).alias("n"))
+
+    return described(totals, read)
+
+
+def described(totals: DataFrame, read: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The description from moments per column and bucket; ``read`` joins value counts to buckets."""
     whole = Window.partitionBy("column_name")
     off = F.col("bucket_mean") - F.col("mean")
-    totals = (
-        values.groupBy("column_name", "bucket")
-        .agg(
-            F.count(F.lit(1)).alias("in_bucket"),
-            F.avg("value").alias("bucket_mean"),
-            F.var_pop("value").alias("bucket_variance"),
-            F.min("value").alias("bucket_min"),
-            F.max("value").alias("bucket_max"),
-        )
-        .withColumn(
+    known = (
+        totals.withColumn(
             "mean",
             F.sum(F.col("in_bucket") * F.col("bucket_mean")).over(whole)
             / F.sum("in_bucket").over(whole),
@@ -89,14 +103,8 @@ def describe_numeric(fact: DataFrame, columns: Sequence[str] = FACT_MEASURES) ->
         .withColumn("max", F.max("bucket_max").over(whole))
     )
     carried = ["all_rows", "mean", "squares", "min", "max"]
-    keys = ["column_name", "bucket"]
-    chosen = locate(totals, "column_name").select(*keys, "before", *carried)
-    counts = (
-        values.join(F.broadcast(chosen), keys)
-        .groupBy(*keys, "before", *carried, "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return interpolate(counts, "column_name", carry=carried).select(
+    chosen = locate(known, "column_name").select("column_name", "bucket", "before", *carried)
+    return interpolate(read(chosen), "column_name", carry=carried).select(
         "column_name",
         F.col("all_rows").alias("count"),
         "mean",
@@ -152,9 +160,17 @@ def boxplot_stats(fact: DataFrame, value: str = "unit_price") -> DataFrame:
     """
     group = "product_name"
     counts = value_counts(fact, group, value)
+    totals = counts.groupBy(group, "bucket").agg(
+        F.sum("n").alias("in_bucket"), F.min("value").alias("bucket_min"), F.max("value").alias("bucket_max")
+    )
+    return boxplots(totals, lambda wanted: counts.join(wanted, [group, "bucket"]), group)
+
+
+def boxplots(totals: DataFrame, read: Callable[[DataFrame], DataFrame], group: str) -> DataFrame:
+    """Box plots from bucket totals; ``read`` joins value counts to wanted buckets."""
     reach = (F.col("q75") - F.col("q25")) * 1.5
     limits = (
-        quantiles(counts, group)
+        quantiles_of(totals, read, group)
         .withColumn("low", F.col("q25") - reach)
         .withColumn("high", F.col("q75") + reach)
         .withColumn("low_bucket", bucket_of(F.col("low")))
@@ -162,20 +178,17 @@ def boxplot_stats(fact: DataFrame, value: str = "unit_price") -> DataFrame:
     )
     keys = [group, *QUARTILE_NAMES]
     between = (F.col("bucket") > F.col("low_bucket")) & (F.col("bucket") < F.col("high_bucket"))
-    totals = counts.groupBy(group, "bucket").agg(
-        F.sum("n").alias("n"), F.min("value").alias("lowest"), F.max("value").alias("highest")
-    )
     inner = totals.join(limits, group).select(
         *keys,
-        F.col("n").alias("rows"),
-        F.when(between, F.col("n")).otherwise(0).alias("inside"),
-        F.when(between, F.col("lowest")).alias("lowest"),
-        F.when(between, F.col("highest")).alias("highest"),
+        F.col("in_bucket").alias("rows"),
+        F.when(between, F.col("in_bucket")).otherwise(0).alias("inside"),
+        F.when(between, F.col("bucket_min")).alias("lowest"),
+        F.when(between, F.col("bucket_max")).alias("highest"),
     )
     end_buckets = F.array_distinct(F.array("low_bucket", "high_bucket"))
     ends = limits.select(*keys, "low", "high", F.explode(end_buckets).alias("bucket"))
     edge = (
-        counts.join(ends, [group, "bucket"])
+        read(ends)
         .where(F.col("value").between(F.col("low"), F.col("high")))
         .select(
             *keys,

@@ -40,20 +40,20 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return statistics.mart_row_counts(fact(spark, sf_dir))
 
 
-@query(
-    "describe_numeric",
-    "\nUNION ALL ".join(
-        f"""SELECT '{c}' AS column_name, count({c}) AS count,
-        {_rounded_sql(f"avg(CAST({c} AS DOUBLE))")} AS mean,
-        {_rounded_sql(f"stddev_samp(CAST({c} AS DOUBLE))")} AS std,
-        {_rounded_sql(f"CAST(min({c}) AS DOUBLE)")} AS min,
-        {_rounded_sql(f"quantile_cont(CAST({c} AS DOUBLE), 0.25)")} AS q25,
-        {_rounded_sql(f"quantile_cont(CAST({c} AS DOUBLE), 0.5)")} AS q50,
-        {_rounded_sql(f"quantile_cont(CAST({c} AS DOUBLE), 0.75)")} AS q75,
-        {_rounded_sql(f"CAST(max({c}) AS DOUBLE)")} AS max FROM {{fact}}"""
-        for c in FACT_MEASURES
-    ),
+DESCRIBE_SQL = "\nUNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, count({c}) AS count,
+    {_rounded_sql(f"avg(CAST({c} AS DOUBLE))")} AS mean,
+    {_rounded_sql(f"stddev_samp(CAST({c} AS DOUBLE))")} AS std,
+    {_rounded_sql(f"CAST(min({c}) AS DOUBLE)")} AS min,
+    {_rounded_sql(f"quantile_cont(CAST({c} AS DOUBLE), 0.25)")} AS q25,
+    {_rounded_sql(f"quantile_cont(CAST({c} AS DOUBLE), 0.5)")} AS q50,
+    {_rounded_sql(f"quantile_cont(CAST({c} AS DOUBLE), 0.75)")} AS q75,
+    {_rounded_sql(f"CAST(max({c}) AS DOUBLE)")} AS max FROM {{fact}}"""
+    for c in FACT_MEASURES
 )
+
+
+@query("describe_numeric", DESCRIBE_SQL)
 def describe_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two passes, hence over the written columns."""
     measures = fact(spark, sf_dir).select(*FACT_MEASURES)
@@ -74,9 +74,7 @@ def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(statistics.correlation_matrix(fact(spark, sf_dir)))
 
 
-@query(
-    "boxplot_stats",
-    f"""SELECT product_name, count(*) AS count,
+BOXPLOT_SQL = f"""SELECT product_name, count(*) AS count,
         {_rounded_sql("any_value(q25)")} AS q25, {_rounded_sql("any_value(q50)")} AS q50,
         {_rounded_sql("any_value(q75)")} AS q75,
         {_rounded_sql("least(min(v) FILTER (v >= q25 - 1.5 * (q75 - q25)), any_value(q25))")}
@@ -90,8 +88,10 @@ def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
               quantile_cont(CAST(unit_price AS DOUBLE), 0.5) AS q50,
               quantile_cont(CAST(unit_price AS DOUBLE), 0.75) AS q75
               FROM {{fact}} GROUP BY product_name) AS q USING (product_name)
-        GROUP BY product_name""",
-)
+        GROUP BY product_name"""
+
+
+@query("boxplot_stats", BOXPLOT_SQL)
 def boxplot_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(statistics.boxplot_stats(fact(spark, sf_dir)))
 

@@ -1,0 +1,127 @@
+"""Statistics from stored states of loads against those over the whole fact."""
+
+import glob
+import math
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyspark.operators import marts, statistics
+from tallyspark.operators.quantiles import bucket_of, edge_of, range_of
+from tallyspark.operators.staging import stage_transactions
+from tallyspark.plans.incremental_statistics import IncrementalStatistics
+from tallyspark.sources.tables import Warehouse
+
+
+def batch(raw_rows, seed, count, product=None):
+    rng = random.Random(seed)
+    prices = [None, "x", "0", "1e3", "99.5", "99.51", "100", "123456789012345.25", "0.0000000001"]
+    return raw_rows(
+        *[
+            {
+                "transaction_id": f"T{seed}{n}",
+                "customer_id": "1.0",
+                "transaction_date": "2024-01-11",
+                "product_id": "P1",
+                "product_name": product or rng.choice([None, "Product A", "Product A", "Product B"]),
+                "quantity": rng.choice([None, "1", "-3", "7"]),
+                "price": rng.choice(prices) if rng.random() < 0.3 else f"{rng.uniform(50, 60):.3f}",
+                "tax": rng.choice([None, "1.005", "0"]),
+            }
+            for n in range(count)
+        ]
+    )
+
+
+def rows_of(df, key):
+    return {r[key]: r.asDict() for r in df.collect()}
+
+
+def assert_same(kept):
+    fact = marts.fact_transactions(stage_transactions(kept.warehouse.raw()))
+    for key, got, expected in (
+        ("column_name", kept.describe_numeric(), statistics.describe_numeric(fact)),
+        ("product_name", kept.boxplot_stats(), statistics.boxplot_stats(fact)),
+    ):
+        got, expected = rows_of(got, key), rows_of(expected, key)
+        assert got.keys() == expected.keys()
+        for name, row in expected.items():
+            for column, value in row.items():
+                if column in ("mean", "std") and value is not None:
+                    assert math.isclose(got[name][column], value, rel_tol=1e-9), (name, column)
+                else:
+                    assert got[name][column] == value, (name, column)
+
+
+def test_equal_to_the_full_computation(spark, raw_rows, tmp_path):
+    """After three loads, a retry with other rows, an emptied load and a load nobody named."""
+    kept = IncrementalStatistics(Warehouse(spark, str(tmp_path)))
+    for seed, load in enumerate("abc"):
+        kept.warehouse.append_raw(batch(raw_rows, seed, 60, "hot" if load == "b" else None), load)
+    kept.update("a")
+    assert_same(kept)
+    kept.warehouse.append_raw(batch(raw_rows, 7, 40), "b")
+    kept.warehouse.append_raw(batch(raw_rows, 8, 10).where("false"), "c")
+    kept.update("b", "c")
+    assert_same(kept)
+    assert "hot" not in rows_of(kept.boxplot_stats(), "product_name")
+
+
+def test_only_folders_with_wanted_buckets_are_read(spark, raw_rows, tmp_path):
+    """The files of all others may even be unreadable."""
+    kept = IncrementalStatistics(Warehouse(spark, str(tmp_path)))
+    kept.warehouse.append_raw(batch(raw_rows, 1, 200), "a")
+    kept.update("a")
+    expected = rows_of(kept.boxplot_stats(), "product_name")
+    low, high = (range_of(bucket_of(F.lit(v))) for v in (10.0, 500.0))
+    first, last = spark.range(1).select(low, high).first()
+    broken = 0
+    for folder in glob.glob(f"{kept.base}/prices/values/version=*/range=*"):
+        if not first <= int(folder.rsplit("=")[-1]) <= last:
+            for file in glob.glob(f"{folder}/*.parquet"):
+                with open(file, "wb") as target:
+                    target.write(b"broken")
+                crc = f"{folder}/.{os.path.basename(file)}.crc"
+                os.replace(crc, f"{crc}.aside")
+                broken += 1
+    assert broken >= 2
+    assert rows_of(kept.boxplot_stats(), "product_name") == expected
+
+
+def test_a_run_that_breaks_off_changes_nothing(spark, raw_rows, tmp_path, monkeypatch):
+    kept = IncrementalStatistics(Warehouse(spark, str(tmp_path)))
+    kept.warehouse.append_raw(batch(raw_rows, 1, 40), "a")
+    kept.update("a")
+    before, manifest = rows_of(kept.describe_numeric(), "column_name"), kept.manifest()
+    kept.warehouse.append_raw(batch(raw_rows, 2, 40), "a")
+
+    def breaks(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(IncrementalStatistics, "_publish", breaks)
+        with pytest.raises(RuntimeError):
+            kept.update("a")
+    assert kept.manifest() == manifest
+    assert rows_of(kept.describe_numeric(), "column_name") == before
+    opened = kept.describe_numeric()
+    kept.update("a")
+    # Who opened the former states still reads them; with the next publication they go.
+    assert rows_of(opened, "column_name") == before
+    assert_same(kept)
+    kept.update("a")
+    assert not glob.glob(f"{kept.base}/*/*/version={manifest['loads']['a']}")
+
+
+def test_no_loads(spark, tmp_path):
+    kept = IncrementalStatistics(Warehouse(spark, str(tmp_path)))
+    kept.update()
+    assert kept.describe_numeric().count() == 0 and kept.boxplot_stats().count() == 0
+
+
+def test_the_edge_of_a_bucket_is_within_a_thousandth(spark):
+    values = [0.0, 1.0, -1.0, 1e-300, -7.25, 123456789.0, 1.7e308]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").withColumn("edge", edge_of(bucket_of(F.col("v"))))
+    assert all(abs(r.v - r.edge) <= 1.1e-3 * abs(r.v) for r in rows.collect())
