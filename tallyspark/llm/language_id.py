@@ -3,13 +3,14 @@
 Text: a multinomial model of character trigrams for each language, learned from labelled
 rows, and an ``UNKNOWN`` class that finds every trigram equally likely. Declared markup
 language and address suffix: P(declared | language) and P(suffix | language). Host: a prior
-of the language, smoothed towards that of its suffix and that towards the whole corpus.
+of the language, smoothed towards that of its domain (the last two labels of an address) and
+that towards the whole corpus; the suffix is not a level of it and so speaks once.
 The tables behind the last three come from one grouped aggregation each over all rows,
 weighted by the text posteriors, so no label is needed there. The log terms add up.
 
 Defined results: a null or empty text has no likelihood; the other evidence decides alone.
 Absent host, suffix or declaration adds nothing. Only a text with letters can be accepted. Ties go to the first language by name.
-Repeated rows are each answered. Without labelled rows every answer is ``UNKNOWN``.
+Repeated rows are each answered; texts of any length are read whole. Without labelled rows every answer is ``UNKNOWN``.
 """
 
 from __future__ import annotations
@@ -176,24 +177,26 @@ def fuse(scored: DataFrame, model: TextModel) -> DataFrame:
     every = sum(total)
     world = F.array(*[F.lit((t + p) / (every + 1)) for t, p in zip(total, prior, strict=True)])
 
-    # Host priors: corpus -> suffix -> host.
-    hosts = _sums(rows.where("host IS NOT NULL"), ["suffix", "host"], classes, "host_mass")
-    ends = _sums(rows.where("host IS NOT NULL"), ["suffix"], classes, "suffix_mass")
+    # Host priors: corpus -> domain -> host.
+    domain = F.when(F.col("suffix").isNotNull(), F.substring_index("host", ".", -2))
+    rows = rows.withColumn("domain", domain)
+    hosts = _sums(rows.where("host IS NOT NULL"), ["domain", "host"], classes, "host_mass")
+    domains = _sums(rows.where("host IS NOT NULL"), ["domain"], classes, "domain_mass")
 
     def smoothed(mass: Column, above: Column) -> Column:
         size = F.aggregate(mass, F.lit(0.0), lambda a, x: a + x)
         return F.zip_with(mass, above, lambda m, p: (m + HOST_STRENGTH * p) / (size + HOST_STRENGTH))
 
-    ends = ends.select(
-        F.col("suffix").alias("end"), smoothed(F.col("suffix_mass"), world).alias("end_prior")
+    domains = domains.select(
+        F.col("domain").alias("_domain"), smoothed(F.col("domain_mass"), world).alias("domain_prior")
     )
-    hosts = hosts.join(ends, F.col("suffix").eqNullSafe(F.col("end"))).select(
-        F.col("suffix").alias("host_suffix"),
+    hosts = hosts.join(domains, F.col("domain").eqNullSafe(F.col("_domain"))).select(
+        F.col("domain").alias("host_domain"),
         F.col("host").alias("host_name"),
-        F.transform(smoothed(F.col("host_mass"), F.col("end_prior")), lambda x: F.ln(x)).alias("host_logs"),
+        F.transform(smoothed(F.col("host_mass"), F.col("domain_prior")), lambda x: F.ln(x)).alias("host_logs"),
     )
     out = rows.join(
-        hosts, F.col("suffix").eqNullSafe(F.col("host_suffix")) & (F.col("host") == F.col("host_name")), "left"
+        hosts, F.col("domain").eqNullSafe(F.col("host_domain")) & (F.col("host") == F.col("host_name")), "left"
     )
     for column in ("suffix", "declared"):
         logs = _likelihood(rows, column, total, DECLARED_STRENGTH)
@@ -203,8 +206,7 @@ def fuse(scored: DataFrame, model: TextModel) -> DataFrame:
     nothing = F.array(*[F.lit(0.0)] * classes)
     world_logs = F.transform(world, lambda x: F.ln(x))
     fused = F.zip_with("text_scores", F.coalesce("host_logs", world_logs), add)
-    # A host's prior already holds its suffix; the suffix speaks alone where there is no host.
-    fused = F.zip_with(fused, F.when(F.col("host_logs").isNull(), F.coalesce("suffix_logs", nothing)).otherwise(nothing), add)
+    fused = F.zip_with(fused, F.coalesce("suffix_logs", nothing), add)
     fused = F.zip_with(fused, F.coalesce("declared_logs", nothing), add)
     names = F.array(*[F.lit(name) for name in model.languages])
     out = out.withColumn("fused", _posterior(fused))

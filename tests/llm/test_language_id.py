@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +97,83 @@ def test_empty_tables(spark, labelled, model):
     docs = spark.createDataFrame([(1, "lolo", "s")], "doc_id long, text string, source string")
     assert language_id.identify(language_id.of_documents(docs), empty_model).first().lang_found == "und"
     assert language_id.identify(language_id.of_documents(docs.where("doc_id > 5")), model).collect() == []
+
+
+def brute_force(model, rows):
+    """The fused posterior of (text, host, suffix, declared) rows, key by key in plain loops."""
+    classes = len(model.languages)
+    flat = np.full(classes, (1 - language_id.UNKNOWN_PRIOR) / (classes - 1))
+    flat[-1] = language_id.UNKNOWN_PRIOR
+
+    def normal(logs):
+        shares = np.exp(logs - logs.max())
+        return shares / shares.sum()
+
+    texts = [model.scores(text) if text else np.zeros(classes) for text, *_ in rows]
+    own = [normal(scores + np.log(flat)) for scores in texts]
+    total = sum(own)
+    world = (total + flat) / (total.sum() + 1)
+
+    def mass(chosen):
+        return sum((p for p, row in zip(own, rows, strict=True) if chosen(row)), np.zeros(classes))
+
+    def smoothed(found, above):
+        return (found + language_id.HOST_STRENGTH * above) / (found.sum() + language_id.HOST_STRENGTH)
+
+    def domain_of(row):
+        return None if row[2] is None else ".".join(row[1].split(".")[-2:])
+
+    def likelihood(column, value):
+        if value is None:
+            return np.zeros(classes)
+        found = mass(lambda r: r[column] == value)
+        strength = language_id.DECLARED_STRENGTH
+        return np.log((found + strength * found.sum() / total.sum() + 1e-9) / (total + strength))
+
+    results = []
+    for scores, row in zip(texts, rows, strict=True):
+        prior = world
+        if row[1] is not None:
+            domain = smoothed(mass(lambda r: r[1] is not None and domain_of(r) == domain_of(row)), world)
+            prior = smoothed(mass(lambda r: (domain_of(r), r[1]) == (domain_of(row), row[1])), domain)
+        results.append(normal(scores + np.log(prior) + likelihood(2, row[2]) + likelihood(3, row[3])))
+    return results
+
+
+def test_posteriors_against_brute_force(spark, model):
+    """All kinds of evidence, present and absent, in agreement and not."""
+    rng = random.Random(6)
+    hosts = ["a.one.xx", "b.one.xx", "one.xx", "c.two.yy", "d.three.yy", "src1", None]
+    rows = []
+    for _ in range(120):
+        host = rng.choice(hosts)
+        lang = "yy" if host and host.endswith("yy") else rng.choice(["xx", "yy"])
+        text = rng.choice([None, "", "q", "9", sentence(lang, rng, 1), sentence(lang, rng, 12), "日本語のテキスト"])
+        suffix = host.rsplit(".")[-1] if host and "." in host else None
+        rows.append((text, host, suffix, rng.choice([None, lang, "zz"])))
+    found = {
+        r.page_id: r
+        for r in language_id.identify(evidence(spark, [(k, *row, "page") for k, row in enumerate(rows)]), model).collect()
+    }
+    for k, expected in enumerate(brute_force(model, rows)):
+        assert found[k].posterior_found == pytest.approx(expected.max(), rel=1e-9)
+        assert found[k].lang_found == model.languages[int(expected.argmax())]
+
+
+def test_a_suffix_speaks_beside_its_host(spark, model):
+    """A host seen once, whose text says nothing, has the language of its suffix."""
+    rng = random.Random(7)
+    known = [(k, sentence("yy", rng), f"h{k}.d{k}.yy", "yy", None, "page") for k in range(30)]
+    known += [(100 + k, sentence("xx", rng), f"h{k}.d{k}.xx", "xx", None, "page") for k in range(60)]
+    rows = [*known, (200, "q", "new.host.yy", "yy", None, "page"), (201, "q", "new.host", None, None, "page")]
+    found = {r.page_id: r.lang_found for r in language_id.identify(evidence(spark, rows), model).collect()}
+    assert (found[200], found[201]) == ("yy", "xx")
+
+
+def test_very_long_texts(spark, model):
+    rng = random.Random(8)
+    rows = [(1, sentence("yy", rng, 150_000), "s"), (2, "q" * 1_000_000, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.doc_id: r for r in language_id.identify(language_id.of_documents(docs), model).collect()}
+    assert found[1].lang_found == "yy" and found[1].accepted
+    assert not found[2].accepted
