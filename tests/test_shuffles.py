@@ -1,0 +1,114 @@
+"""What is moved: shuffles of the marts, of their stored states and of the raw rows."""
+
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyspark.functions import member_sets
+from tallyspark.operators import landing, marts
+from tallyspark.plans import incremental
+from tallyspark.plans.queries import landing as landing_queries
+from tallyspark.plans.queries.derived import raw_transactions
+from tallyspark.session import materialize, side_by_side
+from tallyspark.sources.tables import Warehouse
+
+
+
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def staged(spark):
+    """Transactions of one id under two customers and products, members that are NULL, and a row without tax."""
+    rows = [
+        (1, 7, 1, "A", "2.50", "0.10"),
+        (1, 8, 1, "A", "2.50", "0.10"),
+        (2, 7, 1, "A", "1.00", "0.20"),
+        (2, 7, None, "A", "1.00", "0.20"),
+        (3, 7, 2, "B", "4.00", None),
+    ]
+    text = spark.createDataFrame(rows, "t int, c int, p int, name string, price string, tax string")
+    return text.select(
+        F.col("t").alias("transaction_id"),
+        F.col("c").alias("customer_id"),
+        F.col("p").alias("product_id"),
+        F.col("name").alias("product_name"),
+        F.lit("2024-01-31").cast("date").alias("transaction_date"),
+        F.lit(2).alias("quantity"),
+        F.col("price").cast("decimal(26,10)"),
+        F.col("tax").cast("decimal(26,10)"),
+        F.lit(True).alias("is_valid"),
+        F.lit("2024-01-31 06:00:00").cast("timestamp_ntz").alias("loaded_at"),
+    )
+
+
+def test_distinct_aggregates_do_not_copy_the_rows(staged):
+    fact = marts.fact_transactions(staged)
+    for mart in (marts.agg_by_product(fact), marts.agg_by_customer(fact), marts.dim_customers(staged)):
+        assert "Expand" not in executed(mart)
+
+
+def test_slices_of_a_key_add_up(staged):
+    fact = marts.fact_transactions(staged)
+    product = {r.product_id: r for r in marts.agg_by_product(fact).collect()}
+    assert (product[1].total_transactions, product[1].customer_ids, product[1].count_different_customers) == (2, [7, 8], 2)
+    assert product[None].customer_ids == [7] and float(product[1].total_paid) == 12.4
+    customer = {r.customer_id: r for r in marts.agg_by_customer(fact).collect()}
+    assert (customer[7].product_ids, customer[7].total_transactions) == ([1, None], 2)
+    dimension = {r.customer_id: r for r in marts.dim_customers(staged).collect()}
+    assert (dimension[7].total_transactions, dimension[7].distinct_products_purchased) == (3, 2)
+    assert (float(dimension[7].total_tax_paid), float(dimension[7].avg_unit_price)) == (0.5, 2.13)
+
+
+def test_lines_meet_parts_before_orders(spark, tmp_path):
+    spark.sql("""SELECT 1L l_orderkey, 1 l_linenumber, 1L l_partkey, 1L l_suppkey, TIMESTAMP '1998-01-02' l_shipdate,
+        1D l_quantity, 2D l_extendedprice, 0.5D l_tax""").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("SELECT 1L o_orderkey, 5L o_custkey, TIMESTAMP '1998-01-01' o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("SELECT 1L p_partkey, 901.5D p_retailprice").write.parquet(f"{tmp_path}/part.parquet")
+    raw = raw_transactions(spark, str(tmp_path))
+    joins = [line for line in raw._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
+    assert "o_orderkey" in joins[0] and "p_partkey" in joins[1]
+    assert raw.first().price == "901.50"
+
+
+def test_hashes_of_ids_are_short(raw_rows):
+    rows = raw_rows({"transaction_id": "T1"}, {})
+    assert dict(landing._with_slot(rows, ["pos"]).dtypes)["__slot"] == "int"
+
+
+def test_intermediate_tables_are_packed(spark):
+    assert all(".zstd." in name for name in materialize(spark.range(9), "packed").inputFiles())
+
+
+def test_containers_take_one_shuffle(spark):
+    rows = spark.range(9).repartition(3).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    assert executed(member_sets.containers(rows, ["k"], {"s": "v"})).count("Exchange hashpartitioning") == 1
+
+
+def test_totals_and_containers_merge_in_one_grouping(staged):
+    mart = incremental.MARTS["agg_by_product"]()
+    totals, containers = (materialize(part, "part") for part in incremental.partial(mart, staged))
+    assert executed(incremental.merge(mart, totals, containers)).count("Exchange hashpartitioning") == 2
+
+
+def test_writes_run_side_by_side():
+    both = threading.Barrier(2, timeout=20)
+    assert len(side_by_side([both.wait, both.wait])) == 2
+    with pytest.raises(ZeroDivisionError):
+        side_by_side([lambda: 1, lambda: 1 // 0])
+
+
+def test_overwriting_computes_the_fact_once(spark, staged, monkeypatch):
+    monkeypatch.setattr(landing_queries, "fact", lambda *_: marts.fact_transactions(staged))
+    sources = []
+    overwrite = Warehouse.overwrite
+
+    def spying(self, name, df):
+        sources.append(df.inputFiles())
+        return overwrite(self, name, df)
+
+    monkeypatch.setattr(Warehouse, "overwrite", spying)
+    assert landing_queries.table_overwrite_sink(spark, "").count() == 4
+    assert len(sources) == 2 and sources[0] and sources[0] == sources[1]
