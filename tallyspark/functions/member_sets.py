@@ -21,13 +21,14 @@ NAME, BUCKET, MEMBERS = "set_name", "bucket", "members"
 def containers(rows: DataFrame, keys: Sequence[str], sets: Mapping[str, str]) -> DataFrame:
     """The containers of the named sets (name -> column) of every key; NULL is no member.
 
-    Values are made distinct by key and value first, which spreads a hot key.
+    One shuffle: tasks send their part of a container, which holds each member once, and no
+    container has more than 32,768 of them. A hot key spreads over its containers.
     """
     values = F.array(*[F.struct(F.lit(name).alias(NAME), F.col(column).cast("long").alias("v")) for name, column in sets.items()])
-    distinct = rows.select(*keys, F.inline(values)).where("v IS NOT NULL").distinct()
+    present = rows.select(*keys, F.inline(values)).where("v IS NOT NULL")
     low = F.col("v").bitwiseAND(F.lit((1 << _BITS) - 1)).cast("int")
-    return distinct.groupBy(*keys, NAME, F.shiftright("v", _BITS).alias(BUCKET)).agg(
-        F.sort_array(F.collect_list(low)).alias(MEMBERS)
+    return present.groupBy(*keys, NAME, F.shiftright("v", _BITS).alias(BUCKET)).agg(
+        F.sort_array(F.collect_set(low)).alias(MEMBERS)
     )
 
 

@@ -16,6 +16,7 @@ import json
 import uuid
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
+from functools import partial as partial_call
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -28,7 +29,7 @@ from tallyspark.functions.decimals import rounded_quotient
 from tallyspark.operators import marts
 from tallyspark.operators.staging import stage_transactions
 from tallyspark.schemas import AMOUNT_SCALE, MONEY
-from tallyspark.session import Scratch, delete, read_text, replace_text
+from tallyspark.session import CODEC, Scratch, delete, read_text, replace_text, side_by_side
 from tallyspark.sources.tables import Warehouse
 
 _SUM, _MIN, _MAX = F.sum, F.min, F.max
@@ -152,20 +153,18 @@ def partial(mart: Mart, staged: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def merge(mart: Mart, totals: DataFrame, containers: DataFrame) -> DataFrame:
-    """The mart of all rows behind the states."""
-    added = totals.groupBy(*mart.keys).agg(
-        *[merging(name).cast(totals.schema[name].dataType).alias(name) for name, (_, merging) in mart.totals.items()]
-    )
+    """The mart of all rows behind the states.
+
+    Totals and containers go to their key together, in one shuffle; the columns of the one
+    are NULL in the rows of the other, which every aggregate here passes over.
+    """
+    merged = [
+        merging(name).cast(totals.schema[name].dataType).alias(name) for name, (_, merging) in mart.totals.items()
+    ]
     sets = [member_sets.size_of(name).alias(f"n_{name}") for name in mart.sets]
     sets += [member_sets.members_of(name).alias(f"{name}_members") for name in mart.shown]
-    counted = member_sets.union(containers, mart.keys).groupBy(*mart.keys).agg(*sets)
-    # Side by side by grouping: a key may be NULL, and one without members has totals only.
-    columns = [c for c in (*added.columns, *counted.columns) if c not in mart.keys]
-    both = added.unionByName(counted, allowMissingColumns=True)
-    whole = both.groupBy(*mart.keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in columns])
-    none = {f"n_{name}": F.lit(0).cast("long") for name in mart.sets}
-    none |= {f"{name}_members": F.array().cast("array<int>") for name in mart.shown}
-    whole = whole.withColumns({c: F.coalesce(c, value) for c, value in none.items()})
+    parts = totals.unionByName(member_sets.union(containers, mart.keys), allowMissingColumns=True)
+    whole = parts.groupBy(*mart.keys).agg(*merged, *sets)
     return whole.select(*mart.keys, *[shown.alias(name) for name, shown in mart.result.items()])
 
 
@@ -229,8 +228,7 @@ class IncrementalMarts:
         loads = {load: v for load, v in before["loads"].items() if load not in changed}
         fresh = {load: uuid.uuid4().hex for load in changed if load in stored}
         replaced = [before["loads"][load] for load in changed if load in before["loads"]]
-        for load, version in fresh.items():
-            self._write_state(load, version)
+        side_by_side(partial_call(self._write_state, load, version) for load, version in fresh.items())
         loads |= fresh
         versions = {name: self._write_mart(name, before, loads, [*fresh.values(), *replaced]) for name in self.names}
         self._publish(before, loads, before["marts"] | versions)
@@ -238,9 +236,11 @@ class IncrementalMarts:
     def _write_state(self, load_id: str, version: str) -> None:
         with Scratch(self.warehouse.spark) as scratch:
             staged = scratch.materialize(stage_transactions(self.warehouse.raw_load(load_id), self.mode), "staged")
-            for name in self.names:
-                for part, rows in zip(("totals", "containers"), partial(MARTS[name](), staged), strict=True):
-                    rows.write.parquet(self._state(name, part, version))
+            side_by_side(
+                partial_call(rows.write.parquet, self._state(name, part, version), compression=CODEC)
+                for name in self.names
+                for part, rows in zip(("totals", "containers"), partial(MARTS[name](), staged), strict=True)
+            )
 
     def _write_mart(self, name: str, before: dict, loads: Mapping[str, str], touched: list[str]) -> str:
         mart, version = MARTS[name](), uuid.uuid4().hex
