@@ -16,6 +16,7 @@ import json
 import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from tallyspark.functions.cleaners import LENIENT
 from tallyspark.operators import marts, statistics
 from tallyspark.operators.quantiles import bucket_sums, merged_sums, range_of, value_counts
 from tallyspark.operators.staging import stage_transactions
-from tallyspark.session import Scratch, delete, read_text, replace_text
+from tallyspark.session import Scratch, delete, read_text, replace_text, side_by_side
 from tallyspark.sources.tables import Warehouse
 
 
@@ -84,9 +85,8 @@ class IncrementalStatistics:
         if not changed:
             return
         loads = {load: version for load, version in before.items() if load not in changed}
-        for load in changed:
-            if load in stored:
-                loads[load] = self._write(load)
+        fresh = [load for load in changed if load in stored]
+        loads |= zip(fresh, side_by_side(partial(self._write, load) for load in fresh), strict=True)
         self._publish(before, loads)
 
     def _write(self, load_id: str) -> str:
@@ -94,16 +94,20 @@ class IncrementalStatistics:
         with Scratch(spark) as scratch:
             fact = marts.fact_transactions(stage_transactions(self.warehouse.raw_load(load_id), self.mode))
             fact = scratch.materialize(fact.select("product_name", *statistics.FACT_MEASURES), "fact")
-            for name, sample in SAMPLES.items():
-                counts = value_counts(sample.rows(fact), sample.group, "value")
-                counts = scratch.materialize(counts.withColumn("range", range_of(F.col("bucket"))), name)
-                bucket_sums(counts, sample.group).write.parquet(self._path(name, "totals", version))
-                # Cut by size, so that a folder with many values is written by many tasks.
-                place = ["range", "bucket", "value"]
-                ordered = counts.repartitionByRange(*place).sortWithinPartitions(*place)
-                ordered.write.partitionBy("range").parquet(self._path(name, "values", version))
+            side_by_side(
+                partial(self._write_sample, scratch, fact, name, sample, version) for name, sample in SAMPLES.items()
+            )
         return version
 
+    def _write_sample(self, scratch: Scratch, fact: DataFrame, name: str, sample: Sample, version: str) -> None:
+        counts = value_counts(sample.rows(fact), sample.group, "value")
+        counts = scratch.materialize(counts.withColumn("range", range_of(F.col("bucket"))), name)
+        bucket_sums(counts, sample.group).write.parquet(self._path(name, "totals", version))
+        # Cut by size, so that a folder with many values is written by many tasks.
+        place = ["range", "bucket", "value"]
+        ordered = counts.repartitionByRange(*place).sortWithinPartitions(*place)
+        ordered.write.partitionBy("range").parquet(self._path(name, "values", version))
+
     def _publish(self, before: Mapping[str, str], loads: Mapping[str, str]) -> None:
         former = self.manifest()["former"]
         content = {"loads": loads, "former": sorted(before.values())}
