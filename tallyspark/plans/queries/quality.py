@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.operators import marts, quality
 from tallyspark.plans.queries.base import fact, query, staged
-from tallyspark.session import materialize
+from tallyspark.session import materialize, side_by_side
 
 _FACT_CHECKS = quality.SUITE["fact_transactions"]
 
@@ -28,10 +30,11 @@ def suite_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "agg_by_customer_product": marts.agg_by_customer_product(facts),
         "agg_by_product": marts.agg_by_product(facts),
     }
+    written = side_by_side(partial(materialize, df, name) for name, df in derived.items())
     return {
         "stg_customer_transactions": staging,
         "fact_transactions": facts,
-        **{name: materialize(df, name) for name, df in derived.items()},
+        **dict(zip(derived, written, strict=True)),
     }
 
 
