@@ -60,8 +60,8 @@ def land(
     with Scratch(warehouse.spark) as scratch:
         staged = scratch.materialize(landing.enforce_lengths(batch), "batch")
         target = warehouse.raw_candidates(staged, load_id)
-        rows = landing.land_batch(staged, target, position)
-        warehouse.append_raw(landing.stamp_load(rows, batch_ts), load_id, staged.count(), position)
+        rows = landing.land_slotted(staged, target, position)
+        warehouse.append_raw(landing.stamp_load(rows, batch_ts), load_id, staged.count(), position, dealt=True)
         return _local(landing.load_metrics(staged, warehouse.raw_load(load_id)))
 
 

@@ -101,7 +101,7 @@ CSV_WRITE_OPTIONS = {
 }
 
 
-def write_transactions(rows: DataFrame, path: str) -> None:
-    """Write raw rows as CSV files with a header."""
+def write_transactions(rows: DataFrame, path: str, compression: str | None = None) -> None:
+    """Write raw rows as CSV files with a header; a packed file is read by one task."""
     columns = rows.select(*RAW_COLUMNS)
-    columns.write.mode("overwrite").options(header="true", **CSV_WRITE_OPTIONS).csv(path)
+    columns.write.mode("overwrite").options(header="true", **CSV_WRITE_OPTIONS).csv(path, compression=compression)

@@ -120,3 +120,29 @@ def test_no_index_no_loads(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))
     assert warehouse.raw_candidates(rows_of(spark, 0, 3), "a") is None
     landing.land_batch(rows_of(spark, 0, 3), None, ["pos"]).collect()
+
+
+def test_cells_follow_the_tasks():
+    """No bucket and no block of a large load is spread over tasks; small loads keep few blocks."""
+    for rows in (10**6, 36 * 10**6, 216 * 10**6, 10**9):
+        buckets, blocks = id_index.geometry(rows, 200)
+        assert (buckets * blocks) % 200 == 0 and (200 % buckets == 0 or buckets % 200 == 0)
+        assert rows <= buckets * blocks * id_index.BLOCK_IDS < 4 * rows
+    assert id_index.geometry(5000, 200) == id_index.geometry(5000)
+
+
+def test_landed_rows_lie_in_their_buckets(spark, tmp_path, monkeypatch):
+    """The shuffle that finds the winners is the only one of the rows."""
+    monkeypatch.setattr(id_index, "BUCKET_BLOCKS", 1)
+    monkeypatch.setattr(id_index, "BLOCK_IDS", 250)
+    rows = rows_of(spark, 0, 900).withColumn("transaction_id", F.when(F.col("pos") % 9 > 0, F.col("transaction_id")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        landed = landing.land_slotted(rows, None, ["pos"])
+        bucket = id_index.bucket_of(4, ["pos"], F.col(id_index.SLOT))
+        assert landed.select(F.spark_partition_id(), bucket).distinct().count() == 4
+        monkeypatch.setattr(type(rows), "repartition", lambda *_: pytest.fail("landed rows are shuffled again"))
+        assert tuple(land(Warehouse(spark, str(tmp_path)), rows, "a", "2024-01-01 00:00:00", ["pos"]).first()) == (900, 900, 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(files(Warehouse(spark, str(tmp_path)).raw())) == 4

@@ -11,6 +11,8 @@ from tallyspark.plans import incremental
 from tallyspark.plans.queries import landing as landing_queries
 from tallyspark.plans.queries.derived import raw_transactions
 from tallyspark.session import materialize, side_by_side
+from tallyspark.sources.csv_source import write_transactions
+from tallyspark.sources import id_index
 from tallyspark.sources.tables import Warehouse
 
 
@@ -112,3 +114,34 @@ def test_overwriting_computes_the_fact_once(spark, staged, monkeypatch):
     monkeypatch.setattr(Warehouse, "overwrite", spying)
     assert landing_queries.table_overwrite_sink(spark, "").count() == 4
     assert len(sources) == 2 and sources[0] and sources[0] == sources[1]
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    spark.sql("""SELECT 1L l_orderkey, 1 l_linenumber, 1L l_partkey, 1L l_suppkey, TIMESTAMP '1998-01-02' l_shipdate,
+        1D l_quantity, 2D l_extendedprice, 0.5D l_tax""").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("SELECT 1L o_orderkey, 5L o_custkey, TIMESTAMP '1998-01-01' o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("SELECT 1L p_partkey, 901.5D p_retailprice").write.parquet(f"{tmp_path}/part.parquet")
+    return str(tmp_path)
+
+
+def test_streamed_lines_are_put_in_order_as_numbers(spark, tables, monkeypatch):
+    sources = []
+
+    def spying(rows, path, **options):
+        sources.append((rows._jdf.queryExecution().optimizedPlan().toString(), path))
+        write_transactions(rows, path, **options)
+
+    monkeypatch.setattr(landing_queries, "write_transactions", spying)
+    assert landing_queries.landing_stream(spark, tables).first().customer_id == "5.0"
+    (plan, path), = sources
+    assert plan.index("Product ") < plan.index("RepartitionByExpression")
+    assert all(name.endswith(".csv.gz") for name in spark.read.text(path).inputFiles())
+
+
+def test_landed_rows_leave_their_position(spark, raw_rows, tmp_path, monkeypatch):
+    """Rows without id are dealt by the slot they have; the position stays behind the window."""
+    monkeypatch.setattr(id_index, "slot", lambda _: pytest.fail("the position is read again"))
+    rows = raw_rows({"transaction_id": "T1"}, {}).withColumn("__slot", F.lit(1))
+    Warehouse(spark, str(tmp_path)).append_raw(rows, "a", 2, ["pos"], dealt=True)
+    assert Warehouse(spark, str(tmp_path)).raw().count() == 2
