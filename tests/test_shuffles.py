@@ -139,9 +139,27 @@ def test_streamed_lines_are_put_in_order_as_numbers(spark, tables, monkeypatch):
     assert all(name.endswith(".csv.gz") for name in spark.read.text(path).inputFiles())
 
 
+def test_stored_rows_win_as_numbers(spark, tables):
+    stored, _ = landing_queries._stored_and_lines(spark, tables)
+    plan = stored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Product ") < plan.index("Window [")
+    assert tuple(stored.first())[:4] == ("T11", "5.0", "1998-01-01", "P1")
+
+
 def test_landed_rows_leave_their_position(spark, raw_rows, tmp_path, monkeypatch):
     """Rows without id are dealt by the slot they have; the position stays behind the window."""
     monkeypatch.setattr(id_index, "slot", lambda _: pytest.fail("the position is read again"))
     rows = raw_rows({"transaction_id": "T1"}, {}).withColumn("__slot", F.lit(1))
     Warehouse(spark, str(tmp_path)).append_raw(rows, "a", 2, ["pos"], dealt=True)
     assert Warehouse(spark, str(tmp_path)).raw().count() == 2
+
+
+def test_rows_of_one_line_land_together(spark, tables):
+    """A part that comes twice gives two rows of one position, which both win."""
+    part = spark.read.parquet(f"{tables}/part.parquet").collect()
+    spark.createDataFrame(part + part, "p_partkey long, p_retailprice double").write.parquet(f"{tables}/twice.parquet")
+    spark.read.parquet(f"{tables}/twice.parquet").write.mode("overwrite").parquet(f"{tables}/part.parquet")
+    spark.sql("""SELECT 1L l_orderkey, 1 l_linenumber, 1L l_partkey, 1L l_suppkey, TIMESTAMP '1998-08-02' l_shipdate,
+        1D l_quantity, 2D l_extendedprice, 0.5D l_tax""").write.mode("overwrite").parquet(f"{tables}/lineitem.parquet")
+    assert landing_queries.landing_indexed(spark, tables).count() == 2
+    assert landing_queries.landing_skip_existing(spark, tables).count() == 2
