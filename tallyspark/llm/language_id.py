@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import codes, release, small_batches, without
+from tallyspark.llm.common import codes, forget, release, small_batches, without
 from tallyspark.session import materialize
 
 UNKNOWN = "und"
@@ -83,6 +83,7 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> TextModel:
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -96,6 +97,7 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> TextModel:
                 [pa.array([lang] * len(used), pa.string()), pa.array(used), pa.array(own[used])],
                 ["lang", "bucket", "n"],
             )
+        release()
 
     counted = (
         rows.select("lang", "text")
@@ -122,6 +124,7 @@ def score_texts(rows: DataFrame, model: TextModel) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         own = shared.value
         for batch in batches:
             texts = batch.column(0).to_pylist()

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 
 
 def fit_hinge(
-    rows: list[np.ndarray], values: list[np.ndarray], signs: np.ndarray, costs: np.ndarray, width: int, passes: int
+    rows: list[np.ndarray], values: Sequence[np.ndarray], signs: np.ndarray, costs: np.ndarray, width: int, passes: int
 ) -> np.ndarray:
     """Weights (the last is the bias) that minimise |w|^2 / 2 + sum cost * hinge.
 
     One dual variable at a time takes its optimal step; ``rows`` hold feature numbers and
-    ``values`` their values. Passes end early when no step moves the weights.
+    ``values`` their values, which may be made when asked for. Passes end early when no step moves the weights.
     """
     weights = np.zeros(width + 1)
     dual = np.zeros(len(rows))

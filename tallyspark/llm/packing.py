@@ -20,14 +20,13 @@ import random
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import CACHED_CHARS, Memo, release, small_batches
+from tallyspark.llm.common import CACHED_CHARS, Memo, forget, keep, release, small_batches
 from tallyspark.session import materialize
 
 TOKENIZER = "word_bpe_49k.json"
@@ -176,12 +175,11 @@ class WordEncoder:
         return out
 
 
-@lru_cache(maxsize=2)
 def encoder(name: str = TOKENIZER) -> WordEncoder:
-    """The encoder of a public tokenizer, once a process."""
+    """The encoder of a public tokenizer, once a process until another operator's tasks run there."""
     import public_tokenizers
 
-    return WordEncoder(public_tokenizers.path(name))
+    return keep(("word encoder", name), lambda: WordEncoder(public_tokenizers.path(name)))
 
 
 def pieces_of(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY) -> DataFrame:
@@ -364,6 +362,7 @@ def _islands(rows: DataFrame, capacity: int) -> DataFrame:
     """First epoch: one row per block and island with its pieces and its best solution."""
 
     def found(table: pa.Table) -> pa.Table:
+        forget()
         names = [name for name, _ in _PAYLOAD]
         table = table.sort_by([(name, "ascending") for name in names])
         columns = {name: table.column(name).to_pylist() for name in names}
@@ -372,7 +371,9 @@ def _islands(rows: DataFrame, capacity: int) -> DataFrame:
         groups = evolve(sizes, [], block * ISLANDS + island, capacity)
         row = {f"{name}s": values for name, values in columns.items()}
         row |= {"block": block, "island": island, "n_bins": len(groups)}
-        return pa.Table.from_pylist([row | {"bins": _as_numbers(groups, len(sizes))}], _STATE)
+        done = pa.Table.from_pylist([row | {"bins": _as_numbers(groups, len(sizes))}], _STATE)
+        release()
+        return done
 
     spread = rows.withColumn("island", F.explode(F.array(*[F.lit(k) for k in range(ISLANDS)])))
     return spread.groupBy("block", "island").applyInArrow(found, _STATE_DDL)
@@ -385,6 +386,7 @@ def _migrated(state: DataFrame, epoch: int, capacity: int) -> DataFrame:
     )
 
     def go_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for row in batch.to_pylist():
                 elites = [_as_groups(row["bins"]), _as_groups(row.pop("guest"))]
@@ -392,6 +394,7 @@ def _migrated(state: DataFrame, epoch: int, capacity: int) -> DataFrame:
                 groups = evolve(row["lengths"], elites, seed, capacity)
                 row["bins"], row["n_bins"] = _as_numbers(groups, len(row["lengths"])), len(groups)
                 yield pa.RecordBatch.from_pylist([row], _STATE)
+        release()
 
     return state.join(guests, ["block", "island"]).mapInArrow(go_on, _STATE_DDL)
 
@@ -414,6 +417,7 @@ def _placed(best: DataFrame, base: int, least: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
                 )
+        release()
 
     return best.mapInArrow(
         place,

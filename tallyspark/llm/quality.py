@@ -12,8 +12,9 @@ held out. Without labelled rows of both classes every score is 0.5.
 
 from __future__ import annotations
 
+import itertools
 import pickle
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -112,10 +113,31 @@ class Model:
         return linear.logistic(self.slope * self.margin(features) + self.shift)
 
 
-def train(texts: list[str], labels: np.ndarray) -> Model:
-    """Fit on texts in the given order; every ``CALIBRATION_SHARE``-th row calibrates."""
+class _Scaled(Sequence):
+    """The values of each row's indicators, made when asked for: only their numbers stay in memory."""
+
+    def __init__(self, rows: list[np.ndarray], ratio: np.ndarray):
+        self.rows, self.ratio = rows, ratio
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, k: int) -> np.ndarray:
+        row = self.rows[k]
+        return self.ratio[row] / max(len(row), 1) ** 0.5
+
+
+def train(rows: Iterable[tuple[str, int]]) -> Model:
+    """Fit on (text, label) in the given order; every ``CALIBRATION_SHARE``-th row calibrates.
+
+    A text is let go once its features are known; those take 4 bytes each.
+    """
     features = Features()
-    found = [features.of(text) for text in texts]
+    found, marked = [], []
+    for text, label in rows:
+        found.append(features.of(text).astype(np.int32))
+        marked.append(label)
+    labels = np.array(marked, np.int64)
     if len(set(labels.tolist())) < 2:
         return Model(np.zeros(_BUCKETS), 0.0, 1.0, 0.0)
     aside = np.arange(len(labels)) % CALIBRATION_SHARE == 0
@@ -128,9 +150,8 @@ def train(texts: list[str], labels: np.ndarray) -> Model:
     signs = np.where(labels[learn] == 1, 1.0, -1.0)
     share = max(float((signs > 0).mean()), 1e-3), max(float((signs < 0).mean()), 1e-3)
     costs = np.where(signs > 0, 0.5 / share[0], 0.5 / share[1]) * COST
-    rows = [found[k] for k in learn]
-    values = [ratio[r] / max(len(r), 1) ** 0.5 for r in rows]
-    weights = linear.fit_hinge(rows, values, signs, costs, _BUCKETS, PASSES)
+    learnt = [found[k] for k in learn]
+    weights = linear.fit_hinge(learnt, _Scaled(learnt, ratio), signs, costs, _BUCKETS, PASSES)
     model = Model((weights[:-1] * ratio), float(weights[-1]), 1.0, 0.0)
     margins = np.array([model.margin(found[k]) for k in np.flatnonzero(aside)])
     model.slope, model.shift = linear.calibrate(margins, labels[aside])
@@ -138,17 +159,29 @@ def train(texts: list[str], labels: np.ndarray) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE_ROWS) -> Model:
-    """Fit in one task on at most ``rows`` labelled documents outside the held-out fold."""
+    """Fit in one task on at most ``rows`` labelled documents outside the held-out fold.
+
+    Spark puts the rows in order; the task reads their texts batch by batch.
+    """
     common.small_batches(docs.sparkSession)
     sample = common.labelled_sample(docs, labels, label, rows)
 
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("order", "ascending"), ("text", "ascending")])
-        model = train(table.column("text").to_pylist(), np.array(table.column("label").to_pylist(), np.int64))
-        return pa.table({"model": pa.array([pickle.dumps(model)], pa.binary())})
-
-    ordered = sample.select("text", "label", F.xxhash64("doc_id").alias("order"), F.lit(0).alias("one"))
-    fitted = ordered.groupBy("one").applyInArrow(run, "model binary").collect()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.forget()
+        read = (
+            pair
+            for batch in batches
+            for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+        )
+        first = next(read, None)
+        if first is not None:
+            model = pickle.dumps(train(itertools.chain([first], read)))
+            common.release()
+            yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
+
+    one = sample.select("text", "label", F.xxhash64("doc_id").alias("order")).repartition(1)
+    ordered = one.sortWithinPartitions("order", "text", "label").select("text", "label")
+    fitted = ordered.mapInArrow(run, "model binary").collect()
     return pickle.loads(fitted[0].model) if fitted else Model(np.zeros(_BUCKETS), 0.0, 1.0, 0.0)
 
 
@@ -161,6 +194,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.forget()
         own, features = shared.value, Features()
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()

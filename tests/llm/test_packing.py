@@ -1,6 +1,7 @@
 """Ids against the tokenizer, packings against their rules and the lower bound."""
 
 import random
+import weakref
 import zlib
 
 import numpy as np
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallyspark.llm import packing
+from tallyspark.llm import common, packing
 
 EDGES = [
     "", "a", "don't it's 'S we'LL", "日本 ΣΑΣ İstanbul <|endoftext|> x", "<|ENDOFTEXT|>", "\ta b\x1cc\x85d  e\r\n",
@@ -22,6 +23,13 @@ def tokenizer():
     return Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
 
 
+def test_a_process_keeps_the_encoder_until_another_operator_runs():
+    kept = weakref.ref(packing.encoder())
+    assert packing.encoder() is kept()
+    common.forget()
+    assert kept() is None
+
+
 def ids_of(tokenizer, text):
     return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
 

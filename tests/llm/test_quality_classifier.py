@@ -1,6 +1,8 @@
 """Held-out accuracy, the dual solver against a plain one, defined results."""
 
 import random
+import string
+import tracemalloc
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -83,6 +85,28 @@ def test_indicators_are_distinct_and_repeats_are_seen():
     assert len(set(shapes.tolist())) >= 5
 
 
+def test_training_keeps_neither_texts_nor_values():
+    rng = random.Random(4)
+    texts = ["".join(rng.choices(string.ascii_letters, k=20_000)) for _ in range(200)]
+    features = quality.Features()
+    indicators = sum(len(features.of(text)) for text in texts)
+    tracemalloc.start()
+    model = quality.train((text, k % 2) for k, text in enumerate(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.weights.any() and indicators > 3_000_000
+    assert peak < 8 * indicators + 20_000_000
+
+
+def test_rows_are_learnt_in_one_order(spark):
+    rows = corpus(300, 5)
+    rows += [(k, text + " again", label) for k, text, label in rows[:100]]
+    docs, _ = frames(spark, rows)
+    _, labels = frames(spark, rows[:300] + [(k, text, 1 - label) for k, text, label in rows[:20]])
+    one, two = quality.fit(docs, labels), quality.fit(docs.repartition(7), labels.repartition(3))
+    assert np.array_equal(one.weights, two.weights) and (one.slope, one.shift) == (two.slope, two.shift)
+
+
 def test_defined_results(spark):
     docs, labels = frames(spark, corpus(100, 3))
     model = quality.fit(docs, labels)
