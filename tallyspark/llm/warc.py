@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import small_batches
+from tallyspark.llm.common import short_reads, small_batches
 from tallyspark.session import materialize, scratch_path
 
 MAGIC = b"\x1f\x8b\x08"
@@ -92,6 +92,7 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
     """Write (page_id, url, html) below ``folder``; return the written manifest."""
     spark = pages.sparkSession
     small_batches(spark)
+    short_reads(spark)
     rows = pages.select(
         "page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload")
     ).withColumn("key", F.sha2("payload", 256))
@@ -101,7 +102,8 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
         .where("n > 1")
         .drop("n")
     )
-    marked = rows.join(same, "key", "left").select(
+    # Only the short side is held: a sort would hold the payloads.
+    marked = rows.join(same.hint("shuffle_hash"), "key", "left").select(
         "page_id",
         "url",
         "payload",
@@ -128,7 +130,8 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
             shown = folder[: len(folder) - len(base)] + path if folder.endswith(base) else path
             yield pa.RecordBatch.from_pylist([{"path": shown, "bytes": size, "records": count}])
 
-    return materialize(marked.mapInArrow(write_part, MANIFEST), "warc-manifest")
+    # One row an archive: they go into one file, not into one for each task.
+    return materialize(marked.mapInArrow(write_part, MANIFEST).repartition(1), "warc-manifest")
 
 
 class _Source:
@@ -248,13 +251,18 @@ def records_in(file, size: int, start: int, stop: int) -> Iterable[tuple[int, di
 def read(archives: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Records of the archives (path, bytes), read by ranges of ``split_bytes``."""
     spark = archives.sparkSession
-    total = archives.agg(F.coalesce(F.sum(F.ceil(F.col("bytes") / split_bytes)), F.lit(0))).first()[0]
+    held = archives.agg(
+        F.coalesce(F.sum(F.ceil(F.col("bytes") / split_bytes)), F.lit(0)).alias("ranges"),
+        F.coalesce(F.ceil(F.sum("bytes") / split_bytes), F.lit(0)).alias("full"),
+    ).first()
+    # Small archives share a task, as long as every core has one.
+    tasks = max(int(held.full), min(int(held.ranges), spark.sparkContext.defaultParallelism), 1)
     ranges = (
         archives.where("bytes > 0")
         .select(
             "path", "bytes", F.explode(F.expr(f"sequence(0L, bytes - 1, {split_bytes}L)")).alias("start")
         )
-        .repartition(max(1, int(total)), "path", "start")
+        .repartition(tasks)
     )
     schema = pa.schema(
         [

@@ -62,6 +62,43 @@ def test_every_split_size_finds_each_record_once(spark, pages, split):
     assert bodies == sorted(kept)
 
 
+def test_small_archives_share_files_and_tasks(spark):
+    cores, parts = spark.sparkContext.defaultParallelism, 24
+    pages = spark.range(200).select(
+        F.col("id").alias("page_id"), F.lit("u").alias("url"), (F.col("id") % 150).cast("string").alias("html")
+    )
+    changed = {"spark.sql.shuffle.partitions": str(parts), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    try:
+        archives = warc.write(pages, scratch_path(spark, "warc"))
+        assert archives.count() > cores and len(archives.inputFiles()) == 1
+        back = materialize(warc.read(archives), "few")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(back.inputFiles()) <= cores
+    assert back.count() == 200 and back.where("record_type = 'revisit'").count() == 50
+
+
+def test_payloads_are_not_sorted(spark, pages, monkeypatch):
+    plans = []
+
+    def seen(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialize(df, label)
+
+    monkeypatch.setattr(warc, "materialize", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        warc.write(pages, scratch_path(spark, "warc"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "ShuffledHashJoin" in plans[0] and "Sort" not in plans[0]
+
+
 def test_archives_are_plain_gzip(spark, pages):
     archives = warc.write(pages, scratch_path(spark, "warc"))
     text = b"".join(gzip.open(r.path.removeprefix("file:")).read() for r in archives.collect())
