@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import codes, mix, small_batches
+from tallyspark.llm.common import codes, mix, short_reads, small_batches
 from tallyspark.session import materialize
 
 PRIME = (1 << 31) - 1
@@ -235,6 +235,7 @@ def against_next(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     small_batches(spark)
+    short_reads(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))

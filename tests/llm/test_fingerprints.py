@@ -67,6 +67,14 @@ def test_against_next(spark, parts):
     assert same[0].fingerprint == same[1].fingerprint and max(r.near_next for r in same) == 1.0
 
 
+def test_texts_are_read_in_short_vectors(spark, tmp_path):
+    path, key = str(tmp_path / "docs.parquet"), "spark.sql.parquet.columnarReaderBatchSize"
+    spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("abcdefgh").alias("text")).coalesce(1).write.parquet(path)
+    spark.conf.unset(key)
+    assert fp.against_next(spark.read.parquet(path)).count() == 3000
+    assert int(spark.conf.get(key)) <= 500
+
+
 def test_empty_and_single(spark):
     docs = spark.createDataFrame([(1, "abcdefgh")], "doc_id long, text string")
     assert fp.against_next(docs.where("doc_id > 1")).collect() == []
