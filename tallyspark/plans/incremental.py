@@ -29,7 +29,7 @@ from tallyspark.functions.decimals import rounded_quotient
 from tallyspark.operators import marts
 from tallyspark.operators.staging import stage_transactions
 from tallyspark.schemas import AMOUNT_SCALE, MONEY
-from tallyspark.session import CODEC, Scratch, delete, read_text, replace_text, side_by_side
+from tallyspark.session import CODEC, Scratch, delete, read_text, replace_text, shuffles_deleted, side_by_side
 from tallyspark.sources.tables import Warehouse
 
 _SUM, _MIN, _MAX = F.sum, F.min, F.max
@@ -259,7 +259,8 @@ class IncrementalMarts:
                 rows = rows.unionByName(merge(mart, *anew))
         if rows is None:
             rows = merge(mart, *partial(mart, stage_transactions(self.warehouse.raw(), self.mode)))
-        rows.write.parquet(self._mart(name, version))
+        with shuffles_deleted(self.warehouse.spark):
+            rows.write.parquet(self._mart(name, version))
         return version
 
     def _publish(self, before: dict, loads: dict[str, str], versions: dict[str, str]) -> None:

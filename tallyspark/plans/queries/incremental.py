@@ -12,7 +12,7 @@ from tallyspark.plans.incremental import IncrementalMarts
 from tallyspark.plans.incremental_statistics import IncrementalStatistics
 from tallyspark.plans.queries.base import landed, query
 from tallyspark.plans.queries.statistics import BOXPLOT_SQL, DESCRIBE_SQL, rounded
-from tallyspark.session import materialize, scratch_path
+from tallyspark.session import Scratch, scratch_path
 from tallyspark.sources.tables import Warehouse
 
 # name -> its array column, shown as text.
@@ -34,17 +34,18 @@ def _updated(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _load(spark: SparkSession, sf_dir: str, warehouse: Warehouse, update: Callable[..., None]) -> None:
     """Three loads, one of them wrong at first, and one that is emptied again."""
-    rows = materialize(landed(spark, sf_dir), "landed")
-    part = F.pmod(F.xxhash64("transaction_id", "customer_id", "price", "tax"), F.lit(3))
-    warehouse.append_raw(rows.where(part == 0), "load-1")
-    warehouse.append_raw(rows.where("quantity LIKE '2%'"), "load-2")
-    update("load-1", "load-2")
-    warehouse.append_raw(rows.where(part == 1), "load-2")
-    warehouse.append_raw(rows.where("product_name = 'Product A'"), "load-3")
-    update("load-2", "load-3")
-    warehouse.append_raw(rows.where("false"), "load-3")
-    warehouse.append_raw(rows.where(part == 2), "load-4")
-    update("load-3", "load-4")
+    with Scratch(spark) as scratch:
+        rows = scratch.materialize(landed(spark, sf_dir), "landed")
+        part = F.pmod(F.xxhash64("transaction_id", "customer_id", "price", "tax"), F.lit(3))
+        warehouse.append_raw(rows.where(part == 0), "load-1")
+        warehouse.append_raw(rows.where("quantity LIKE '2%'"), "load-2")
+        update("load-1", "load-2")
+        warehouse.append_raw(rows.where(part == 1), "load-2")
+        warehouse.append_raw(rows.where("product_name = 'Product A'"), "load-3")
+        update("load-2", "load-3")
+        warehouse.append_raw(rows.where("false"), "load-3")
+        warehouse.append_raw(rows.where(part == 2), "load-4")
+        update("load-3", "load-4")
 
 
 for _name in _ARRAYS:

@@ -1,12 +1,15 @@
 """What a query leaves on disk while it runs: shuffle files, intermediate tables, and no part of its work."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.operators import marts
+from tallyspark.plans import queries as catalog
 from tallyspark.plans.queries import base
 from tallyspark.plans.queries import landing as landing_queries
-from tallyspark.session import Scratch, materialize, shuffles_deleted
+from tallyspark.session import Scratch, materialize, shared_dir, shuffles_deleted
 from tallyspark.sources.tables import Warehouse
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -93,3 +96,22 @@ def test_landed_rows_win_as_numbers(spark, tables):
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Product ") < plan.index("Window [")
     assert tuple(rows.first())[:4] == ("T11", "5.0", "1998-01-01", "P1")
+
+
+def shared_names(spark):
+    """Tables and folders below the shared one."""
+    folder = f"{shared_dir(spark)}/tallyspark"
+    return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+
+def labels(names):
+    return sorted(name.rsplit("-", 1)[0] for name in names)
+
+
+@pytest.mark.parametrize("name", ["dim_customers", "agg_by_customer", "agg_by_customer_product"])
+def test_stored_marts_leave_no_landing(spark, tables, name):
+    before, files = shared_names(spark), shuffle_files(spark)
+    mart = catalog.queries()[f"incremental_{name}"](spark, tables)
+    assert shuffle_files(spark) <= files
+    assert labels(shared_names(spark) - before) == ["incremental"]
+    assert [(r.customer_id, r.total_transactions) for r in mart.collect()] == [(5, 1)]
