@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.operators import marts, quality
 from tallyspark.plans.queries.base import fact, query, staged
-from tallyspark.session import materialize, side_by_side
+from tallyspark.session import Scratch, materialize, side_by_side
 
 _FACT_CHECKS = quality.SUITE["fact_transactions"]
 
@@ -22,7 +22,8 @@ _SQL_LAYER = {name: name for name in quality.SUITE} | {
 
 def suite_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The checked tables, written once each: every check reads its table again."""
-    staging = materialize(staged(spark, sf_dir), "staged")
+    with Scratch(spark) as scratch:
+        staging = materialize(staged(spark, sf_dir, scratch.materialize), "staged")
     facts = materialize(marts.fact_transactions(staging), "fact")
     derived = {
         "dim_customers": marts.dim_customers(staging),

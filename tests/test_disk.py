@@ -115,3 +115,11 @@ def test_stored_marts_leave_no_landing(spark, tables, name):
     assert shuffle_files(spark) <= files
     assert labels(shared_names(spark) - before) == ["incremental"]
     assert [(r.customer_id, r.total_transactions) for r in mart.collect()] == [(5, 1)]
+
+
+def test_suite_leaves_no_landing(spark, tables):
+    before, files = shared_names(spark), shuffle_files(spark)
+    report = catalog.queries()["dq_suite"](spark, tables)
+    assert shuffle_files(spark) <= files
+    assert not {"landed", "run"} & {*labels(shared_names(spark) - before)}
+    assert {r.failures for r in report.collect()} == {0} and report.count() == 29
