@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallyspark.functions.cleaners import LENIENT
 from tallyspark.operators import audit, landing, marts, quality, star
@@ -18,6 +19,8 @@ from tallyspark.sources.tables import Warehouse
 # Fixed value: how many tables are rebuilt at a time.
 PARALLEL_TABLES = 4
 
+_FILE = "__file"
+
 FROM_STAGING: Mapping[str, Callable[[DataFrame], DataFrame]] = {
     "fact_transactions": marts.fact_transactions,
     "dim_customers": marts.dim_customers,
@@ -60,11 +63,25 @@ def land(
     with Scratch(warehouse.spark) as scratch:
         staged = scratch.materialize(landing.enforce_lengths(batch), "batch")
         target = warehouse.raw_candidates(staged, load_id)
-        rows = landing.land_slotted(staged, target, position)
+        if tuple(position) == FILE_POSITION:
+            rows = landing.land_slotted(_files_numbered(staged), target, (_FILE, *FILE_POSITION[1:]))
+        else:
+            rows = landing.land_slotted(staged, target, position)
         warehouse.append_raw(landing.stamp_load(rows, batch_ts), load_id, staged.count(), position, dealt=True)
         return _local(landing.load_metrics(staged, warehouse.raw_load(load_id)))
 
 
+def _files_numbered(staged: DataFrame) -> DataFrame:
+    """The file's number in the order of the names for its path: rows are sorted and moved without a long text.
+
+    The driver sees the names of the files, as it does when it lists them.
+    """
+    name = FILE_POSITION[0]
+    names = sorted((row[0] for row in staged.select(name).distinct().collect() if row[0] is not None), key=str.encode)
+    numbers = staged.sparkSession.createDataFrame([(n, i) for i, n in enumerate(names)], f"{name} string, {_FILE} int")
+    return staged.join(F.broadcast(numbers), name, "left").drop(name)
+
+
 def _local(report: DataFrame) -> DataFrame:
     """A report of a few rows, kept without the tables it was made from."""
     return report.sparkSession.createDataFrame(report.collect(), report.schema)

@@ -5,11 +5,14 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tallyspark.operators import marts
+from tallyspark.operators import landing, marts
+from tallyspark.plans import daily_run
 from tallyspark.plans import queries as catalog
 from tallyspark.plans.queries import base
 from tallyspark.plans.queries import landing as landing_queries
+from tallyspark.schemas import RAW_COLUMNS
 from tallyspark.session import Scratch, materialize, shared_dir, shuffles_deleted
+from tallyspark.sources.csv_source import read_batch
 from tallyspark.sources.tables import Warehouse
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -123,3 +126,35 @@ def test_suite_leaves_no_landing(spark, tables):
     assert shuffle_files(spark) <= files
     assert not {"landed", "run"} & {*labels(shared_names(spark) - before)}
     assert {r.failures for r in report.collect()} == {0} and report.count() == 29
+
+
+def test_stream_leaves_no_shuffles(spark, tables):
+    files = shuffle_files(spark)
+    assert catalog.queries()["landing_stream"](spark, tables).collect()[0].transaction_id == "T11"
+    assert shuffle_files(spark) <= files
+
+
+def test_landed_files_go_by_number(spark, tmp_path, monkeypatch):
+    """Twelve files, the first by name wins; their paths are not shuffled."""
+    (tmp_path / "files").mkdir()
+    for n in range(12):
+        lines = [",".join(RAW_COLUMNS), f"T1,1.0,2023-07-15,P1,file {n},1,1,1", f",1.0,2023-07-15,P1,file {n},1,1,1"]
+        (tmp_path / "files" / f"{n}.csv").write_text("\n".join(lines) + "\n")
+    seen = []
+    slotted = landing.land_slotted
+
+    def spying(batch, target, position):
+        seen.append((batch.columns, tuple(position)))
+        return slotted(batch, target, position)
+
+    monkeypatch.setattr(landing, "land_slotted", spying)
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    batch = read_batch(spark, str(tmp_path / "files")).where("product_name <> 'file 0'")
+    assert tuple(daily_run.land(warehouse, batch, "a", "2024-01-01 00:00:00").first()) == (22, 12, 10)
+    assert [r.product_name for r in warehouse.raw().where("transaction_id = 'T1'").collect()] == ["file 1"]
+    (columns, position), = seen
+    assert "file_path" not in columns and position[1:] == ("file_block_start", "row_seq")
+    # Among these, 10 and 11 come before 2.
+    later = read_batch(spark, str(tmp_path / "files")).where("product_name NOT IN ('file 0', 'file 1')")
+    daily_run.land(warehouse, later, "a", "2024-01-01 00:00:00")
+    assert [r.product_name for r in warehouse.raw().where("transaction_id = 'T1'").collect()] == ["file 10"]
