@@ -12,6 +12,7 @@ from tallyspark.plans.queries import base
 from tallyspark.plans.queries import landing as landing_queries
 from tallyspark.schemas import RAW_COLUMNS
 from tallyspark.session import Scratch, materialize, shared_dir, shuffles_deleted
+from tallyspark.sources import id_index
 from tallyspark.sources.csv_source import read_batch
 from tallyspark.sources.tables import Warehouse
 
@@ -158,3 +159,30 @@ def test_landed_files_go_by_number(spark, tmp_path, monkeypatch):
     later = read_batch(spark, str(tmp_path / "files")).where("product_name NOT IN ('file 0', 'file 1')")
     daily_run.land(warehouse, later, "a", "2024-01-01 00:00:00")
     assert [r.product_name for r in warehouse.raw().where("transaction_id = 'T1'").collect()] == ["file 10"]
+
+
+def test_bits_are_found_in_words(spark):
+    """Every bit of a bitmap, set and not set, in the words that a look-up reads in place."""
+    places = spark.range(1 << 15).withColumnRenamed("id", "place")
+    is_set = F.col("place") * 37 % 101 < 30
+    whole = places.groupBy().agg(F.bitmap_construct_agg(F.when(is_set, F.col("place"))).alias("map"))
+    words = whole.select(id_index._words("map").alias("words"))
+    looked_up = places.crossJoin(F.broadcast(words)).select("place", id_index._is_set("words", F.col("place")).alias("got"), is_set.alias("set"))
+    assert looked_up.where("got <> set").count() == 0 and looked_up.where("set").count() > 9000
+
+
+def test_look_ups_do_not_copy_bitmaps(spark):
+    """A join with maps as binary columns copies all eight of them for each id."""
+    rows = spark.range(9).select(F.concat(F.lit("T"), "id").alias("transaction_id"), F.lit(0).cast("long").alias("id_bucket"))
+    index = id_index.build(rows, 1, 1).withColumn("load_id", F.lit("a"))
+    plan = id_index.hits(index, rows)._jdf.queryExecution().optimizedPlan()
+    joins = [line for line in plan.toString().splitlines() if "Join" in line]
+    assert joins and "getbit" in joins[0] and "substring(map" not in joins[0]
+    assert [tuple(r) for r in id_index.hits(index, rows).collect()] == [("a", 0)]
+
+
+def test_indexed_landing_leaves_no_copies(spark, tables):
+    before, files = shared_names(spark), shuffle_files(spark)
+    catalog.queries()["landing_indexed"](spark, tables)
+    assert labels(shared_names(spark) - before) == ["indexed"]
+    assert shuffle_files(spark) <= files
